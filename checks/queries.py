@@ -22,7 +22,7 @@ from offerquarry.plans import clean as cleaning
 from offerquarry.plans import results
 from offerquarry.plans.search import offers_found, page_stats, run_search, start_urls
 from offerquarry.sources import listing_files, search_log
-from offerquarry.sources.shared import new_path
+from offerquarry.sources.shared import new_path, write_and_read
 
 # The web pages among the given tables hold no offers; their menu entries serve as cards.
 MENU = Selectors(
@@ -107,7 +107,9 @@ def requests(spark, sf_dir):
 
 
 def walked_pages(spark, sf_dir):
-    links = extract_pages(result_pages(spark, sf_dir)).drop("cards")
+    links = write_and_read(
+        extract_pages(result_pages(spark, sf_dir)).drop("cards"), "links"
+    )
     return page_walk(start_urls(requests(spark, sf_dir)), links)
 
 
@@ -345,7 +347,7 @@ def clean_roundtrip(spark, sf_dir):
 def raw_roundtrip(spark, sf_dir):
     """Raw listings through a CSV file and cleaning to shown rows."""
     path = new_path(spark, "raw-roundtrip")
-    listing_files.write_raw_csv(listings(spark, sf_dir), path)
+    listing_files.write_raw_csv(listings(spark, sf_dir).orderBy(*LISTING_ORDER), path)
     raw = listing_files.read_raw_csv(spark, path, keep_order=True)
     cleaned = cleaning.clean_listings(raw)
     return results.result_rows(cleaned).select(*fixed.DISPLAY_FIELDS)

@@ -35,30 +35,23 @@ def parse_number_eu(text: Column) -> Column:
     A comma is the decimal mark.  With a comma present all dots are thousands
     marks; without one a dot is the decimal mark.  Several commas count as
     thousands marks, but for the last one if at most three characters follow.
+
+    Written as one chain in which each step is used once: then a filter on the
+    amount, which Spark moves below the projection, stays small, too.
     """
-    without_words = F.regexp_replace(text, f"(?iu){fixed.AMOUNT_NOISE}", " ")
-    kept = strip(F.regexp_replace(without_words, f"[^0-9.,{WHITESPACE}]", ""))
-
-    has_dot, has_comma = kept.contains("."), kept.contains(",")
-    tail = F.substring_index(kept, ",", -1)
-    head = F.left(kept, F.length(kept) - F.length(tail) - 1)
-    plain = (
-        F.when(
-            has_dot & has_comma,
-            F.replace(F.replace(kept, F.lit("."), F.lit("")), F.lit(","), F.lit(".")),
-        )
-        .when(
-            has_comma & (F.length(tail) <= 3),
-            F.concat(F.replace(head, F.lit(","), F.lit("")), F.lit("."), tail),
-        )
-        .when(has_comma, F.replace(kept, F.lit(","), F.lit("")))
-        .otherwise(kept)
-    )
-    number = strip(F.replace(plain, F.lit(" "), F.lit("")))
-    # The shape test comes first: a bare try_cast would also take "1d" or "NaN".
-    return F.when(
-        number.rlike(r"\A(?:[0-9]+\.?[0-9]*|\.[0-9]+)\z"), number.try_cast("double")
-    )
+    step = F.regexp_replace(text, f"(?iu){fixed.AMOUNT_NOISE}", " ")
+    step = strip(F.regexp_replace(step, f"[^0-9.,{WHITESPACE}]", ""))
+    # Only commas, and a short rest after the last one: that one is the decimal mark.
+    step = F.regexp_replace(step, r"(?s)\A([^.]*),([^.,]{0,3})\z", "$1;$2")
+    # Dots and commas: tag the text, drop its dots, take its commas as decimal marks.
+    step = F.regexp_replace(step, r"(?s)\A(?=[^.]*\.)(?=[^,]*,).*\z", "$0B")
+    step = F.regexp_replace(step, r"(?s)\.(?=.*B\z)", "")
+    step = F.regexp_replace(step, r"(?s),(?=.*B\z)", ";")
+    # Thousands commas, blanks and the tag go, decimal marks become dots.
+    step = strip(F.translate(step, ";, B", "."))
+    # Take it only if it has the shape of a number ("1d" would cast, too).
+    shaped = F.regexp_extract(step, r"\A(?:[0-9]+\.?[0-9]*|\.[0-9]+)\z", 0)
+    return shaped.try_cast("double")
 
 
 def shipping_cost(shipping_text: Column) -> Column:

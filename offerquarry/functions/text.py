@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
+import re
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -38,10 +38,7 @@ def clean_title(title: Column) -> Column:
 
 def is_advert(title: Column) -> Column:
     """True if any advertising phrase occurs in the title, at any position."""
-    lowered = F.lower(title)
-    return reduce(
-        lambda a, b: a | b, [lowered.contains(p) for p in fixed.AD_TITLE_SUBSTRINGS]
-    )
+    return F.lower(title).rlike("|".join(map(re.escape, fixed.AD_TITLE_SUBSTRINGS)))
 
 
 def _present(text: Column) -> Column:

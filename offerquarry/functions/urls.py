@@ -42,16 +42,22 @@ def _decode(text: Column) -> Column:
     return F.try_url_decode(F.regexp_replace(text, "%(?![0-9A-Fa-f]{2})", "%25"))
 
 
-def _parameter(query: Column, encoded_name: str) -> Column:
-    """Raw value of the first non-empty occurrence of a parameter, else null."""
-    value = F.regexp_extract(query, f"(?:^|&){encoded_name}=([^&]+)", 1)
-    return F.nullif(value, F.lit(""))
-
-
 # The parameter names, each letter as it is or percent-encoded.
-_SKW = "(?:s|%73)(?:k|%6[bB])(?:w|%77)"
+_SKW = "(?:s|%73)(?:k|%6[bB])(?:w|%77)="
 _UNDERSCORE_SKW = f"(?:_|%5[fF]){_SKW}"
 
+# A host part with only one kind of square bracket makes the whole URL unreadable.
+_BROKEN_HOST = (
+    r"(?:[A-Za-z][A-Za-z0-9+.-]*:)?//"
+    r"(?:[^/?#\]]*\[[^/?#\]]*|[^/?#\[]*\][^/?#\[]*)(?:[/?#]|\z)"
+)
+
+# Raw value of the first non-empty "skw" in the query part, or else "_skw".
+_NAME_PARAMETER = (
+    rf"(?s)\A[\x00-\x20]*+(?!{_BROKEN_HOST})[^#?]*\?"
+    rf"(?:(?:[^#]*?&)??{_SKW}|(?:[^#]*?&)??{_UNDERSCORE_SKW})([^&#]+)"
+)
+
 
 def skw_product_name(url: Column) -> Column:
     """Product name in the ``skw`` parameter of a URL, else in ``_skw``.
@@ -59,21 +65,13 @@ def skw_product_name(url: Column) -> Column:
     The value is decoded twice, trimmed, and its first character upper-cased.
     Null if there is no such parameter or nothing is left of it.
     """
-    # Control characters and blanks around a URL, and line breaks in it, do not count.
-    address = F.regexp_replace(url, r"\A[\x00-\x20]+|[\t\r\n]", "")
-    host = F.regexp_extract(
-        address, r"\A(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)", 1
-    )
-    broken_host = host.contains("[") != host.contains("]")
-    query = F.regexp_extract(address, r"(?s)\A[^#?]*\?([^#]*)", 1)
-    raw = F.coalesce(_parameter(query, _SKW), _parameter(query, _UNDERSCORE_SKW))
+    # Line breaks and tabs inside a URL do not count.
+    raw = F.regexp_extract(F.translate(url, "\t\r\n", ""), _NAME_PARAMETER, 1)
     once = _decode(raw)
     twice = _decode(F.replace(once, F.lit("+"), F.lit("%2B")))
     name = strip(twice)
-    return F.when(
-        ~broken_host & (name != ""),
-        F.concat(F.upper(F.left(name, F.lit(1))), F.substr(name, F.lit(2))),
-    )
+    capital = F.concat(F.upper(F.left(name, F.lit(1))), F.substr(name, F.lit(2)))
+    return F.nullif(capital, F.lit(""))
 
 
 def has_url(text: Column) -> Column:

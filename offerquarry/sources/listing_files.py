@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,17 +27,15 @@ CSV_FORM = {
 FILE_ORDER = ["source_file", "source_block", "source_row"]
 
 
-def not_utf8_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Paths of the files that hold bytes which are no valid UTF-8.
+def file_encodings(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Per file: is all of it valid UTF-8?
 
     Lines are checked in splits of the files, so file size does not matter.
     """
-    lines = spark.read.text(path)
-    return (
-        lines.where(~F.is_valid_utf8("value"))
-        .select(F.col("_metadata.file_path").alias("path"))
-        .distinct()
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("path"), F.is_valid_utf8("value").alias("ok")
     )
+    return lines.groupBy("path").agg(F.bool_and("ok").alias("is_utf8"))
 
 
 def read_raw_csv(
@@ -52,31 +52,24 @@ def read_raw_csv(
     breaks, Spark splits big files.  ``keep_order`` adds the ``FILE_ORDER`` columns.
     """
     # File names only; Spark's driver holds the full file listing anyhow.
-    latin = [row.path for row in not_utf8_files(spark, path).collect()]
-    reader = spark.read.options(
-        **CSV_FORM, multiLine=multi_line, enforceSchema=False
-    )
-    if not latin:
+    files: dict[bool, list[str]] = {True: [], False: []}
+    for row in file_encodings(spark, path).collect():
+        files[row.is_utf8].append(row.path)
+    reader = spark.read.options(**CSV_FORM, multiLine=multi_line, enforceSchema=False)
+    if not files[False]:
         return _tidy(reader.csv(path), keep_order)
-
-    header = reader.option("encoding", "ISO-8859-1").csv(latin).schema
-    utf8 = [f for f in _input_files(spark, path) if f not in set(latin)]
-    parts = [
-        _tidy(
-            reader.option("encoding", encoding).schema(header).csv(files), keep_order
+    latin = reader.option("encoding", "ISO-8859-1")
+    parts = [_tidy(latin.csv(files[False]), keep_order)]
+    if files[True]:
+        reader = spark.read.options(
+            **CSV_FORM, multiLine=multi_line, enforceSchema=False, encoding="UTF-8"
         )
-        for encoding, files in (("UTF-8", utf8), ("ISO-8859-1", latin))
-        if files
-    ]
-    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-
-
-def _input_files(spark: SparkSession, path: str | list[str]) -> list[str]:
-    return spark.read.text(path).inputFiles()
+        parts.append(_tidy(reader.csv(files[True]), keep_order))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _tidy(raw: DataFrame, keep_order: bool) -> DataFrame:
-    names = [c.removeprefix("﻿").strip(WHITESPACE) for c in raw.columns]
+    names = [c.removeprefix("\ufeff").strip(WHITESPACE) for c in raw.columns]
     if not keep_order:
         return raw.toDF(*names)
     # Row ids grow within a task, and a task reads a file block in one go.
