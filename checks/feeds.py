@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from offerquarry.sources.shared import spread_small
+
 # Unique together, so they tell which listing comes first.
 LISTING_ORDER = [
     "l_orderkey",
@@ -205,7 +207,7 @@ def result_pages_sql() -> str:
 
 def run_in_spark(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     tables = {
-        name: spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        name: spread_small(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
         for name in ("lineitem", "part", "supplier", "nation", "orders")
         if "{" + name + "}" in sql
     }

@@ -22,6 +22,7 @@ from offerquarry.plans import clean as cleaning
 from offerquarry.plans import results
 from offerquarry.plans.search import offers_found, page_stats, run_search, start_urls
 from offerquarry.sources import listing_files, search_log
+from offerquarry.sources.pages import read_pages
 from offerquarry.sources.shared import new_path, write_and_read
 
 # The web pages among the given tables hold no offers; their menu entries serve as cards.
@@ -38,7 +39,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def menu_cards(spark, sf_dir):
-    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    pages = read_pages(spark, f"{sf_dir}/pages.parquet")
     return explode_cards(extract_pages(pages, MENU))
 
 

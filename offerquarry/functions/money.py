@@ -29,6 +29,12 @@ def currency_fallback(price_text: Column, shipping_text: Column | None) -> Colum
     return F.coalesce(*candidates, F.lit(fixed.NOT_GIVEN))
 
 
+# One number among characters that are no digits, dots or commas: 12.50, 12,5 or 99 ...
+_ONE_NUMBER = r"\A[^0-9.,]*([0-9]+\.?[0-9]*|[0-9]*,[0-9]{0,3})[^0-9.,]*\z"
+# ... or 1.234.567,50
+_GROUPED_NUMBER = r"\A[^0-9.,]*([0-9]+(?:\.[0-9]+)+,[0-9]*)[^0-9.,]*\z"
+
+
 def parse_number_eu(text: Column) -> Column:
     """Amount in a text as double, null if there is no readable one.
 
@@ -36,11 +42,23 @@ def parse_number_eu(text: Column) -> Column:
     marks; without one a dot is the decimal mark.  Several commas count as
     thousands marks, but for the last one if at most three characters follow.
 
-    Written as one chain in which each step is used once: then a filter on the
-    amount, which Spark moves below the projection, stays small, too.
+    Most amounts are a single plain number, which one pattern reads; only the
+    others go through all the rules.
     """
+    plain = F.translate(F.regexp_extract(text, _ONE_NUMBER, 1), ",", ".")
+    grouped = F.translate(F.regexp_extract(text, _GROUPED_NUMBER, 1), ",.", ".")
+    # Cast only what looks right: a failing cast costs an exception inside.
+    return (
+        F.when(text.rlike(_ONE_NUMBER), plain.try_cast("double"))
+        .when(text.rlike(_GROUPED_NUMBER), grouped.try_cast("double"))
+        .when(text.rlike("[0-9]"), _parse_any_number(text))
+    )
+
+
+def _parse_any_number(text: Column) -> Column:
+    """All rules in one chain that uses each step once, so plans stay small."""
     step = F.regexp_replace(text, f"(?iu){fixed.AMOUNT_NOISE}", " ")
-    step = strip(F.regexp_replace(step, f"[^0-9.,{WHITESPACE}]", ""))
+    step = strip(F.regexp_replace(step, f"[^0-9.,{WHITESPACE}]+", ""))
     # Only commas, and a short rest after the last one: that one is the decimal mark.
     step = F.regexp_replace(step, r"(?s)\A([^.]*),([^.,]{0,3})\z", "$1;$2")
     # Dots and commas: tag the text, drop its dots, take its commas as decimal marks.

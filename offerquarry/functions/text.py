@@ -49,10 +49,10 @@ def _present(text: Column) -> Column:
 
 def clean_condition(condition: Column) -> Column:
     """Drop one trailing bar, trim, and name the missing case."""
-    text = F.regexp_replace(
-        _present(condition), rf"{SPACE_CLASS}*\|{SPACE_CLASS}*\z", ""
-    )
-    text = strip(text)
+    text = strip(_present(condition))
+    text = F.when(
+        text.endswith("|"), strip(F.left(text, F.length(text) - 1))
+    ).otherwise(text)
     return F.when(text == "", F.lit(fixed.NOT_GIVEN)).otherwise(text)
 
 

@@ -66,10 +66,12 @@ def skw_product_name(url: Column) -> Column:
     Null if there is no such parameter or nothing is left of it.
     """
     # Line breaks and tabs inside a URL do not count.
-    raw = F.regexp_extract(F.translate(url, "\t\r\n", ""), _NAME_PARAMETER, 1)
+    address = F.when(url.rlike("[\t\r\n]"), F.translate(url, "\t\r\n", "")).otherwise(url)
+    raw = F.regexp_extract(address, _NAME_PARAMETER, 1)
     once = _decode(raw)
     twice = _decode(F.replace(once, F.lit("+"), F.lit("%2B")))
-    name = strip(twice)
+    decoded = F.when(raw.contains("%"), twice).otherwise(F.translate(raw, "+", " "))
+    name = strip(decoded)
     capital = F.concat(F.upper(F.left(name, F.lit(1))), F.substr(name, F.lit(2)))
     return F.nullif(capital, F.lit(""))
 

@@ -64,16 +64,27 @@ def derive(raw: DataFrame, url_column: str | None = None) -> Derived:
     condition_text = _as_text(texts, roles.condition)
     title = column(roles.title)
 
+    # Amounts get a projection of their own: used twice below, they are computed
+    # once, and the generated code stays in smaller methods.
+    amounts = texts.withColumns(
+        {
+            "_price": money.parse_number_eu(price_text),
+            "_shipping": (
+                F.lit(0.0)
+                if shipping_text is None
+                else money.shipping_cost(shipping_text)
+            ),
+        }
+    )
     clean: dict[str, Column] = {
         "title": F.lit("") if title is None else title,
-        "price": money.parse_number_eu(price_text),
+        "price": F.col("_price"),
         "currency": money.currency_fallback(price_text, shipping_text),
         "product_origin": (
             F.lit("") if country_text is None else text.clean_origin(country_text)
         ),
-        "shipping_cost": (
-            F.lit(0.0) if shipping_text is None else money.shipping_cost(shipping_text)
-        ),
+        "shipping_cost": F.col("_shipping"),
+        "price_with_shipping": F.col("_price") + F.col("_shipping"),
         "product_name": skw_product_name(_as_text(texts, url_place)),
     }
     if condition_text is not None:
@@ -82,22 +93,17 @@ def derive(raw: DataFrame, url_column: str | None = None) -> Derived:
         clean["product_condition"] = column(headers.index("product_condition"))
 
     # Columns that were read up, or that a computed one of that name replaces.
-    replaced = (set(fixed.CLEAN_ORDER) - {"title"}) & {*clean, "price_with_shipping"}
+    replaced = set(clean) - {"title"}
     used = {roles.title, roles.condition, roles.price, roles.country, roles.shipping}
     rest = [
         i for i, h in enumerate(headers) if i not in used and h not in replaced
     ]
     first = [n for n in fixed.CLEAN_ORDER if n in clean]
     names = unique_names([*first, *[kept_name(headers[i]) for i in rest]])
-    rows = texts.select(
+    rows = amounts.select(
         *[clean[n].alias(n) for n in first],
         *[F.col(f"c{i}").alias(n) for i, n in zip(rest, names[len(first) :])],
     )
-    total = F.col("price") + F.col("shipping_cost")
-    before = first.index("shipping_cost") + 1
-    rows = rows.withColumn("price_with_shipping", total).select(
-        *names[:before], "price_with_shipping", *names[before:]
-    )
 
     keys = ["title", "price"]
     if "link" in rows.columns:

@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from offerquarry.sources.shared import spread_small
+
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
     """Pages kept as a Parquet table with a ``html`` column."""
-    return spark.read.parquet(path)
+    return spread_small(spark.read.parquet(path))
 
 
 def read_html_files(spark: SparkSession, path: str) -> DataFrame:

@@ -50,7 +50,7 @@ SMALL_SHARE = 16 << 20  # bytes of input files per core
 
 
 def spread_small(df: DataFrame) -> DataFrame:
-    """Deal the rows of a small input out to all cores, before a CPU-heavy step.
+    """Deal the rows of a small table out to all cores, before a CPU-heavy step.
 
     Few small files are read by few tasks.  Larger inputs, or many files, stay as
     they are: their splits give enough tasks, and moving them would cost more.
