@@ -42,29 +42,32 @@ def read_raw_csv(
     spark: SparkSession,
     path: str | list[str],
     *,
+    encoding: str | None = None,
     multi_line: bool = True,
     keep_order: bool = False,
 ) -> DataFrame:
     """Raw listing files, every cell as text, header names trimmed.
 
-    A file that is not valid UTF-8 is read as Latin-1, as a whole.  All files
-    must have the same header.  With ``multi_line=False``, for cells without line
-    breaks, Spark splits big files.  ``keep_order`` adds the ``FILE_ORDER`` columns.
+    A file that is not valid UTF-8 is read as Latin-1, as a whole; name the
+    ``encoding`` to save the pass that checks it.  All files must have the same
+    header.  With ``multi_line=False``, for cells without line breaks, Spark splits
+    big files.  ``keep_order`` adds the ``FILE_ORDER`` columns.
     """
-    # File names only; Spark's driver holds the full file listing anyhow.
-    files: dict[bool, list[str]] = {True: [], False: []}
-    for row in file_encodings(spark, path).collect():
-        files[row.is_utf8].append(row.path)
-    reader = spark.read.options(**CSV_FORM, multiLine=multi_line, enforceSchema=False)
-    if not files[False]:
-        return _tidy(reader.csv(path), keep_order)
-    latin = reader.option("encoding", "ISO-8859-1")
-    parts = [_tidy(latin.csv(files[False]), keep_order)]
-    if files[True]:
+
+    def scan(files: str | list[str], encoding: str) -> DataFrame:
         reader = spark.read.options(
-            **CSV_FORM, multiLine=multi_line, enforceSchema=False, encoding="UTF-8"
+            **CSV_FORM, multiLine=multi_line, enforceSchema=False, encoding=encoding
         )
-        parts.append(_tidy(reader.csv(files[True]), keep_order))
+        return _tidy(reader.csv(files), keep_order)
+
+    if encoding:
+        return scan(path, encoding)
+    # File names only; Spark's driver holds the full file listing anyhow.
+    latin = [r.path for r in file_encodings(spark, path).where("NOT is_utf8").collect()]
+    if not latin:
+        return scan(path, "UTF-8")
+    utf8 = [r.path for r in file_encodings(spark, path).where("is_utf8").collect()]
+    parts = [scan(latin, "ISO-8859-1"), *([scan(utf8, "UTF-8")] if utf8 else [])]
     return reduce(DataFrame.unionByName, parts)
 
 

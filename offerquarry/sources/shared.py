@@ -46,20 +46,12 @@ def write_and_read(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-SMALL_SHARE = 16 << 20  # bytes of input files per core
-
-
-def spread_small(df: DataFrame) -> DataFrame:
+def spread_small(scan: DataFrame) -> DataFrame:
     """Deal the rows of a small table out to all cores, before a CPU-heavy step.
 
-    Few small files are read by few tasks.  Larger inputs, or many files, stay as
-    they are: their splits give enough tasks, and moving them would cost more.
+    ``scan`` is a table as read.  It is small if Spark reads it in fewer tasks
+    than there are cores, so at most ``spark.sql.files.maxPartitionBytes`` per
+    core are moved.  Larger tables stay as they are.
     """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    files = df.inputFiles()
-    if not 0 < len(files) < cores:
-        return df
-    sizes = spark.read.format("binaryFile").load(files)  # reads no content
-    total = sizes.agg({"length": "sum"}).head()[0] or 0
-    return df.repartition(cores) if total < cores * SMALL_SHARE else df
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
