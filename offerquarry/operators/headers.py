@@ -116,9 +116,9 @@ def first_url_column(df: DataFrame) -> int | None:
     One aggregate pass over the text columns; only flags come to the driver.
     """
     numbered = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
-    flags = url_flags(numbered)
-    if not flags.columns:
+    if "string" not in dict(numbered.dtypes).values():
         return None
+    flags = url_flags(numbered)
     row = flags.head()
     return next((int(name[1:]) for name in flags.columns if row[name]), None)
 
