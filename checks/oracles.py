@@ -176,7 +176,7 @@ OFFERS = f"""links AS ({LINKS}), cards AS ({RESULT_CARDS}),
 
 WALK = f"""walk AS (
       SELECT search_id, 1 AS page_no, url, page_id, next_href FROM links
-      WHERE page_id % 6 = 0
+      WHERE url LIKE 'https://www.ebay.ch/%'
       UNION ALL
       SELECT w.search_id, w.page_no + 1, p.url, p.page_id, p.next_href
       FROM walk w JOIN links p ON p.search_id = w.search_id AND p.url = w.next_href
@@ -305,8 +305,7 @@ ORACLES = {
         SELECT DISTINCT product_origin AS region FROM clean WHERE product_origin <> '')""",
     "result_view": f"""WITH {_clean_ctes(True)} SELECT {SHOWN_PLUS} FROM clean
         WHERE product_origin = 'Österreich'""",
-    "search_log": """SELECT array_to_string(regexp_split_to_array(text, '\\s+')[1:3], ' ')
-        AS "Produkt", CAST(n_chars AS VARCHAR) AS "Preis",
+    "search_log": """SELECT regexp_replace(text, '^\\s+|\\s+$', '', 'g') AS "Produkt", CAST(n_chars AS VARCHAR) AS "Preis",
         CASE WHEN doc_id % 2 = 0 THEN coalesce(lang, '') ELSE '' END AS "Region",
         '' AS "Link" FROM documents""",
     "raw_csv_scan": f"""WITH {_listings()} SELECT ' "neu",' || chr(10) || titel AS titel,

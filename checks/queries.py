@@ -95,15 +95,13 @@ def offer_counts(spark, sf_dir):
 
 
 def requests(spark, sf_dir):
+    """One search per six orders, as the derived pages have it."""
     block = F.floor(F.col("o_orderkey") / 6).cast("string")
-    return (
-        _table(spark, sf_dir, "orders")
-        .where("o_orderkey % 6 = 0")
-        .select(
-            F.concat(F.lit("s"), block).alias("search_id"),
-            F.concat(F.lit(" ski  schuhe "), block).alias("query"),
-            F.lit("CHF 9.99").alias("max_price"),
-        )
+    blocks = _table(spark, sf_dir, "orders").select(block.alias("block")).distinct()
+    return blocks.select(
+        F.concat(F.lit("s"), "block").alias("search_id"),
+        F.concat(F.lit(" ski  schuhe "), "block").alias("query"),
+        F.lit("CHF 9.99").alias("max_price"),
     )
 
 
@@ -299,14 +297,13 @@ def result_view(spark, sf_dir):
 
 
 def logged_searches(spark, sf_dir):
+    """Whole texts as search words, logged in two appends."""
     documents = _table(spark, sf_dir, "documents")
     path = new_path(spark, "search-log")
-    for lang in ("lang = 'de'", "lang <> 'de' OR lang IS NULL"):
+    for part in ("lang = 'de'", "lang IS NULL OR lang <> 'de'"):
         search_log.append_searches(
-            documents.where(lang).select(
-                F.array_join(
-                    F.slice(F.split(F.col("text"), "\\s+", 4), 1, 3), " "
-                ).alias("query"),
+            documents.where(part).select(
+                F.col("text").alias("query"),
                 F.col("n_chars").alias("max_price"),
                 F.when(F.col("doc_id") % 2 == 0, F.col("lang")).alias("region"),
             ),

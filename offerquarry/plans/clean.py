@@ -27,10 +27,11 @@ PAGE_ORDER = ["page_no", "pos"]
 
 @dataclass(frozen=True)
 class Derived:
-    """All raw rows under the clean columns, and the keys of a duplicate."""
+    """All raw rows under the clean columns."""
 
     rows: DataFrame
-    keys: list[str]
+    keys: list[str]  # columns that are equal in duplicates
+    required: DataFrame  # price and product_name alone, for checks
 
 
 def derive(raw: DataFrame, url_column: str | None = None) -> Derived:
@@ -64,28 +65,26 @@ def derive(raw: DataFrame, url_column: str | None = None) -> Derived:
     condition_text = _as_text(texts, roles.condition)
     title = column(roles.title)
 
-    # Amounts get a projection of their own: used twice below, they are computed
-    # once, and the generated code stays in smaller methods.
-    amounts = texts.withColumns(
-        {
-            "_price": money.parse_number_eu(price_text),
-            "_shipping": (
-                F.lit(0.0)
-                if shipping_text is None
-                else money.shipping_cost(shipping_text)
-            ),
-        }
+    price = money.parse_number_eu(price_text).alias("price")
+    shipping = (
+        F.lit(0.0) if shipping_text is None else money.shipping_cost(shipping_text)
+    ).alias("shipping")
+    name = skw_product_name(_as_text(texts, url_place)).alias("product_name")
+    # Unfolding a one-element array keeps later filters on an amount or a name from
+    # being moved into these expressions, which would compute them twice.
+    computed = texts.select(
+        "*", F.inline(F.array(F.struct(price, shipping, name)))
     )
     clean: dict[str, Column] = {
         "title": F.lit("") if title is None else title,
-        "price": F.col("_price"),
+        "price": F.col("price"),
         "currency": money.currency_fallback(price_text, shipping_text),
         "product_origin": (
             F.lit("") if country_text is None else text.clean_origin(country_text)
         ),
-        "shipping_cost": F.col("_shipping"),
-        "price_with_shipping": F.col("_price") + F.col("_shipping"),
-        "product_name": skw_product_name(_as_text(texts, url_place)),
+        "shipping_cost": F.col("shipping"),
+        "price_with_shipping": F.col("price") + F.col("shipping"),
+        "product_name": F.col("product_name"),
     }
     if condition_text is not None:
         clean["product_condition"] = text.clean_condition(condition_text)
@@ -100,7 +99,7 @@ def derive(raw: DataFrame, url_column: str | None = None) -> Derived:
     ]
     first = [n for n in fixed.CLEAN_ORDER if n in clean]
     names = unique_names([*first, *[kept_name(headers[i]) for i in rest]])
-    rows = amounts.select(
+    rows = computed.select(
         *[clean[n].alias(n) for n in first],
         *[F.col(f"c{i}").alias(n) for i, n in zip(rest, names[len(first) :])],
     )
@@ -112,7 +111,7 @@ def derive(raw: DataFrame, url_column: str | None = None) -> Derived:
         place = first_url_column(rows)
         if place is not None and rows.columns[place] not in keys:
             keys.append(rows.columns[place])
-    return Derived(rows, keys)
+    return Derived(rows, keys, texts.select(price, name))
 
 
 def _as_read(value: Column, kind) -> Column:
@@ -130,19 +129,12 @@ def _as_text(df: DataFrame, place: int | None) -> Column | None:
     return value.cast("string")
 
 
-
-
-def gate_counts(rows: DataFrame) -> DataFrame:
-    """One row: how many rows lack a product name, how many a readable price."""
-    return rows.agg(
+def check_required(required: DataFrame) -> None:
+    """Raise if any row lacks a product name or a price."""
+    counts = required.agg(
         F.count_if(F.col("product_name").isNull()).alias("missing_product_name"),
         F.count_if(F.col("price").isNull()).alias("missing_price"),
-    )
-
-
-def check_required(rows: DataFrame) -> None:
-    """Raise if any row lacks a product name or a price; reads those columns only."""
-    counts = gate_counts(rows).head()
+    ).head()
     if counts.missing_product_name:
         raise MissingField(
             f"required field 'product_name' is missing in "
@@ -176,7 +168,7 @@ def clean_listings(
     """
     order_by = list(order_by or row_order(raw))
     derived = derive(raw, url_column)
-    check_required(derived.rows)
+    check_required(derived.required)
     return keep_first(derived.rows, [*scope, *derived.keys], order_by)
 
 
