@@ -1,3 +1,6 @@
+import os
+import subprocess
+import sys
 from dataclasses import asdict
 
 import pytest
@@ -239,3 +242,23 @@ def test_repeated_link_held_by_most_rows(spark):
     assert kept.count() == 1 + 20000 - 6667
     assert kept.where("link = 'hot'").first().pos == 0
     assert kept._jdf.queryExecution().toString().count("WindowGroupLimit") >= 2
+
+
+def test_executors_need_no_installed_package(tmp_path):
+    """Run from another folder: workers cannot import the package from theirs."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    script = (
+        f"import sys; sys.path.insert(0, {root!r})\n"
+        "from pyspark.sql import SparkSession\n"
+        "from offerquarry import extract_pages\n"
+        "spark = SparkSession.builder.master('local[2]')"
+        ".config('spark.ui.enabled', 'false').getOrCreate()\n"
+        "pages = spark.createDataFrame([('<li class=\"s-card\">',)], 'html string')\n"
+        "assert len(extract_pages(pages).first().cards) == 1\n"
+    )
+    environment = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run(
+        [sys.executable, "-c", script],
+        cwd=tmp_path, env=environment, capture_output=True, text=True, timeout=120,
+    )
+    assert done.returncode == 0, done.stderr[-2000:]
