@@ -320,3 +320,4 @@ ORACLES = {
         CAST(price_with_shipping AS VARCHAR) AS price_with_shipping, product_name, link, image
         FROM clean""",
 }
+ORACLES["saved_search"] = ORACLES["run_search"]

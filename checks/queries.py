@@ -20,7 +20,14 @@ from offerquarry.operators.ordering import with_position
 from offerquarry.operators.walk import page_walk
 from offerquarry.plans import clean as cleaning
 from offerquarry.plans import results
-from offerquarry.plans.search import offers_found, page_stats, run_search, start_urls
+from offerquarry.plans.search import (
+    offers_found,
+    page_stats,
+    read_search,
+    run_search,
+    save_search,
+    start_urls,
+)
 from offerquarry.sources import listing_files, search_log
 from offerquarry.sources.pages import read_pages
 from offerquarry.sources.shared import new_path, write_and_read
@@ -116,6 +123,12 @@ def searches(spark, sf_dir):
     return run_search(requests(spark, sf_dir), result_pages(spark, sf_dir)).clean
 
 
+def saved_searches(spark, sf_dir):
+    folder = new_path(spark, "searches")
+    save_search(run_search(requests(spark, sf_dir), result_pages(spark, sf_dir)), folder)
+    return read_search(spark, folder)
+
+
 # --- column functions over the derived listings --------------------------------
 
 
@@ -360,6 +373,7 @@ QUERIES = {
     "offers_found": offer_counts,
     "page_walk": walked_pages,
     "run_search": searches,
+    "saved_search": saved_searches,
     "clean_title": _with("title", lambda df: text.clean_title(df.titel)),
     "ad_filter": ad_filter,
     "clean_condition": _with(

@@ -12,6 +12,7 @@ from pyspark.sql.types import DoubleType, FloatType, StringType
 from offerquarry import fixed
 from offerquarry.functions import money, text
 from offerquarry.functions.urls import skw_product_name
+from offerquarry.operators.binding import with_bound
 from offerquarry.operators.dedupe import keep_first
 from offerquarry.operators.headers import (
     MissingField,
@@ -65,15 +66,13 @@ def derive(raw: DataFrame, url_column: str | None = None) -> Derived:
     condition_text = _as_text(texts, roles.condition)
     title = column(roles.title)
 
-    price = money.parse_number_eu(price_text).alias("price")
+    price = money.parse_number_eu(price_text)
+    name = skw_product_name(_as_text(texts, url_place))
     shipping = (
         F.lit(0.0) if shipping_text is None else money.shipping_cost(shipping_text)
-    ).alias("shipping")
-    name = skw_product_name(_as_text(texts, url_place)).alias("product_name")
-    # Unfolding a one-element array keeps later filters on an amount or a name from
-    # being moved into these expressions, which would compute them twice.
-    computed = texts.select(
-        "*", F.inline(F.array(F.struct(price, shipping, name)))
+    )
+    computed = with_bound(
+        texts, {"price": price, "shipping": shipping, "product_name": name}
     )
     clean: dict[str, Column] = {
         "title": F.lit("") if title is None else title,
@@ -111,7 +110,8 @@ def derive(raw: DataFrame, url_column: str | None = None) -> Derived:
         place = first_url_column(rows)
         if place is not None and rows.columns[place] not in keys:
             keys.append(rows.columns[place])
-    return Derived(rows, keys, texts.select(price, name))
+    required = texts.select(price.alias("price"), name.alias("product_name"))
+    return Derived(rows, keys, required)
 
 
 def _as_read(value: Column, kind) -> Column:

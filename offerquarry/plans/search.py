@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from offerquarry import fixed
@@ -95,3 +95,24 @@ def run_search(
     )
     clean = clean_listings(raw, order_by=PAGE_ORDER, scope=["search_id"])
     return SearchResult(raw, clean)
+
+
+def save_search(result: SearchResult, folder: str) -> None:
+    """Write raw and clean listings as Parquet, each search's rows close together.
+
+    Files hold ranges of search ids, so reading one search skips most row groups,
+    while a very large search spreads over several files.
+    """
+    for name, table in (("raw", result.raw), ("clean", result.clean)):
+        order = ["search_id", *PAGE_ORDER]
+        table.repartitionByRange(*order).sortWithinPartitions(*order).write.mode(
+            "overwrite"
+        ).parquet(f"{folder}/{name}")
+
+
+def read_search(
+    spark: SparkSession, folder: str, search_id: str | None = None
+) -> DataFrame:
+    """Saved clean listings, of one search or of all."""
+    clean = spark.read.parquet(f"{folder}/clean")
+    return clean if search_id is None else clean.where(F.col("search_id") == search_id)

@@ -16,7 +16,13 @@ from offerquarry.operators.cards import (
 from offerquarry.operators.dedupe import seen_links
 from offerquarry.operators.markup import PageWalk
 from offerquarry.operators.walk import page_walk
-from offerquarry.plans.search import offers_found, page_stats, start_urls
+from offerquarry.plans.search import (
+    offers_found,
+    page_stats,
+    read_search,
+    save_search,
+    start_urls,
+)
 from offerquarry.sources.pages import read_html_files
 
 DUPLICATES = """
@@ -189,7 +195,7 @@ def offer(n, link):
     )
 
 
-def test_search_from_request_to_clean_table(spark):
+def test_search_from_request_to_clean_table(spark, tmp_path):
     requests = spark.createDataFrame(
         [("s", "ski schuhe", "99"), ("t", "nichts", "")],
         "search_id string, query string, max_price string",
@@ -215,6 +221,12 @@ def test_search_from_request_to_clean_table(spark):
     ]
     assert [tuple(r) for r in offers_found(result.raw).collect()] == [("s", 3)]
 
+    save_search(result, str(tmp_path))
+    assert read_search(spark, str(tmp_path)).count() == 3
+    one = read_search(spark, str(tmp_path), "s")
+    assert one.count() == 3 and read_search(spark, str(tmp_path), "t").count() == 0
+    assert "EqualTo(search_id,s)" in one._jdf.queryExecution().executedPlan().toString()
+
 
 def test_pages_are_parsed_without_a_shuffle(spark):
     plan = extract_pages(pages_of(spark, ("s", 1, "u", "")))._jdf.queryExecution().toString()
