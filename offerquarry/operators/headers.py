@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -97,17 +97,18 @@ def resolve_columns(raw: DataFrame) -> DataFrame:
     return numbered.select(*[c.alias(n) for c, n in zip(columns, names)])
 
 
+def url_flag_columns(df: DataFrame) -> list[Column]:
+    """An aggregate per text column: does any of its values hold a URL?"""
+    return [
+        F.coalesce(F.bool_or(has_url(F.col(f"`{f.name}`"))), F.lit(False)).alias(f.name)
+        for f in df.schema.fields
+        if isinstance(f.dataType, StringType)
+    ]
+
+
 def url_flags(df: DataFrame) -> DataFrame:
-    """One row with a flag per text column: does any of its values hold a URL?"""
-    return df.agg(
-        *[
-            F.coalesce(F.bool_or(has_url(F.col(f"`{f.name}`"))), F.lit(False)).alias(
-                f.name
-            )
-            for f in df.schema.fields
-            if isinstance(f.dataType, StringType)
-        ]
-    )
+    """One row with a flag per text column, see ``url_flag_columns``."""
+    return df.agg(*url_flag_columns(df))
 
 
 def first_url_column(df: DataFrame) -> int | None:
@@ -116,11 +117,13 @@ def first_url_column(df: DataFrame) -> int | None:
     One aggregate pass over the text columns; only flags come to the driver.
     """
     numbered = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
-    if "string" not in dict(numbered.dtypes).values():
-        return None
-    flags = url_flags(numbered)
-    row = flags.head()
-    return next((int(name[1:]) for name in flags.columns if row[name]), None)
+    flags = url_flag_columns(numbered)
+    return first_flagged(numbered.agg(*flags).head()) if flags else None
+
+
+def first_flagged(flags: Row) -> int | None:
+    """Place of the first flag that is set, of flags named c0, c1, ..."""
+    return next((int(n[1:]) for n, v in flags.asDict().items() if v is True), None)
 
 
 class MissingField(ValueError):

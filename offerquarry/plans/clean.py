@@ -16,10 +16,14 @@ from offerquarry.operators.binding import with_bound
 from offerquarry.operators.dedupe import keep_first
 from offerquarry.operators.headers import (
     MissingField,
+    Roles,
+    find_column,
     find_roles,
+    first_flagged,
     first_url_column,
     kept_name,
     unique_names,
+    url_flag_columns,
 )
 from offerquarry.sources.listing_files import FILE_ORDER
 
@@ -27,52 +31,135 @@ PAGE_ORDER = ["page_no", "pos"]
 
 
 @dataclass(frozen=True)
-class Derived:
-    """All raw rows under the clean columns."""
+class Source:
+    """A raw table as read up: missing-value words are null, columns numbered."""
 
-    rows: DataFrame
-    keys: list[str]  # columns that are equal in duplicates
-    required: DataFrame  # price and product_name alone, for checks
+    headers: list[str]
+    roles: Roles
+    texts: DataFrame  # c0, c1, ...: header names may differ in case only
 
+    def text(self, place: int | None) -> Column | None:
+        """A column as text."""
+        if place is None:
+            return None
+        value, kind = F.col(f"c{place}"), self.texts.schema[place].dataType
+        if isinstance(kind, StringType):
+            return value
+        if isinstance(kind, (DoubleType, FloatType)):
+            return money.float_text(value.cast("double"))
+        return value.cast("string")
 
-def derive(raw: DataFrame, url_column: str | None = None) -> Derived:
-    """Compute every clean column in one projection, for good and bad rows alike.
+    def price(self) -> Column:
+        return money.parse_number_eu(self.text(self.roles.price))
 
-    Product names come from the first column that holds a URL anywhere; name it
-    in ``url_column`` to save the pass that looks for it.
-    """
+    def product_name(self, url_place: int) -> Column:
+        return skw_product_name(self.text(url_place))
+
+
+def read_up(raw: DataFrame) -> Source:
     headers = [h.strip() for h in raw.columns]
     roles = find_roles(headers)
     if roles.price is None:
         raise MissingField("required field: no price column found")
-
-    # Work on numbered columns: header names may differ in case only.
     numbered = raw.toDF(*[f"c{i}" for i in range(len(headers))])
     texts = numbered.select(
-        *[_as_read(F.col(f.name), f.dataType).alias(f.name) for f in numbered.schema]
-    )
-    url_place = (
-        first_url_column(texts) if url_column is None else headers.index(url_column)
+        *[
+            (
+                text.missing_to_null(F.col(f.name))
+                if isinstance(f.dataType, StringType)
+                else F.col(f.name)
+            ).alias(f.name)
+            for f in numbered.schema
+        ]
     )
-    if url_place is None:
+    return Source(headers, roles, texts)
+
+
+def find_url_place(source: Source, url_column: str | None) -> int:
+    """The column with product names: the named one, else the first with a URL."""
+    if url_column is not None:
+        return source.headers.index(url_column)
+    place = first_url_column(source.texts)
+    if place is None:
         raise MissingField("required field: no URL column to take product names from")
+    return place
+
+
+def check_required(source: Source, url_column: str | None) -> int:
+    """Raise if any row lacks a product name or a price; else the URL column.
+
+    If the URL column is yet to be found, the same pass counts for the column
+    ``link``, so a second pass is needed only where another one comes first.
+    """
+
+    def lacking(place: int) -> list[Column]:
+        return [
+            F.count_if(source.product_name(place).isNull()).alias("no_name"),
+            F.count_if(source.price().isNull()).alias("no_price"),
+        ]
+
+    counts, place = None, None
+    if url_column is None:
+        guess = find_column(source.headers, ["link"])
+        counts = source.texts.agg(
+            *url_flag_columns(source.texts),
+            *(lacking(guess) if guess is not None else [F.count("*")]),
+        ).head()
+        place = first_flagged(counts)
+        if place is None:
+            raise MissingField(
+                "required field: no URL column to take product names from"
+            )
+        if place != guess:
+            counts = None
+    else:
+        place = source.headers.index(url_column)
+    if counts is None:
+        counts = source.texts.agg(*lacking(place)).head()
+
+    if counts.no_name:
+        raise MissingField(
+            f"required field 'product_name' is missing in {counts.no_name} rows "
+            f"(no 'skw' or '_skw' parameter)"
+        )
+    if counts.no_price:
+        raise MissingField(
+            f"required field 'price' is unreadable in {counts.no_price} rows"
+        )
+    return place
+
+
+@dataclass(frozen=True)
+class Derived:
+    """All raw rows under the clean columns."""
+
+    rows: DataFrame
+    keys: list[str]  # columns that are equal in duplicates
+
+
+def derive(source: Source, url_place: int) -> Derived:
+    """Compute every clean column in one projection, for good and bad rows alike."""
+    headers, roles, texts = source.headers, source.roles, source.texts
 
     def column(place: int | None) -> Column | None:
         return None if place is None else F.col(f"c{place}")
 
-    price_text = _as_text(texts, roles.price)
-    shipping_text = _as_text(texts, roles.shipping)
-    country_text = _as_text(texts, roles.country)
-    condition_text = _as_text(texts, roles.condition)
+    price_text = source.text(roles.price)
+    shipping_text = source.text(roles.shipping)
+    country_text = source.text(roles.country)
+    condition_text = source.text(roles.condition)
     title = column(roles.title)
 
-    price = money.parse_number_eu(price_text)
-    name = skw_product_name(_as_text(texts, url_place))
     shipping = (
         F.lit(0.0) if shipping_text is None else money.shipping_cost(shipping_text)
     )
     computed = with_bound(
-        texts, {"price": price, "shipping": shipping, "product_name": name}
+        texts,
+        {
+            "price": source.price(),
+            "shipping": shipping,
+            "product_name": source.product_name(url_place),
+        },
     )
     clean: dict[str, Column] = {
         "title": F.lit("") if title is None else title,
@@ -110,40 +197,7 @@ def derive(raw: DataFrame, url_column: str | None = None) -> Derived:
         place = first_url_column(rows)
         if place is not None and rows.columns[place] not in keys:
             keys.append(rows.columns[place])
-    required = texts.select(price.alias("price"), name.alias("product_name"))
-    return Derived(rows, keys, required)
-
-
-def _as_read(value: Column, kind) -> Column:
-    return text.missing_to_null(value) if isinstance(kind, StringType) else value
-
-
-def _as_text(df: DataFrame, place: int | None) -> Column | None:
-    if place is None:
-        return None
-    value, kind = F.col(f"c{place}"), df.schema[place].dataType
-    if isinstance(kind, StringType):
-        return value
-    if isinstance(kind, (DoubleType, FloatType)):
-        return money.float_text(value.cast("double"))
-    return value.cast("string")
-
-
-def check_required(required: DataFrame) -> None:
-    """Raise if any row lacks a product name or a price."""
-    counts = required.agg(
-        F.count_if(F.col("product_name").isNull()).alias("missing_product_name"),
-        F.count_if(F.col("price").isNull()).alias("missing_price"),
-    ).head()
-    if counts.missing_product_name:
-        raise MissingField(
-            f"required field 'product_name' is missing in "
-            f"{counts.missing_product_name} rows (no 'skw' or '_skw' parameter)"
-        )
-    if counts.missing_price:
-        raise MissingField(
-            f"required field 'price' is unreadable in {counts.missing_price} rows"
-        )
+    return Derived(rows, keys)
 
 
 def row_order(df: DataFrame) -> list[str]:
@@ -164,11 +218,12 @@ def clean_listings(
     """The clean listing table; stops if any row lacks a name or a price.
 
     Of rows with equal title, price and link the first in ``order_by`` stays;
-    ``scope`` columns (say, a search id) keep rows of different runs apart.
+    ``scope`` columns (say, a search id) keep rows of different runs apart.  Product
+    names come from ``url_column``, else from the first column with a URL anywhere.
     """
     order_by = list(order_by or row_order(raw))
-    derived = derive(raw, url_column)
-    check_required(derived.required)
+    source = read_up(raw)
+    derived = derive(source, check_required(source, url_column))
     return keep_first(derived.rows, [*scope, *derived.keys], order_by)
 
 
@@ -185,7 +240,8 @@ def split_listings(
     they lack in ``missing_field``.
     """
     order_by = list(order_by or row_order(raw))
-    derived = derive(raw, url_column)
+    source = read_up(raw)
+    derived = derive(source, find_url_place(source, url_column))
     missing = F.when(F.col("product_name").isNull(), F.lit("product_name")).when(
         F.col("price").isNull(), F.lit("price")
     )
@@ -202,7 +258,8 @@ def quality_report(
 
     Duplicates are counted among the good rows.
     """
-    derived = derive(raw, url_column)
+    source = read_up(raw)
+    derived = derive(source, find_url_place(source, url_column))
     keys = [*scope, *derived.keys]
     groups = (
         derived.rows.withColumn("_no_name", F.col("product_name").isNull())

@@ -204,3 +204,16 @@ def test_clean_a_csv_file_in_file_order(spark, tmp_path):
         ('A "1"\nzwei', 1.0, "Wien"),
         ("B", 2.5, ""),
     ]
+
+
+def test_names_come_from_the_first_url_column_even_before_link(spark):
+    raw = table(
+        spark,
+        ["quelle", "preis", "link"],
+        ("https://x/?skw=a", "1", "https://m"),
+        ("https://x/?skw=b", "2", LINK),
+    )
+    names = [r["product_name"] for r in rows_of(clean_listings(raw, order_by=["row_no"]))]
+    assert names == ["A", "B"]
+    with pytest.raises(MissingField, match="product_name.* 1 rows"):
+        clean_listings(raw, order_by=["row_no"], url_column="link")
