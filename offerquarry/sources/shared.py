@@ -1,38 +1,59 @@
 """Intermediate tables in the cluster's shared folder.
 
 A job that needs the same costly result twice writes it once and reads it back.
-The table lies where ``spark.checkpoint.dir`` points, so it outlives executors.
+The table lies in the folder that ``spark.checkpoint.dir`` or
+``SparkContext.setCheckpointDir`` names, so it outlives executors.  Only a local
+session may do without one; its tables go to a temporary folder.
 """
 
 from __future__ import annotations
 
 import atexit
+import os
 import shutil
 import tempfile
 import uuid
+import zipfile
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
+import offerquarry
+
 
 @lru_cache(maxsize=1)
 def _local_folder() -> str:
-    """Fallback for sessions without a shared folder (tests, single machine)."""
+    """Fallback for local sessions: driver and tasks are one process."""
     folder = tempfile.mkdtemp(prefix="offerquarry-")
     atexit.register(shutil.rmtree, folder, ignore_errors=True)
     return folder
 
 
+class NoSharedFolder(RuntimeError):
+    """A cluster session names no folder that all its machines share."""
+
+
 def shared_folder(spark: SparkSession) -> str:
+    """The folder for stored tables; an error on a cluster that names none."""
+    context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/") + "/offerquarry"
-    return _local_folder()
+    folder = configured or context.getCheckpointDir()
+    if folder:
+        return folder.rstrip("/") + "/offerquarry"
+    if context.master == "local" or context.master.startswith("local["):
+        return _local_folder()
+    raise NoSharedFolder(
+        "set spark.checkpoint.dir to a folder that all machines of the cluster share"
+    )
+
+
+def _session_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}"
 
 
 def new_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that nothing else uses."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{_session_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def write_and_read(df: DataFrame, name: str) -> DataFrame:
@@ -46,6 +67,36 @@ def write_and_read(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def remove_stored(spark: SparkSession) -> bool:
+    """Delete all tables this session stored; call it once results are written."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_session_folder(spark))
+    files = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    return files.delete(path, True)
+
+
+_shipped: set[str] = set()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Send this package to the executors, once per session.
+
+    Does what ``--py-files`` does at submission; jobs with Python steps call it, so
+    executors need no installation.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = os.path.dirname(os.path.abspath(offerquarry.__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="offerquarry-code-"), "offerquarry.zip")
+    with zipfile.ZipFile(path, "w") as archive:
+        for folder, _, names in os.walk(package):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                file = os.path.join(folder, name)
+                archive.write(file, os.path.relpath(file, os.path.dirname(package)))
+    context.addPyFile(path)
+    _shipped.add(context.applicationId)
+
+
 def spread_small(scan: DataFrame) -> DataFrame:
     """Deal the rows of a small table out to all cores, before a CPU-heavy step.
 
