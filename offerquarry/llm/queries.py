@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from offerquarry.llm import quality_rules
+from offerquarry.llm import minhash_dedup, quality_rules
 
 QUERIES = {
+    "op1_minhash_dedup": minhash_dedup.op1_minhash_dedup,
     "op10_quality_rules": quality_rules.op10_quality_rules,
 }
 
