@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from offerquarry.llm import minhash_dedup, quality_rules
+from offerquarry.llm import minhash_dedup, quality_rules, source_mix
 
 QUERIES = {
     "op1_minhash_dedup": minhash_dedup.op1_minhash_dedup,
+    "op3_source_mix": source_mix.op3_source_mix,
     "op10_quality_rules": quality_rules.op10_quality_rules,
 }
 
