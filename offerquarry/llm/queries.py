@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
-from offerquarry.llm import minhash_dedup, personal_data, quality_rules, source_mix
+from offerquarry.llm import (
+    minhash_dedup,
+    personal_data,
+    quality_rules,
+    sentence_pieces,
+    source_mix,
+)
 
 QUERIES = {
     "op1_minhash_dedup": minhash_dedup.op1_minhash_dedup,
     "op3_source_mix": source_mix.op3_source_mix,
+    "op5_sentence_pieces": sentence_pieces.op5_sentence_pieces,
     "op7_personal_data": personal_data.op7_personal_data,
     "op10_quality_rules": quality_rules.op10_quality_rules,
 }
