@@ -35,6 +35,7 @@ from pyspark.sql.types import ArrayType, LongType
 
 from offerquarry.llm.common import WordHashes, mixed, read_table, shingle_hashes, utf8
 from offerquarry.llm.components import components
+from offerquarry.operators.dedupe import keep_first
 from offerquarry.operators.ordering import with_position
 from offerquarry.sources.shared import ship_code, write_and_read
 
@@ -257,5 +258,22 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     )
 
 
+def keep_one(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """The rows of ``docs``, one of each group of near duplicates, with all columns.
+
+    Of rows with the same id one stays; rows without an id stay.
+    """
+    judged = near_duplicates(docs, shingle)
+    gone = write_and_read(judged.where("NOT kept").select(F.col("doc_id").alias("id")).distinct(), "gone")
+    rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.struct("*").alias("row"))
+    counts = rows.where("id IS NOT NULL").groupBy("id").agg(F.count("*").alias("n"))
+    repeated = write_and_read(counts.where("n > 1").select("id"), "repeated")
+    rows = rows.join(gone, "id", "left_anti")
+    once = rows.join(repeated, "id", "left_anti")
+    again = rows.join(repeated, "id", "left_semi")
+    again = keep_first(again.withColumn("text", F.col("row.text")), ["id"], ["text"])
+    return once.select("row.*").unionAll(again.select("row.*"))
+
+
 def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"), shingle=2)

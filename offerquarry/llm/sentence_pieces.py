@@ -29,6 +29,7 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import cached_property
+from os.path import commonprefix
 
 import numpy as np
 import pyarrow as pa
@@ -46,7 +47,7 @@ MARK = "▁"  # stands for a space
 # The marks with what follows them; line ends, which no piece joins with letters, apart.
 _WORDS = re.compile(f"{MARK}*[^{MARK}\n]+|{MARK}+|\n")
 SLICE = 1 << 22  # characters whose words are encoded together
-MOST_KNOWN = 400_000  # words whose encoding a task remembers
+MOST_KNOWN = 1_000_000  # words whose encoding a task remembers
 
 NO_PIECE = -1
 _NORMAL, _UNKNOWN, _BYTE = 0, 1, 2
@@ -140,87 +141,77 @@ class Vocabulary:
 
 
 class Walk:
-    """Forward states of all prefixes of the current word, shared with the next one.
+    """Forward states of all prefixes of a word; the next word starts from shared ones.
 
-    For each depth: the last piece (or NO_PIECE for a character without one), where it
-    starts, the score so far, and the open paths into the vocabulary.
+    For each depth: the last piece (NO_PIECE for a character without one), the ids so
+    far, the score so far, and the open paths into the vocabulary with their starts.
     """
 
     def __init__(self, vocabulary: Vocabulary):
         self.v = vocabulary
-        self.last, self.begin, self.score = [NO_PIECE], [0], [0.0]
+        self.packed = [np.array([i], "<i4").tobytes() for i in range(len(vocabulary.pieces))]
+        self.last, self.ids, self.score = [NO_PIECE], [b""], [0.0]
         self.open: list[list[tuple[int, dict]]] = [[]]
 
-    def step(self, char: str) -> bool:
-        """Go one character on; False if no piece fits (BPE only)."""
-        v, depth = self.v, len(self.last)
-        paths, found = [], []
-        for begin, node in (*self.open[-1], (depth - 1, v.trie)):
-            node = node.get(char)
-            if node is not None:
+    def encode(self, word: str, shared: int) -> bytes | None:
+        """Ids of a word whose first ``shared`` characters are those of the one before.
+
+        None if merging reaches no piece at some place (BPE only); the states before it
+        stay, so that the next word may share them.
+        """
+        last, ids, score, open_ = self.last, self.ids, self.score, self.open
+        v, packed = self.v, self.packed
+        root, pairs, bpe = v.trie, v._pairs, v.bpe
+        for states in (last, ids, score, open_):
+            del states[shared + 1 :]
+        for at in range(len(last) - 1, len(word)):
+            char = word[at]
+            paths, best, best_begin, best_score = [], None, at, 0.0
+            for begin, node in (*open_[at], (at, root)):
+                node = node.get(char)
+                if node is None:
+                    continue
                 paths.append((begin, node))
-                if "" in node:
-                    found.append((begin, node[""]))
-        best = None
-        if not paths or paths[-1][0] != depth - 1 or "" not in paths[-1][1]:
-            # The character alone has no piece.
-            known = char in v.ids
-            best = None if known else (self.score[depth - 1] - 1e9, depth - 1, NO_PIECE)
-        for begin, piece in found:
-            if v.bpe:
-                before = self.last[begin]
-                if begin == 0 or before == NO_PIECE or v.follows(before, piece):
-                    best = (0.0, begin, piece)
-                    break
+                piece = node.get("")
+                if piece is None:
+                    continue
+                if bpe:
+                    if best is None:
+                        before = last[begin]
+                        fits = before == NO_PIECE or pairs.get((before, piece))
+                        if fits or (fits is None and v.follows(before, piece)):
+                            best, best_begin = piece, begin
+                else:
+                    total = score[begin] + v.scores[piece]
+                    if best is None or total > best_score:
+                        best, best_begin, best_score = piece, begin, total
+            if best is not None:
+                ids.append(ids[best_begin] + packed[best])
+            elif char in v.ids:
+                return None
             else:
-                score = self.score[begin] + v.scores[piece]
-                if best is None or score > best[0]:
-                    best = (score, begin, piece)
-        if best is None:
-            return False
-        self.score.append(best[0])
-        self.begin.append(best[1])
-        self.last.append(best[2])
-        self.open.append(paths)
-        return True
-
-    def back(self, depth: int) -> None:
-        for states in (self.last, self.begin, self.score, self.open):
-            del states[depth + 1 :]
-
-    def ids(self, word: str) -> list[int]:
-        """The encoding of the current word, from its end."""
-        groups, depth = [], len(word)
-        while depth:
-            piece, begin = self.last[depth], self.begin[depth]
-            groups.append(self.v.fallback(word[begin:depth]) if piece == NO_PIECE else [piece])
-            depth = begin
-        return [i for group in reversed(groups) for i in group]
-
-
-def encode_words(words: list[str], vocabulary: Vocabulary) -> Iterator[list[int]]:
-    """Encodings of sorted, distinct words."""
+                best, best_score = NO_PIECE, score[at] - 1e9
+                ids.append(ids[at] + b"".join(packed[i] for i in v.fallback(char)))
+            last.append(best)
+            score.append(best_score)
+            open_.append(paths)
+        return ids[-1]
+
+
+def encode_words(words: list[str], vocabulary: Vocabulary) -> Iterator[bytes]:
+    """Encodings of sorted, distinct words, as 32-bit numbers."""
     walk, before = Walk(vocabulary), ""
     for word in words:
-        if vocabulary.bpe and word.startswith(MARK * 2):
-            # Runs of marks have pieces of equal scores: merge by definition.
-            yield vocabulary.as_ids(vocabulary.merged(word))
-            continue
-        shared = 0
-        for a, b in zip(word, before):
-            if a != b:
-                break
-            shared += 1
-        walk.back(shared)
-        before = word
-        for at in range(shared, len(word)):
-            if not walk.step(word[at]):
-                before = word[:at]
-                break
-        if len(before) == len(word):
-            yield walk.ids(word)
-        else:  # a piece that merging cannot reach
-            yield vocabulary.as_ids(vocabulary.merged(word))
+        found = None
+        if not (vocabulary.bpe and word.startswith(MARK * 2)):
+            shared = len(commonprefix((word, before)))
+            found = walk.encode(word, shared)
+            before = word[: len(walk.last) - 1]
+        if found is None:
+            # Runs of marks have pieces of equal scores, and some pieces cannot be
+            # reached by merging: such words are merged by definition.
+            found = np.array(vocabulary.as_ids(vocabulary.merged(word)), "<i4").tobytes()
+        yield found
 
 
 class Encoder:
@@ -264,7 +255,7 @@ class Encoder:
         new.difference_update(self.known)
         ordered = sorted(new)
         for word, ids in zip(ordered, encode_words(ordered, self.v)):
-            self.known[word] = np.array(ids, "<i4").tobytes()
+            self.known[word] = ids
 
 
 def _cuts(marked: str) -> Iterator[tuple[int, int]]:
