@@ -2,7 +2,7 @@
 (operator 1).
 
 A document is its set of word shingles.  Documents with equal sets form one class,
-of which only one goes on.  A signature holds ``CHUNKS * CHUNK`` minima of 16 bits
+of which only one goes on.  A signature holds ``CHUNKS * CHUNK`` minima of 14 bits
 each; the Hamming distance of two signatures counts the places that differ.  By the
 pigeonhole principle, signatures that differ in at most ``2 * CHUNKS - 1`` places
 have a chunk with at most one error.  So each chunk is indexed under ``CHUNK`` keys,
@@ -44,34 +44,39 @@ SIMILAR = 80  # percent
 CHUNKS, CHUNK = 14, 5
 MOST_ERRORS = 32
 BLOCK = 256
-LANES = 18  # longs of four 16-bit places each, the last two places unused
+LANES = 18  # longs of four places in 15 bits each, the last two places unused
+BITS = 14
 
 _PLACES = np.arange(1, CHUNKS * CHUNK + 1, dtype=np.uint64)
 _FACTORS = (mixed(_PLACES * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1))[:, None]
 _SHIFTS = mixed(_PLACES * np.uint64(0xD1B54A32D192ED03))[:, None]
 _AT_ONCE = 2048
+_SHIFT = np.arange(4, dtype=np.uint64) * np.uint64(BITS + 1)
 
 
 def signature(shingles: np.ndarray) -> np.ndarray:
-    """16 bits of the least hash value, for each of the hash functions."""
+    """BITS of the least hash value of each hash function, packed into LANES longs."""
     least = np.full(len(_PLACES), np.iinfo(np.uint64).max, np.uint64)
     for start in range(0, len(shingles), _AT_ONCE):
         block = shingles[None, start : start + _AT_ONCE]
         np.minimum(least, (block * _FACTORS + _SHIFTS).min(axis=1), out=least)
-    places = (mixed(least) >> np.uint64(48)).astype(np.uint16)
-    return np.pad(places, (0, 4 * LANES - len(places)))
+    places = np.zeros(4 * LANES, np.uint64)
+    places[: len(least)] = mixed(least) >> np.uint64(64 - BITS)
+    return (places.reshape(LANES, 4) << _SHIFT).sum(axis=1, dtype=np.uint64)
 
 
 def index_keys(signatures: np.ndarray) -> np.ndarray:
     """Keys of all chunks, each with one place left out: a row per signature."""
-    chunks = signatures[:, : CHUNKS * CHUNK].reshape(-1, CHUNKS, CHUNK).astype(np.uint64)
+    places = (signatures[:, :, None] >> _SHIFT) & np.uint64((1 << BITS) - 1)
+    places = places.reshape(len(signatures), 4 * LANES)[:, : CHUNKS * CHUNK]
+    chunks = places.reshape(-1, CHUNKS, CHUNK)
     keys = np.empty((len(chunks), CHUNKS, CHUNK), np.uint64)
     number = np.arange(CHUNKS, dtype=np.uint64) * np.uint64(CHUNK)
     for left_out in range(CHUNK):
         key = np.zeros(chunks.shape[:2], np.uint64)
         for place in range(CHUNK):
             if place != left_out:
-                key = (key << np.uint64(16)) | chunks[:, :, place]
+                key = (key << np.uint64(BITS)) | chunks[:, :, place]
         keys[:, :, left_out] = mixed(key) ^ mixed(number + np.uint64(left_out + 1))
     return keys.reshape(len(chunks), -1).view(np.int64)
 
@@ -118,7 +123,7 @@ def shingle_set(size: int, text: str = "text") -> Column:
 @F.arrow_udf(ArrayType(LongType()))
 def _keys(signatures: pa.Array) -> pa.Array:
     lanes = np.ascontiguousarray(signatures.flatten().to_numpy(), np.int64)
-    return _lists(list(index_keys(lanes.view(np.uint16).reshape(-1, 4 * LANES))))
+    return _lists(list(index_keys(lanes.view(np.uint64).reshape(-1, LANES))))
 
 
 def _classes(docs: DataFrame) -> DataFrame:
@@ -187,13 +192,16 @@ def _slices(lists: pa.ListArray) -> list[np.ndarray]:
 
 
 def _errors(a: str, b: str) -> Column:
-    """Hamming distance of two signatures: 16-bit places that differ."""
+    """Hamming distance of two signatures: places that differ.
+
+    Adding all ones to the difference of a place sets its spare bit unless it is 0.
+    """
+    ones = F.lit(sum(((1 << BITS) - 1) << shift for shift in _SHIFT.tolist()))
+    spare = F.lit(sum(1 << (shift + BITS) for shift in _SHIFT.tolist()))
     total = F.lit(0)
     for lane in range(LANES):
-        x = F.col(a)[lane].bitwiseXOR(F.col(b)[lane])
-        for shift in (8, 4, 2, 1):  # the lowest bit of a place becomes the OR of all 16
-            x = x.bitwiseOR(F.shiftrightunsigned(x, shift))
-        total = total + F.bit_count(x.bitwiseAND(F.lit(0x0001_0001_0001_0001)))
+        differing = F.col(a)[lane].bitwiseXOR(F.col(b)[lane]) + ones
+        total = total + F.bit_count(differing.bitwiseAND(spare))
     return total
 
 
