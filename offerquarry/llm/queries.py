@@ -8,11 +8,13 @@ from offerquarry.llm import (
     quality_rules,
     sentence_pieces,
     source_mix,
+    web_archives,
 )
 
 QUERIES = {
     "op1_minhash_dedup": minhash_dedup.op1_minhash_dedup,
     "op3_source_mix": source_mix.op3_source_mix,
+    "op4_web_archives": web_archives.op4_web_archives,
     "op5_sentence_pieces": sentence_pieces.op5_sentence_pieces,
     "op7_personal_data": personal_data.op7_personal_data,
     "op10_quality_rules": quality_rules.op10_quality_rules,
