@@ -6,17 +6,21 @@ from offerquarry.llm import (
     minhash_dedup,
     personal_data,
     quality_rules,
+    rule_ensemble,
     sentence_pieces,
     source_mix,
+    toxicity,
     web_archives,
 )
 
 QUERIES = {
     "op1_minhash_dedup": minhash_dedup.op1_minhash_dedup,
+    "op2_toxicity": toxicity.op2_toxicity,
     "op3_source_mix": source_mix.op3_source_mix,
     "op4_web_archives": web_archives.op4_web_archives,
     "op5_sentence_pieces": sentence_pieces.op5_sentence_pieces,
     "op7_personal_data": personal_data.op7_personal_data,
+    "op9_rule_ensemble": rule_ensemble.op9_rule_ensemble,
     "op10_quality_rules": quality_rules.op10_quality_rules,
 }
 
