@@ -7,7 +7,7 @@ left are few and can be sent to all tasks.
 
 Learning takes a sample of at most ``SAMPLE`` labelled texts (those whose id has the
 smallest hash), in ``SHARDS`` shards that Spark trains in parallel; the weights of the
-shards are averaged.  A feature must occur in ``LEAST_TEXTS`` texts of its shard, so the
+shards are averaged (one shard is enough for this sample).  A feature must occur in ``LEAST_TEXTS`` texts of its shard, so the
 number of weights is bounded by the sample.  Scoring covers whole texts of all rows.
 
 Special cases: a null text is empty, and has the score of the constant alone; rows
@@ -29,11 +29,11 @@ from pyspark.sql.types import DoubleType
 from offerquarry.llm.common import WordHashes, joined, mixed, read_table, utf8
 from offerquarry.sources.shared import ship_code, write_and_read
 
-SAMPLE = 20_000
-SHARDS = 4
+SAMPLE = 10_000
+SHARDS = 1
 LEAST_TEXTS = 5
-EPOCHS = 4
-ALPHA, BETA, L1, L2 = 0.3, 1.0, 2.0, 1.0
+EPOCHS = 10
+ALPHA, BETA, L1, L2 = 2.0, 1.0, 8.0, 0.0
 TOXIC = 0.7
 _MARKS = bytes.maketrans(b".,;:!?\"'()[]{}", b" " * 14)
 _FILTER_BITS = 22
