@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from offerquarry.llm import (
     minhash_dedup,
+    neighbour_graph,
     personal_data,
     quality_rules,
     rule_ensemble,
@@ -20,6 +21,7 @@ QUERIES = {
     "op4_web_archives": web_archives.op4_web_archives,
     "op5_sentence_pieces": sentence_pieces.op5_sentence_pieces,
     "op7_personal_data": personal_data.op7_personal_data,
+    "op8_neighbour_graph": neighbour_graph.op8_neighbour_graph,
     "op9_rule_ensemble": rule_ensemble.op9_rule_ensemble,
     "op10_quality_rules": quality_rules.op10_quality_rules,
 }
