@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from offerquarry.llm import (
+    license_scan,
     minhash_dedup,
     neighbour_graph,
     personal_data,
@@ -20,6 +21,7 @@ QUERIES = {
     "op3_source_mix": source_mix.op3_source_mix,
     "op4_web_archives": web_archives.op4_web_archives,
     "op5_sentence_pieces": sentence_pieces.op5_sentence_pieces,
+    "op6_license_scan": license_scan.op6_license_scan,
     "op7_personal_data": personal_data.op7_personal_data,
     "op8_neighbour_graph": neighbour_graph.op8_neighbour_graph,
     "op9_rule_ensemble": rule_ensemble.op9_rule_ensemble,
