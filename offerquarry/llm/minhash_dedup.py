@@ -176,51 +176,101 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 rows = _slices(side.field("shingles"))
                 of.append(dict(zip(side.field("node").to_pylist(), rows)))
             for a, b in zip(pairs.field("a").to_pylist(), pairs.field("b").to_pylist()):
-                x, y = of[0].get(a), of[1].get(b)
-                if x is None or y is None or 100 * min(len(x), len(y)) < SIMILAR * max(len(x), len(y)):
-                    continue
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                if 100 * both >= SIMILAR * (len(x) + len(y) - both):
+                if a in of[0] and b in of[1] and _alike(of[0][a], of[1][b]):
                     found[0].append(a)
                     found[1].append(b)
             yield pa.RecordBatch.from_arrays([pa.array(f, pa.int64()) for f in found], ["a", "b"])
 
 
+def _alike(x: np.ndarray, y: np.ndarray) -> bool:
+    """Are two full sets similar enough?"""
+    if 100 * min(len(x), len(y)) < SIMILAR * max(len(x), len(y)):
+        return False
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * both >= SIMILAR * (len(x) + len(y) - both)
+
+
 def _slices(lists: pa.ListArray) -> list[np.ndarray]:
     ends, values = lists.offsets.to_numpy(), lists.values.to_numpy()
     return [values[i:j] for i, j in zip(ends[:-1], ends[1:])]
 
 
-def _errors(a: str, b: str) -> Column:
-    """Hamming distance of two signatures: places that differ.
+def _remaining(shared: DataFrame, labels: DataFrame, nodes: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links between members of a common key that are not connected yet.
 
-    Adding all ones to the difference of a place sets its spare bit unless it is 0.
+    Members are laid in blocks of ``BLOCK``, those that met the same hub side by side.
+    Two blocks (or a block and itself) with a common key are compared in one task: first
+    all distances of their signatures, then the sets of the pairs that are close.  No
+    row is made for a pair unless it is a link.
     """
-    ones = F.lit(sum(((1 << BITS) - 1) << shift for shift in _SHIFT.tolist()))
-    spare = F.lit(sum(1 << (shift + BITS) for shift in _SHIFT.tolist()))
-    total = F.lit(0)
-    for lane in range(LANES):
-        differing = F.col(a)[lane].bitwiseXOR(F.col(b)[lane]) + ones
-        total = total + F.bit_count(differing.bitwiseAND(spare))
-    return total
-
-
-def _remaining(shared: DataFrame, labels: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Pairs under a common key that are not connected yet but may be alike."""
     component = F.coalesce("component", "node").alias("component")
-    members = shared.join(labels, "node", "left").select("key", "node", component)
+    members = shared.join(labels, "node", "left").select("key", "node", "hub", component)
     open_keys = members.groupBy("key").agg(
         F.min("component").alias("first"), F.max("component").alias("last")
     )
     members = members.join(open_keys.where("first <> last").select("key"), "key")
-    members = members.join(nodes.select("node", "signature"), "node")
     members = write_and_read(members, "members")
-    a, b = (members.select("key", *[F.col(c).alias(f"{c}_{x}") for c in ("node", "component", "signature")]) for x in "ab")
-    alike = (F.col("component_a") < F.col("component_b")) & (
-        _errors("signature_a", "signature_b") <= MOST_ERRORS
+    near = members.groupBy("node").agg(
+        F.min("hub").alias("near"), F.min("component").alias("component")
     )
-    pairs = a.join(b, (a.key == b.key) & alike)
-    return pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
+    placed = with_position(near, [F.col("near"), F.col("node")])
+    placed = placed.select("node", "component", F.expr(f"position div {BLOCK}").alias("block"))
+    placed = write_and_read(placed, "placed")
+    content = F.struct("node", "component", "signature", "shingles")
+    blocks = (
+        placed.join(nodes.select("node", "signature"), "node")
+        .join(sets, "node")
+        .groupBy("block")
+        .agg(F.collect_list(content).alias("sets"))
+    )
+    blocks = write_and_read(blocks, "blocks")
+    places = members.select("key", "node").join(placed, "node").select("key", "block").distinct()
+    places = write_and_read(places, "places")
+    met = places.withColumnRenamed("block", "a").join(places.withColumnRenamed("block", "b"), "key")
+    met = met.where("a <= b").select("a", "b").distinct()
+    both = met.join(blocks.toDF("a", "sets_a"), "a").join(blocks.toDF("b", "sets_b"), "b")
+    return both.select("a", "b", "sets_a", "sets_b").mapInArrow(_compare_blocks, "a long, b long")
+
+
+_ONES = np.uint64(sum(((1 << BITS) - 1) << shift for shift in _SHIFT.tolist()))
+_SPARE = np.uint64(sum(1 << (shift + BITS) for shift in _SHIFT.tolist()))
+
+
+def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Hamming distances of all signatures of two blocks: places that differ.
+
+    Adding all ones to the difference of a place sets its spare bit unless it is 0.
+    """
+    total = np.zeros((len(a), len(b)), np.uint8)
+    for lane in range(LANES):
+        differing = (a[:, lane, None] ^ b[None, :, lane]) + _ONES
+        total += np.bitwise_count(differing & _SPARE)
+    return total
+
+
+def _compare_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for row in range(batch.num_rows):
+            numbers = [batch.column(i)[row].as_py() for i in (0, 1)]
+            sides, found = [], [[], []]
+            for column in batch.columns[2:]:
+                members = column.slice(row, 1).flatten()
+                signatures = members.field("signature").flatten().to_numpy().view(np.uint64)
+                sides.append((
+                    members.field("node").to_numpy(), members.field("component").to_numpy(),
+                    signatures.reshape(-1, LANES), _slices(members.field("shingles")),
+                ))
+            (nodes_a, of_a, signatures_a, sets_a), (nodes_b, of_b, signatures_b, sets_b) = sides
+            close = of_a[:, None] != of_b[None, :]
+            if close.any():
+                close &= distances(signatures_a, signatures_b) <= MOST_ERRORS
+                if numbers[0] == numbers[1]:
+                    close = np.triu(close, 1)
+                for i, j in np.argwhere(close).tolist():
+                    if _alike(sets_a[i], sets_b[j]):
+                        found[0].append(nodes_a[i])
+                        found[1].append(nodes_b[j])
+            yield pa.RecordBatch.from_arrays([pa.array(f, pa.int64()) for f in found], ["a", "b"])
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
@@ -248,8 +298,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     pairs = shared.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b"))
     links = write_and_read(_confirmed(pairs.distinct(), sets), "confirmed")
     labels = components(links)
-    rest = _remaining(shared, labels, nodes)
-    more = write_and_read(_confirmed(rest, sets), "confirmed")
+    more = write_and_read(_remaining(shared, labels, nodes, sets), "confirmed")
     if not more.isEmpty():
         labels = components(links.union(more))
 
