@@ -27,9 +27,8 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from functools import cached_property
-from os.path import commonprefix
 
 import numpy as np
 import pyarrow as pa
@@ -47,12 +46,23 @@ MARK = "▁"  # stands for a space
 # The marks with what follows them; line ends, which no piece joins with letters, apart.
 _WORDS = re.compile(f"{MARK}*[^{MARK}\n]+|{MARK}+|\n")
 SLICE = 1 << 22  # characters whose words are encoded together
-MOST_KNOWN = 1_000_000  # words whose encoding a task remembers
+MOST_KNOWN = 700_000  # words whose encoding a task remembers
 
 NO_PIECE = -1
 _NORMAL, _UNKNOWN, _BYTE = 0, 1, 2
 
 
+class Pairs(dict):
+    """For two pieces, may they stand side by side?  Found out when first asked for."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        self.vocabulary = vocabulary
+
+    def __missing__(self, pair: tuple[int, int]) -> bool:
+        self[pair] = self.vocabulary.follows(*pair)
+        return self[pair]
+
+
 @dataclass
 class Vocabulary:
     """Pieces of a model by id."""
@@ -61,7 +71,6 @@ class Vocabulary:
     scores: list[float]
     kinds: list[int]
     bpe: bool
-    _pairs: dict[tuple[int, int], bool] = field(default_factory=dict)
 
     @classmethod
     def load(cls, path: str, bpe: bool = True) -> Vocabulary:
@@ -81,20 +90,34 @@ class Vocabulary:
 
     @cached_property
     def trie(self) -> dict:
-        """Nested by character; under the empty string the id of the piece so far."""
+        """By character: the id of the piece so far (or None), and what may follow."""
         root: dict = {}
         for piece, i in self.ids.items():
-            node = root
-            for char in piece:
-                node = node.setdefault(char, {})
-            node[""] = i
+            following = root
+            for char in piece[:-1]:
+                following = following.setdefault(char, [None, {}])[1]
+            following.setdefault(piece[-1], [None, {}])[0] = i
         return root
 
+    @cached_property
+    def pairs(self) -> Pairs:
+        return Pairs(self)
+
+    @cached_property
+    def encoder(self) -> Encoder:
+        """Lives as long as the vocabulary, so the tasks of a worker share it."""
+        return Encoder(self)
+
     @cached_property
     def bytes(self) -> dict[int, int]:
         """Ids of the byte pieces."""
         return {int(p[3:5], 16): i for i, p in enumerate(self.pieces) if self.kinds[i] == _BYTE}
 
+    @cached_property
+    def packed(self) -> list[bytes]:
+        """Ids as 32-bit numbers."""
+        return [np.array([i], "<i4").tobytes() for i in range(len(self.pieces))]
+
     @cached_property
     def surfaces(self) -> list[bytes]:
         return [
@@ -125,11 +148,8 @@ class Vocabulary:
 
     def follows(self, first: int, second: int) -> bool:
         """May the two pieces stand side by side in a BPE encoding?"""
-        known = self._pairs.get((first, second))
-        if known is None:
-            pair = [self.pieces[first], self.pieces[second]]
-            known = self._pairs[first, second] = self.merged("".join(pair)) == pair
-        return known
+        pair = [self.pieces[first], self.pieces[second]]
+        return self.merged("".join(pair)) == pair
 
     def as_ids(self, parts: list[str]) -> list[int]:
         """Parts of a merged word; single characters may be without a piece."""
@@ -148,8 +168,8 @@ class Walk:
     """
 
     def __init__(self, vocabulary: Vocabulary):
-        self.v = vocabulary
-        self.packed = [np.array([i], "<i4").tobytes() for i in range(len(vocabulary.pieces))]
+        self.v, self.pairs = vocabulary, vocabulary.pairs
+        self.packed = vocabulary.packed
         self.last, self.ids, self.score = [NO_PIECE], [b""], [0.0]
         self.open: list[list[tuple[int, dict]]] = [[]]
 
@@ -161,25 +181,25 @@ class Walk:
         """
         last, ids, score, open_ = self.last, self.ids, self.score, self.open
         v, packed = self.v, self.packed
-        root, pairs, bpe = v.trie, v._pairs, v.bpe
+        root, pairs, bpe = v.trie, self.pairs, v.bpe
         for states in (last, ids, score, open_):
             del states[shared + 1 :]
         for at in range(len(last) - 1, len(word)):
             char = word[at]
             paths, best, best_begin, best_score = [], None, at, 0.0
-            for begin, node in (*open_[at], (at, root)):
-                node = node.get(char)
+            for begin, following in (*open_[at], (at, root)):
+                node = following.get(char)
                 if node is None:
                     continue
-                paths.append((begin, node))
-                piece = node.get("")
+                piece, following = node
+                if following:
+                    paths.append((begin, following))
                 if piece is None:
                     continue
                 if bpe:
                     if best is None:
                         before = last[begin]
-                        fits = before == NO_PIECE or pairs.get((before, piece))
-                        if fits or (fits is None and v.follows(before, piece)):
+                        if before == NO_PIECE or pairs[before, piece]:
                             best, best_begin = piece, begin
                 else:
                     total = score[begin] + v.scores[piece]
@@ -204,7 +224,11 @@ def encode_words(words: list[str], vocabulary: Vocabulary) -> Iterator[bytes]:
     for word in words:
         found = None
         if not (vocabulary.bpe and word.startswith(MARK * 2)):
-            shared = len(commonprefix((word, before)))
+            shared = 0
+            for a, b in zip(word, before):
+                if a != b:
+                    break
+                shared += 1
             found = walk.encode(word, shared)
             before = word[: len(walk.last) - 1]
         if found is None:
@@ -215,58 +239,51 @@ def encode_words(words: list[str], vocabulary: Vocabulary) -> Iterator[bytes]:
 
 
 class Encoder:
-    """Encodes texts; remembers words."""
+    """Encodes texts; remembers the words of late."""
 
     def __init__(self, vocabulary: Vocabulary):
         self.v, self.known = vocabulary, {}
 
     def texts(self, texts: list[str | None]) -> Iterator[bytes | None]:
         """The ids of each text as 32-bit numbers."""
-        group: list[list[list[str]] | None] = []
+        group: list[list[list[str] | bytes] | None] = []
+        new: set[str] = set()
         size = 0
         for text in texts:
-            if text is None:
-                group.append(None)
-                continue
-            marked = MARK + text.replace(" ", MARK) if text else ""
-            parts = []
-            for start, end in _cuts(marked):
-                parts.append(_WORDS.findall(marked, start, end))
-                size += end - start
+            group.append(None if text is None else [])
+            for words, length in _slices(text or ""):
+                group[-1].append(words)
+                new.update(words)
+                size += length
                 if size > SLICE:
-                    self.learn([w for g in (*group, parts) if g for p in g if isinstance(p, list) for w in p])
-                    group = [self.joined(g) for g in group]
-                    parts, size = [b"".join(map(self.known.__getitem__, p)) if isinstance(p, list) else p for p in parts], 0
-            group.append(parts)
-        self.learn([w for g in group if isinstance(g, list) for p in g if isinstance(p, list) for w in p])
-        yield from map(self.joined, group)
-
-    def joined(self, parts) -> bytes | None:
-        if parts is None or isinstance(parts, bytes):
-            return parts
-        return b"".join(
-            p if isinstance(p, bytes) else b"".join(map(self.known.__getitem__, p)) for p in parts
-        )
-
-    def learn(self, words: list[str]) -> None:
-        new = set(words)
-        if len(self.known) + len(new) > MOST_KNOWN:
+                    self.learn(new)
+                    group = [g if g is None else [self.joined(g)] for g in group]
+                    new, size = set(), 0
+        self.learn(new)
+        for parts in group:
+            yield None if parts is None else self.joined(parts)
+
+    def joined(self, parts: list[list[str] | bytes]) -> bytes:
+        known = self.known.__getitem__
+        return b"".join(p if isinstance(p, bytes) else b"".join(map(known, p)) for p in parts)
+
+    def learn(self, words: set[str]) -> None:
+        if len(self.known) + len(words) > MOST_KNOWN:
             self.known = {}
-        new.difference_update(self.known)
-        ordered = sorted(new)
-        for word, ids in zip(ordered, encode_words(ordered, self.v)):
-            self.known[word] = ids
+        ordered = sorted(words.difference(self.known))
+        self.known.update(zip(ordered, encode_words(ordered, self.v)))
 
 
-def _cuts(marked: str) -> Iterator[tuple[int, int]]:
-    """Slices of a marked text that end where a word does."""
+def _slices(text: str) -> Iterator[tuple[list[str], int]]:
+    """The marked words of a text, in slices that end where a word does."""
+    marked = MARK + text.replace(" ", MARK) if text else ""
     start = 0
     while start < len(marked):
-        end = start + SLICE
+        end = min(start + SLICE, len(marked))
         if end < len(marked):
             at = re.compile(f"(?<!{MARK}){MARK}").search(marked, end)
             end = at.start() if at else len(marked)
-        yield start, min(end, len(marked))
+        yield _WORDS.findall(marked, start, end), end - start
         start = end
 
 
@@ -286,7 +303,7 @@ def encoded(vocabulary: Broadcast, text: str = "text") -> Column:
 
     @F.arrow_udf(ArrayType(IntegerType()))
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encoder = Encoder(vocabulary.value)
+        encoder = vocabulary.value.encoder
         for texts in batches:
             rows = list(encoder.texts(texts.to_pylist()))
             ends = np.cumsum([0, *(len(r or b"") // 4 for r in rows)], dtype=np.int32)
@@ -315,7 +332,7 @@ def checked(vocabulary: Broadcast, text: str = "text") -> Column:
 
     @F.arrow_udf("n_pieces long, ids_sha256 string, restored boolean")
     def check(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encoder = Encoder(vocabulary.value)
+        encoder = vocabulary.value.encoder
         for batch in batches:
             texts = batch.to_pylist()
             numbers, digests, restored = [], [], []
