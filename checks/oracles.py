@@ -218,10 +218,28 @@ ORACLES = {
         price_text, condition_text, attr_texts, href, img_data_src
         FROM ({RESULT_CARDS}) AS cards""",
     "raw_listings": f"WITH {OFFERS} {ALL_PAGES}",
-    "scrape_stats": f"""SELECT search_id, page_id, 6 AS cards_found, 3 AS usable_offers
-        FROM ({LINKS}) AS links""",
-    "offers_found": f"""WITH {OFFERS} SELECT search_id, count(*) AS offers_found
-        FROM ({ALL_PAGES}) AS r GROUP BY search_id""",
+    "scrape_stats": f"""WITH {OFFERS}, kept AS (
+            SELECT search_id, page_no, count(*) AS n FROM ({ALL_PAGES}) AS r GROUP BY ALL),
+        card_counts AS (SELECT search_id, page_id, count(*) AS n
+            FROM (WITH links AS ({LINKS}) SELECT * FROM ({RESULT_CARDS}) AS r) GROUP BY ALL)
+        SELECT l.search_id, l.page_id, coalesce(c.n, 0) AS cards_found,
+            coalesce(kept.n, 0) AS usable_offers
+        FROM ({LINKS}) AS l LEFT JOIN card_counts AS c USING (search_id, page_id)
+        LEFT JOIN kept ON kept.search_id = l.search_id AND kept.page_no = l.page_id % 6 + 1""",
+    "offers_found": f"""WITH {OFFERS} SELECT s.search_id, count(r.search_id) AS offers_found
+        FROM (SELECT DISTINCT search_id FROM ({LINKS}) AS l) AS s
+        LEFT JOIN ({ALL_PAGES}) AS r ON r.search_id = s.search_id GROUP BY s.search_id""",
+    "long_amounts": r"""WITH t AS (SELECT doc_id, translate(regexp_replace(text,
+            '[^\x20\x09-\x0D]+', '1', 'g'), ' ' || chr(9) || chr(10) || chr(11) || chr(12)
+            || chr(13), '......') AS d FROM documents)
+        SELECT doc_id, try_cast(replace(d, '.', '') || '.5' AS DOUBLE) AS grouped,
+            CASE WHEN regexp_full_match(d, '[0-9]+\.?[0-9]*|\.[0-9]+') THEN try_cast(d AS DOUBLE) END AS dots,
+            CASE WHEN d NOT LIKE '%.%' THEN try_cast(d AS DOUBLE)
+                 WHEN length(d) - length(rtrim(d, '1')) <= 3 THEN
+                   try_cast(replace(left(d, length(rtrim(d, '1')) - 1), '.', '') || '.'
+                     || right(d, length(d) - length(rtrim(d, '1'))) AS DOUBLE) END AS commas,
+            CASE WHEN d NOT LIKE '%.%' THEN try_cast(d || '1.25' AS DOUBLE) END AS mixed
+        FROM t""",
     "page_walk": f"""WITH RECURSIVE links AS ({LINKS}), {WALK}
         SELECT search_id, page_no, url, page_id FROM walk""",
     "run_search": f"""WITH RECURSIVE {OFFERS}, {WALK},

@@ -94,11 +94,12 @@ def result_listings(spark, sf_dir):
 
 
 def scrape_stats(spark, sf_dir):
-    return page_stats(result_cards(spark, sf_dir), ["search_id", "page_id"])
+    pages = extract_pages(result_pages(spark, sf_dir))
+    return page_stats(pages, numbered_listings(spark, sf_dir))
 
 
 def offer_counts(spark, sf_dir):
-    return offers_found(numbered_listings(spark, sf_dir))
+    return offers_found(requests(spark, sf_dir), numbered_listings(spark, sf_dir))
 
 
 def requests(spark, sf_dir):
@@ -271,7 +272,7 @@ def max_price_filter(spark, sf_dir):
 
 
 def keyword_filter(spark, sf_dir):
-    return results.filter_keywords(good_rows(spark, sf_dir), "RED widget").select(
+    return results.filter_keywords(good_rows(spark, sf_dir), "RED widget r e d w").select(
         *LISTING_ORDER, "title"
     )
 
@@ -364,7 +365,22 @@ def raw_roundtrip(spark, sf_dir):
     return results.result_rows(cleaned).select(*fixed.DISPLAY_FIELDS)
 
 
+def long_amounts(spark, sf_dir):
+    """Amounts of texts as long as the documents: words become dot and comma groups."""
+    docs = _table(spark, sf_dir, "documents")
+    groups = F.regexp_replace("text", r"[^\x20\x09-\x0D]+", "1")
+    dots = F.translate(groups, " \t\n\x0b\x0c\r", "......")
+    shapes = {
+        "grouped": F.concat(dots, F.lit(",5")),
+        "dots": dots,
+        "commas": F.translate(dots, ".", ","),
+        "mixed": F.concat(F.lit("CHF "), dots, F.lit(",1,25")),
+    }
+    return docs.select("doc_id", *[money.parse_number_eu(c).alias(n) for n, c in shapes.items()])
+
+
 QUERIES = {
+    "long_amounts": long_amounts,
     "page_cards": page_cards,
     "seen_links": first_links,
     "result_cards": shown_result_cards,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable
 from functools import lru_cache
 
 from pyspark.sql import Column
@@ -30,9 +31,9 @@ def currency_fallback(price_text: Column, shipping_text: Column | None) -> Colum
 
 
 # One number among characters that are no digits, dots or commas: 12.50, 12,5 or 99 ...
-_ONE_NUMBER = r"\A[^0-9.,]*([0-9]+\.?[0-9]*|[0-9]*,[0-9]{0,3})[^0-9.,]*\z"
-# ... or 1.234.567,50
-_GROUPED_NUMBER = r"\A[^0-9.,]*([0-9]+(?:\.[0-9]+)+,[0-9]*)[^0-9.,]*\z"
+_ONE_NUMBER = r"\A[^0-9.,]*+([0-9]++\.?[0-9]*+|[0-9]*+,[0-9]{0,3})[^0-9.,]*+\z"
+# ... or dots, then one comma: 1.234.567,50.  No group repeats, so long texts are safe.
+_GROUPED_NUMBER = r"\A[^0-9.,]*+([0-9]++\.[0-9.]*+,[0-9]*+)[^0-9.,]*+\z"
 
 
 def parse_number_eu(text: Column) -> Column:
@@ -55,20 +56,27 @@ def parse_number_eu(text: Column) -> Column:
     )
 
 
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _decimal_dots(text: Column) -> Column:
+    """Drop thousands marks and blanks, make decimal marks dots."""
+    # Only commas, and a short rest after the last one: that one is the decimal mark.
+    commas = F.regexp_replace(text, r"\A([^.]*),([^.,]{0,3})\z", "$1;$2")
+    return F.when(
+        text.contains(".") & text.contains(","), F.translate(text, ",. ", ".")
+    ).otherwise(F.translate(commas, ";, ", "."))
+
+
 def _parse_any_number(text: Column) -> Column:
-    """All rules in one chain that uses each step once, so plans stay small."""
+    """All rules; each step is linear in the length of the text."""
     step = F.regexp_replace(text, f"(?iu){fixed.AMOUNT_NOISE}", " ")
     step = strip(F.regexp_replace(step, f"[^0-9.,{WHITESPACE}]+", ""))
-    # Only commas, and a short rest after the last one: that one is the decimal mark.
-    step = F.regexp_replace(step, r"(?s)\A([^.]*),([^.,]{0,3})\z", "$1;$2")
-    # Dots and commas: tag the text, drop its dots, take its commas as decimal marks.
-    step = F.regexp_replace(step, r"(?s)\A(?=[^.]*\.)(?=[^,]*,).*\z", "$0B")
-    step = F.regexp_replace(step, r"(?s)\.(?=.*B\z)", "")
-    step = F.regexp_replace(step, r"(?s),(?=.*B\z)", ";")
-    # Thousands commas, blanks and the tag go, decimal marks become dots.
-    step = strip(F.translate(step, ";, B", "."))
+    step = strip(_bound(step, _decimal_dots))
     # Take it only if it has the shape of a number ("1d" would cast, too).
-    shaped = F.regexp_extract(step, r"\A(?:[0-9]+\.?[0-9]*|\.[0-9]+)\z", 0)
+    shaped = F.regexp_extract(step, r"\A(?:[0-9]++\.?[0-9]*+|\.[0-9]++)\z", 0)
     return shaped.try_cast("double")
 
 
@@ -114,19 +122,15 @@ def digits_only(text: Column) -> Column:
 def chf_format(value: Column) -> Column:
     """Digits of the value as "CHF 1'250"; a value without digits stays as is.
 
-    The value also stays if its digits do not form an integer: superscript-like
-    digits, or more than 4300 of them.
+    The value also stays if its digits do not form an integer (superscript-like ones).
     """
     text = value.cast("string")
     digits = digits_only(text)
-    usable = (
-        (digits != "")
-        & (F.length(digits) <= 4300)
-        & ~digits.rlike(f"[{_ranges('odd')}]")
-    )
+    usable = (digits != "") & ~digits.rlike(f"[{_ranges('odd')}]")
     ascii_digits = F.translate(digits, *_decimal_digits())
     number = F.regexp_replace(ascii_digits, r"\A0+(?=[0-9])", "")
-    grouped = F.regexp_replace(number, r"(?<=[0-9])(?=(?:[0-9]{3})+\z)", "'")
+    # From the end, so that each group of three is met once.
+    grouped = F.reverse(F.regexp_replace(F.reverse(number), "([0-9]{3})(?=[0-9])", "$1'"))
     return F.when(usable, F.concat(F.lit("CHF "), grouped)).otherwise(text)
 
 

@@ -13,17 +13,14 @@ from offerquarry import fixed
 from offerquarry.functions.urls import has_url
 
 
-def find_column(headers: Sequence[str], candidates: Sequence[str]) -> int | None:
-    """Place of the column that fits the earliest candidate, else None.
+def _key(header: str) -> str:
+    """Headers that differ in case or outer blanks are the same."""
+    return header.strip().lower()
 
-    Case and outer blanks do not matter.  Of two headers that are equal then,
-    the later one counts.
-    """
-    places = {h.strip().lower(): i for i, h in enumerate(headers)}
-    for candidate in candidates:
-        if candidate.strip().lower() in places:
-            return places[candidate.strip().lower()]
-    return None
+
+def last_place(headers: Sequence[str], name: str) -> int | None:
+    """Place of the last column of that name."""
+    return max((i for i, h in enumerate(headers) if _key(h) == _key(name)), default=None)
 
 
 @dataclass(frozen=True)
@@ -37,14 +34,26 @@ class Roles:
     shipping: int | None
 
 
+_SYNONYMS = {
+    "title": fixed.TITLE_HEADERS,
+    "condition": fixed.CONDITION_HEADERS,
+    "price": fixed.PRICE_HEADERS,
+    "country": fixed.COUNTRY_HEADERS,
+    "shipping": fixed.SHIPPING_HEADERS,
+}
+
+
 def find_roles(headers: Sequence[str]) -> Roles:
-    return Roles(
-        title=find_column(headers, fixed.TITLE_HEADERS),
-        condition=find_column(headers, fixed.CONDITION_HEADERS),
-        price=find_column(headers, fixed.PRICE_HEADERS),
-        country=find_column(headers, fixed.COUNTRY_HEADERS),
-        shipping=find_column(headers, fixed.SHIPPING_HEADERS),
-    )
+    """The column of each role: the best ranked synonym, of equal names the last."""
+    meanings: dict[str, list[tuple[str, int]]] = {}
+    for role, names in _SYNONYMS.items():
+        for rank, name in enumerate(names):
+            meanings.setdefault(_key(name), []).append((role, rank))
+    found: dict[str, tuple[int, int]] = {}
+    for place, header in enumerate(headers):
+        for role, rank in meanings.get(_key(header), ()):
+            found[role] = min(found.get(role, (rank, -place)), (rank, -place))
+    return Roles(**{role: -found[role][1] if role in found else None for role in _SYNONYMS})
 
 
 def kept_name(header: str) -> str:

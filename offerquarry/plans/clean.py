@@ -17,11 +17,11 @@ from offerquarry.operators.dedupe import keep_first
 from offerquarry.operators.headers import (
     MissingField,
     Roles,
-    find_column,
     find_roles,
     first_flagged,
     first_url_column,
     kept_name,
+    last_place,
     unique_names,
     url_flag_columns,
 )
@@ -75,10 +75,17 @@ def read_up(raw: DataFrame) -> Source:
     return Source(headers, roles, texts)
 
 
+def named_place(source: Source, column: str) -> int:
+    place = last_place(source.headers, column)
+    if place is None:
+        raise MissingField(f"required field: there is no column {column!r}")
+    return place
+
+
 def find_url_place(source: Source, url_column: str | None) -> int:
     """The column with product names: the named one, else the first with a URL."""
     if url_column is not None:
-        return source.headers.index(url_column)
+        return named_place(source, url_column)
     place = first_url_column(source.texts)
     if place is None:
         raise MissingField("required field: no URL column to take product names from")
@@ -100,7 +107,7 @@ def check_required(source: Source, url_column: str | None) -> int:
 
     counts, place = None, None
     if url_column is None:
-        guess = find_column(source.headers, ["link"])
+        guess = last_place(source.headers, "link")
         counts = source.texts.agg(
             *url_flag_columns(source.texts),
             *(lacking(guess) if guess is not None else [F.count("*")]),
@@ -113,7 +120,7 @@ def check_required(source: Source, url_column: str | None) -> int:
         if place != guess:
             counts = None
     else:
-        place = source.headers.index(url_column)
+        place = named_place(source, url_column)
     if counts is None:
         counts = source.texts.agg(*lacking(place)).head()
 

@@ -52,7 +52,7 @@ def filter_max_price(clean: DataFrame, limit: float) -> DataFrame:
 def filter_keywords(clean: DataFrame, query: str) -> DataFrame:
     """Clean listings whose title holds every word of a search, ignoring case."""
     title = F.lower("title")
-    for word in query.split()[: fixed.MAX_QUERY_WORDS]:
+    for word in query.split():
         clean = clean.where(title.contains(word.lower()))
     return clean
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +13,6 @@ from offerquarry.operators.cards import (
     Selectors,
     explode_cards,
     extract_pages,
-    is_offer,
     raw_listings,
 )
 from offerquarry.operators.dedupe import seen_links
@@ -41,29 +39,38 @@ def collect_searches(
 
     ``extracted`` is the output of ``extract_pages`` with ``search_id, page_id,
     url``; it is read twice, so hand in a stored table.  Links are followed on
-    narrow columns; cards are filtered before they are joined.
+    narrow columns, then joined with the cards of the pages they reach.
     """
     visits = page_walk(
         starts, extracted.select("search_id", "url", "page_id", "next_href"), max_pages
     )
-    offers = raw_listings(
-        explode_cards(extracted.select("page_id", "cards", "next_href")), item_path
-    )
-    found = visits.drop("url").join(offers, "page_id").drop("page_id")
+    # Visits first: cards of pages that no walk reaches are never exploded.
+    pages = extracted.select("page_id", "cards", "next_href")
+    visited = visits.drop("url").join(pages, "page_id").drop("page_id")
+    found = raw_listings(explode_cards(visited), item_path)
     return seen_links(found).select("search_id", *PAGE_ORDER, *fixed.RAW_FIELDS)
 
 
-def page_stats(cards: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Cards found and usable offers per page (duplicate links still count)."""
-    return cards.groupBy(*by).agg(
-        F.count("*").alias("cards_found"),
-        F.count_if(is_offer()).alias("usable_offers"),
+def page_stats(extracted: DataFrame, listings: DataFrame) -> DataFrame:
+    """Cards found and usable offers of every page, 0 where there are none.
+
+    ``extracted`` has ``search_id, page_id, cards``; ``listings`` the offers with
+    ``search_id, page_id`` after repeated links were dropped.
+    """
+    by = ["search_id", "page_id"]
+    pages = extracted.select(*by, F.size("cards").cast("long").alias("cards_found"))
+    usable = listings.groupBy(*by).agg(F.count("*").alias("usable_offers"))
+    return pages.join(usable, by, "left").select(
+        *by, "cards_found", F.coalesce("usable_offers", F.lit(0)).alias("usable_offers")
     )
 
 
-def offers_found(listings: DataFrame) -> DataFrame:
-    """Number of raw listings per search."""
-    return listings.groupBy("search_id").agg(F.count("*").alias("offers_found"))
+def offers_found(requests: DataFrame, listings: DataFrame) -> DataFrame:
+    """Number of raw listings of every search, 0 where there are none."""
+    counts = listings.groupBy("search_id").agg(F.count("*").alias("offers_found"))
+    return requests.select("search_id").join(counts, "search_id", "left").select(
+        "search_id", F.coalesce("offers_found", F.lit(0)).alias("offers_found")
+    )
 
 
 @dataclass(frozen=True)
@@ -82,14 +89,18 @@ def run_search(
     """Run many searches over captured pages.
 
     ``requests`` holds ``search_id, query, max_price``, ``pages`` holds
-    ``search_id, page_id, url, html``.  Each page is parsed once and its cards are
+    ``search_id, page_id, url, html``; keep pages partitioned by search where one
+    search is read at a time.  Each page of a requested search is parsed once (the
+    stored ids are broadcast if Spark's limit allows it) and its cards are
     stored; the raw listings are stored before they are cleaned, so a stopped
     cleaning leaves them in place.
     """
-    extracted = write_and_read(
-        extract_pages(pages.select("search_id", "page_id", "url", "html"), selectors),
-        "cards",
+    wanted = pages.select("search_id", "page_id", "url", "html").join(
+        write_and_read(requests.select("search_id").distinct(), "searches"),
+        "search_id",
+        "left_semi",
     )
+    extracted = write_and_read(extract_pages(wanted, selectors), "cards")
     raw = write_and_read(
         collect_searches(start_urls(requests), extracted, max_pages), "raw"
     )

@@ -5,12 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from offerquarry.sources.shared import spread_small
 
+def read_pages(spark: SparkSession, path: str, partitions: int | None = None) -> DataFrame:
+    """Pages kept as a Parquet table with a ``html`` column.
 
-def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    """Pages kept as a Parquet table with a ``html`` column."""
-    return spread_small(spark.read.parquet(path))
+    Parsing is CPU-heavy: with ``partitions``, rows are dealt out to that many tasks,
+    for a table in fewer splits than there are cores.
+    """
+    pages = spark.read.parquet(path)
+    return pages.repartition(partitions) if partitions else pages
 
 
 def read_html_files(spark: SparkSession, path: str) -> DataFrame:

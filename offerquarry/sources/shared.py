@@ -95,14 +95,3 @@ def ship_code(spark: SparkSession) -> None:
                 archive.write(file, os.path.relpath(file, os.path.dirname(package)))
     context.addPyFile(path)
     _shipped.add(context.applicationId)
-
-
-def spread_small(scan: DataFrame) -> DataFrame:
-    """Deal the rows of a small table out to all cores, before a CPU-heavy step.
-
-    ``scan`` is a table as read.  It is small if Spark reads it in fewer tasks
-    than there are cores, so at most ``spark.sql.files.maxPartitionBytes`` per
-    core are moved.  Larger tables stay as they are.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan

@@ -3,7 +3,8 @@ import pytest
 from offerquarry import MissingField, clean_listings, quality_report, split_listings
 from offerquarry.operators.dedupe import count_duplicates, keep_first
 from offerquarry.operators.headers import (
-    find_column,
+    find_roles,
+    last_place,
     first_url_column,
     resolve_columns,
     unique_names,
@@ -24,13 +25,13 @@ def rows_of(df):
     return [r.asDict() for r in df.orderBy("row_no").drop("row_no").collect()]
 
 
-def test_find_column():
-    headers = ["  Preis  ", "  VERSANDkosten ", " Titel "]
-    assert find_column(headers, ["preis"]) == 0
-    assert find_column(headers, ["versandkosten"]) == 1
-    assert find_column(headers, ["foobar"]) is None
-    assert find_column(["preis", "x", "PREIS"], ["Preis"]) == 2
-    assert find_column(["title", "Titel"], ["Titel", "title"]) == 1
+def test_roles_of_headers():
+    roles = find_roles(["  Preis  ", "  VERSANDkosten ", " Titel ", "foobar"])
+    assert (roles.price, roles.shipping, roles.title, roles.country) == (0, 1, 2, None)
+    assert find_roles(["preis", "x", "PREIS"]).price == 2
+    assert find_roles(["title", "Titel"]).title == 1
+    assert last_place([" Link", "x", "LINK "], "link") == 2
+    assert last_place(["a"], "link") is None
 
 
 def test_unique_names():
