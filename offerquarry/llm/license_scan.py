@@ -18,6 +18,7 @@ scanned whole; with an empty corpus there are no rows.
 from __future__ import annotations
 
 import json
+import re
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizer
@@ -98,10 +99,23 @@ def notices(spark: SparkSession) -> DataFrame:
 
 
 def lines(docs: DataFrame) -> DataFrame:
-    """``doc_id, line`` (its number from 0) and ``words`` of every line with a word."""
-    split = F.posexplode(F.split(F.coalesce(F.col("text").cast("string"), F.lit("")), "\n"))
-    rows = docs.select("doc_id", split.alias("line", "value"))
-    return rows.select("doc_id", "line", words(F.col("value")).alias("words")).where("size(words) > 0")
+    """``row, doc_id, line`` (its number from 0) and ``value`` of every line; ``row``
+    tells repeated rows apart."""
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
+    split = F.posexplode_outer(F.split(F.coalesce(F.col("text").cast("string"), F.lit("")), "\n"))
+    return rows.select("row", "doc_id", split.alias("line", "value"))
+
+
+def holds_any(anchors: list[str]) -> Column:
+    """Is one of these words among a line's words?
+
+    A pattern that lets at least these lines through spares most lines the split into
+    words: no word begins after a letter, and none goes on with a letter or digit, but
+    for version numbers, which a letter may follow.
+    """
+    ends = [re.escape(a) + ("(?![0-9])" if "." in a else "(?![a-z0-9])") for a in anchors]
+    likely = F.col("value").rlike(f"(?iu)(?<![a-z])(?:{'|'.join(ends)})")
+    return likely & F.arrays_overlap(words(F.col("value")), F.array(*map(F.lit, anchors)))
 
 
 class LicenseModel:
@@ -112,9 +126,12 @@ class LicenseModel:
         self.templates = write_and_read(
             known.select("family", F.explode("grams").alias("gram")).distinct(), "templates"
         )
-        order = F.xxhash64("words", F.lit(6))
-        sample = lines(docs).select("words").orderBy(order).limit(UNKNOWN_LINES)
-        sample = write_and_read(sample.withColumn("half", F.pmod(order, F.lit(2))), "lines")
+        # Lines are sampled by hash, before they are split into words.
+        order = F.xxhash64("value", "doc_id", "line", F.lit(6))
+        sample = lines(docs).where(F.col("value").rlike("[A-Za-z0-9]")).select("value", order.alias("half"))
+        sample = sample.orderBy("half", "value").limit(UNKNOWN_LINES)
+        sample = sample.select(words(F.col("value")).alias("words"), F.pmod("half", F.lit(2)).alias("half"))
+        sample = write_and_read(sample.where("size(words) > 0"), "lines")
         # A sampled line that is a notice itself is no example of unknown text.
         own = F.filter(F.col("words"), lambda w: F.length(w) > 2)
         clean = sample.where(~F.arrays_overlap(own, F.array(*map(F.lit, NOTICE_WORDS))))
@@ -122,7 +139,8 @@ class LicenseModel:
         rows = known.withColumn("half", F.lit(0)).unionByName(clean.withColumn("half", F.col("half").cast("int")))
         self.families = [*NAMES, UNKNOWN]
         label = F.array_position(F.array(*map(F.lit, self.families)), F.col("family")) - 1
-        rows = write_and_read(rows.withColumn("label", label.cast("double")), "training")
+        # One file, of a bounded size: the fit is many short jobs over it.
+        rows = write_and_read(rows.withColumn("label", label.cast("double")).coalesce(1), "training")
         learn = rows.where("half = 0")
         vocabulary = CountVectorizer(
             inputCol="grams", outputCol="features", binary=True, minDF=2.0, vocabSize=1 << 14
@@ -138,52 +156,70 @@ class LicenseModel:
             for i, w in enumerate(matrix[:, j])
             if w
         ]
-        #: A few thousand rows: bounded by the notices.
-        self.weights = _table(spark, weights, "gram string, family string, weight double")
+        self.table = write_and_read(self._by_gram(spark, weights), "weights")
         self.constants = regression.interceptVector.toArray().tolist()
         self.anchors = sorted(
             {max(g.split(), key=lambda w: (len(w), w)) for g, f, w in weights if w > 0 and f != UNKNOWN}
         )
         half = rows.where(f"half = 1 AND family = '{UNKNOWN}'").select(
-            F.monotonically_increasing_id().alias("doc_id"), F.lit(0).alias("line"), "grams"
+            F.monotonically_increasing_id().alias("row"), F.lit(0).alias("doc_id"), F.lit(0).alias("line"), "grams"
         )
-        worst = self._probabilities(half).agg(F.max("probability")).first()[0]
+        worst = self._likeliest(half).agg(F.max("probability")).first()[0]
         #: A family must be likelier than it ever was for an unknown line, and than not.
         self.limit = max(0.5, min(worst or 0.0, 0.95))
 
-    def _probabilities(self, rows: DataFrame) -> DataFrame:
-        """``doc_id, line, family, probability`` of the likeliest family of each row."""
-        grams = rows.select("doc_id", "line", F.explode("grams").alias("gram"))
-        found = grams.join(self.weights, "gram").groupBy("doc_id", "line").pivot(
-            "family", self.families
-        ).agg(F.sum("weight"))
+    def _by_gram(self, spark: SparkSession, weights: list[tuple]) -> DataFrame:
+        """A row per n-gram: its weight by family (w0, w1, ...), and in which families'
+        notices it occurs (k0, k1, ...).  A few thousand rows: bounded by the notices."""
+        weighted = _table(spark, weights, "gram string, family string, weight double")
+        rows = weighted.withColumn("known", F.lit(0)).unionByName(
+            self.templates.select("gram", "family", F.lit(0.0).alias("weight"), F.lit(1).alias("known"))
+        )
+        return rows.groupBy("gram").agg(
+            *[
+                F.sum(F.when(F.col("family") == f, F.col(of)).otherwise(0)).alias(f"{of[0]}{i}")
+                for i, f in enumerate(self.families)
+                for of in ("weight", "known")
+            ]
+        )
+
+    def _likeliest(self, rows: DataFrame) -> DataFrame:
+        """``doc_id, line, family, probability, confirmed`` of each row's likeliest family.
+
+        ``confirmed`` is the percentage of its n-grams that the family's notices hold.
+        """
+        # Outer: for the inner one a filter on the array would be inferred and moved down to
+        # the scan, where the words are split again for each n-gram.  The join drops nulls.
+        gram = F.explode_outer("grams").alias("gram")
+        grams = rows.select("row", "doc_id", "line", F.size("grams").alias("n"), gram)
+        sums = [F.sum(f"{of}{i}").alias(f"{of}{i}") for i in range(len(self.families)) for of in "wk"]
+        found = grams.join(F.broadcast(self.table), "gram").groupBy("row", "doc_id", "line", "n").agg(*sums)
         scores = F.array(
             *[
-                F.struct((F.coalesce(F.col(f"`{f}`"), F.lit(0.0)) + F.lit(c)).alias("score"), F.lit(f).alias("family"))
-                for f, c in zip(self.families, self.constants)
+                F.struct(
+                    (F.col(f"w{i}") + F.lit(c)).alias("score"), F.lit(f).alias("family"), F.col(f"k{i}").alias("known")
+                )
+                for i, (f, c) in enumerate(zip(self.families, self.constants))
             ]
         )
-        rows = found.select("doc_id", "line", scores.alias("scores"))
-        rows = rows.withColumn("top", F.array_max("scores"))
+        found = found.select("doc_id", "line", "n", scores.alias("scores"))
+        found = found.withColumn("top", F.array_max("scores"))
         total = F.aggregate("scores", F.lit(0.0), lambda a, s: a + F.exp(s["score"] - F.col("top.score")))
-        return rows.select("doc_id", "line", "top.family", (1 / total).alias("probability")).where(
-            F.col("family") != UNKNOWN
-        )
+        return found.select(
+            "doc_id", "line", "top.family", (1 / total).alias("probability"), (100 * F.col("top.known") / F.col("n")).alias("confirmed")
+        ).where(F.col("family") != UNKNOWN)
 
     def scan(self, docs: DataFrame) -> DataFrame:
-        """``doc_id, line, family, probability, confirmed`` (percent) of licensed lines."""
-        rows = lines(docs).where(F.arrays_overlap("words", F.array(*map(F.lit, self.anchors))))
-        rows = rows.select("doc_id", "line", ngrams("words").alias("grams")).dropDuplicates()
-        rows = write_and_read(rows, "anchored")
-        found = self._probabilities(rows).where(F.col("probability") >= self.limit)
-        found = write_and_read(found, "found")
-        same = F.col("r.doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("r.line") == F.col("f.line"))
-        grams = found.alias("f").join(rows.alias("r"), same).select("f.*", F.explode("r.grams").alias("gram"))
-        template = self.templates.withColumn("known", F.lit(1))
-        shared = grams.join(template, ["family", "gram"], "left").groupBy(
-            "doc_id", "line", "family", "probability"
-        ).agg((100 * F.count("known") / F.count("*")).alias("confirmed"))
-        return shared.where(F.col("confirmed") >= CONFIRMED)
+        """``doc_id, line, family, probability, confirmed`` (percent) of licensed lines.
+
+        One pass over the corpus; what is shuffled is a row of sums per line that holds
+        the longest word of a telling n-gram.
+        """
+        rows = lines(docs).where(holds_any(self.anchors))
+        rows = rows.select("row", "doc_id", "line", words(F.col("value")).alias("words"))
+        found = self._likeliest(rows.select("row", "doc_id", "line", ngrams("words").alias("grams")))
+        kept = (F.col("probability") >= self.limit) & (F.col("confirmed") >= CONFIRMED)
+        return found.where(kept).dropDuplicates()
 
 
 def scan_documents(docs: DataFrame) -> DataFrame:
@@ -192,7 +228,7 @@ def scan_documents(docs: DataFrame) -> DataFrame:
     found = LicenseModel(docs.sparkSession, texts).scan(texts)
     families = found.groupBy("doc_id").agg(
         F.array_join(F.sort_array(F.collect_set("family")), ",").alias("licences"),
-        F.count("*").alias("n_paragraphs"),
+        F.count_distinct("line").alias("n_paragraphs"),
     )
     families = write_and_read(families.withColumnRenamed("doc_id", "id"), "licences")
     return texts.select("doc_id").join(families, F.col("doc_id").eqNullSafe(F.col("id")), "left").select(
