@@ -92,7 +92,11 @@ def write_raw_csv(listings: DataFrame, path: str, encoding: str = "UTF-8") -> No
 
 
 def write_clean_csv(listings: DataFrame, path: str) -> None:
-    """Clean listings as CSV files, amounts in plain notation; overwrites."""
+    """Clean listings as CSV files, amounts in plain notation; overwrites.
+
+    The ``FILE_ORDER`` columns tell where rows came from and are not written.
+    """
+    listings = listings.drop(*FILE_ORDER)
     doubles = {
         name: float_text(F.col(f"`{name}`"))
         for name, kind in listings.dtypes

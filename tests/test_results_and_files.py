@@ -125,3 +125,12 @@ def test_search_log(spark, tmp_path):
         search_log.append_searches(request, path)
     rows = search_log.read_search_log(spark, path).orderBy("Produkt").collect()
     assert [tuple(r) for r in rows] == [("iphone", "100", "Schweiz", ""), ("ski", "", "", "")]
+
+
+def test_clean_csv_has_no_file_order(spark, tmp_path):
+    rows = spark.createDataFrame(
+        [("Ski", 5.0, "file:/a.csv", 0, 1)],
+        "title string, price double, source_file string, source_block long, source_row long",
+    )
+    listing_files.write_clean_csv(rows, str(tmp_path / "clean"))
+    assert listing_files.read_clean_csv(spark, str(tmp_path / "clean")).collect() == [("Ski", "5.0")]
