@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -127,12 +127,12 @@ def first_url_column(df: DataFrame) -> int | None:
     """
     numbered = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
     flags = url_flag_columns(numbered)
-    return first_flagged(numbered.agg(*flags).head()) if flags else None
+    return first_flagged(numbered.agg(*flags).head().asDict()) if flags else None
 
 
-def first_flagged(flags: Row) -> int | None:
+def first_flagged(flags: dict[str, bool]) -> int | None:
     """Place of the first flag that is set, of flags named c0, c1, ..."""
-    return next((int(n[1:]) for n, v in flags.asDict().items() if v is True), None)
+    return next((int(n[1:]) for n, v in flags.items() if v is True), None)
 
 
 class MissingField(ValueError):

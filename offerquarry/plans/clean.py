@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, StringType
 
@@ -26,6 +26,7 @@ from offerquarry.operators.headers import (
     url_flag_columns,
 )
 from offerquarry.sources.listing_files import FILE_ORDER
+from offerquarry.sources.shared import write_and_read
 
 PAGE_ORDER = ["page_no", "pos"]
 
@@ -82,48 +83,45 @@ def named_place(source: Source, column: str) -> int:
     return place
 
 
+NO_URL_COLUMN = "required field: no URL column to take product names from"
+
+
 def find_url_place(source: Source, url_column: str | None) -> int:
     """The column with product names: the named one, else the first with a URL."""
     if url_column is not None:
         return named_place(source, url_column)
     place = first_url_column(source.texts)
     if place is None:
-        raise MissingField("required field: no URL column to take product names from")
+        raise MissingField(NO_URL_COLUMN)
     return place
 
 
-def check_required(source: Source, url_column: str | None) -> int:
-    """Raise if any row lacks a product name or a price; else the URL column.
+def derive_once(source: Source, url_column: str | None) -> Derived:
+    """All rows under the clean columns, stored, so that nothing is computed twice.
 
-    If the URL column is yet to be found, the same pass counts for the column
-    ``link``, so a second pass is needed only where another one comes first.
+    If the URL column is yet to be found, the pass that stores the rows looks for it
+    and takes names from the column ``link`` meanwhile; only where another column
+    comes first is there a second pass.
     """
+    guess = last_place(source.headers, "link")
+    flags = url_flag_columns(source.texts)
+    if url_column is not None or guess is None or not flags:
+        return derive(source, find_url_place(source, url_column), store=True)
+    seen = Observation()
+    watched = replace(source, texts=source.texts.observe(seen, *flags))
+    derived = derive(watched, guess, store=True)
+    place = first_flagged(seen.get)
+    if place is None:
+        raise MissingField(NO_URL_COLUMN)
+    return derived if place == guess else derive(source, place, store=True)
 
-    def lacking(place: int) -> list[Column]:
-        return [
-            F.count_if(source.product_name(place).isNull()).alias("no_name"),
-            F.count_if(source.price().isNull()).alias("no_price"),
-        ]
-
-    counts, place = None, None
-    if url_column is None:
-        guess = last_place(source.headers, "link")
-        counts = source.texts.agg(
-            *url_flag_columns(source.texts),
-            *(lacking(guess) if guess is not None else [F.count("*")]),
-        ).head()
-        place = first_flagged(counts)
-        if place is None:
-            raise MissingField(
-                "required field: no URL column to take product names from"
-            )
-        if place != guess:
-            counts = None
-    else:
-        place = named_place(source, url_column)
-    if counts is None:
-        counts = source.texts.agg(*lacking(place)).head()
 
+def check_required(rows: DataFrame) -> None:
+    """Raise if any row lacks a product name or a price."""
+    counts = rows.agg(
+        F.count_if(F.col("product_name").isNull()).alias("no_name"),
+        F.count_if(F.col("price").isNull()).alias("no_price"),
+    ).head()
     if counts.no_name:
         raise MissingField(
             f"required field 'product_name' is missing in {counts.no_name} rows "
@@ -133,7 +131,6 @@ def check_required(source: Source, url_column: str | None) -> int:
         raise MissingField(
             f"required field 'price' is unreadable in {counts.no_price} rows"
         )
-    return place
 
 
 @dataclass(frozen=True)
@@ -144,8 +141,11 @@ class Derived:
     keys: list[str]  # columns that are equal in duplicates
 
 
-def derive(source: Source, url_place: int) -> Derived:
-    """Compute every clean column in one projection, for good and bad rows alike."""
+def derive(source: Source, url_place: int, store: bool = False) -> Derived:
+    """Compute every clean column in one projection, for good and bad rows alike.
+
+    With ``store`` the rows are written to the shared folder and read from there.
+    """
     headers, roles, texts = source.headers, source.roles, source.texts
 
     def column(place: int | None) -> Column | None:
@@ -196,6 +196,10 @@ def derive(source: Source, url_place: int) -> Derived:
         *[clean[n].alias(n) for n in first],
         *[F.col(f"c{i}").alias(n) for i, n in zip(rest, names[len(first) :])],
     )
+    if store:
+        # Numbered, as files may not hold every name a header may have.
+        numbered = rows.toDF(*[f"c{i}" for i in range(len(rows.columns))])
+        rows = write_and_read(numbered, "derived").toDF(*rows.columns)
 
     keys = ["title", "price"]
     if "link" in rows.columns:
@@ -224,13 +228,16 @@ def clean_listings(
 ) -> DataFrame:
     """The clean listing table; stops if any row lacks a name or a price.
 
+    All rows are computed once and stored; the required fields are counted and the
+    duplicates found on the stored columns.
+
     Of rows with equal title, price and link the first in ``order_by`` stays;
     ``scope`` columns (say, a search id) keep rows of different runs apart.  Product
     names come from ``url_column``, else from the first column with a URL anywhere.
     """
     order_by = list(order_by or row_order(raw))
-    source = read_up(raw)
-    derived = derive(source, check_required(source, url_column))
+    derived = derive_once(read_up(raw), url_column)
+    check_required(derived.rows)
     return keep_first(derived.rows, [*scope, *derived.keys], order_by)
 
 
@@ -247,8 +254,7 @@ def split_listings(
     they lack in ``missing_field``.
     """
     order_by = list(order_by or row_order(raw))
-    source = read_up(raw)
-    derived = derive(source, find_url_place(source, url_column))
+    derived = derive_once(read_up(raw), url_column)
     missing = F.when(F.col("product_name").isNull(), F.lit("product_name")).when(
         F.col("price").isNull(), F.lit("price")
     )

@@ -192,6 +192,29 @@ def test_cleaning_plan_is_one_scan_and_one_shuffle(spark, tmp_path):
     assert text.count("Exchange") == 1 and text.count("FileScan") == 1
 
 
+def test_raw_rows_are_read_once(spark):
+    """Neither the gate nor the result goes back to the raw rows."""
+    read = spark.sparkContext.accumulator(0)
+
+    def counting(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    raw = table(spark, ["preis", "link"], ("1", LINK), ("1", LINK), ("2", LINK))
+    raw = raw.mapInArrow(counting, raw.schema)
+    clean = clean_listings(raw, order_by=["row_no"])
+    assert clean.count() == 2 and clean.where("price > 1").count() == 1
+    assert read.value == 3
+
+
+def test_clean_an_empty_table(spark):
+    raw = table(spark, ["preis", "link"], ("1", LINK)).where("preis = 'none'")
+    with pytest.raises(MissingField):
+        clean_listings(raw, order_by=["row_no"])
+    assert clean_listings(raw, order_by=["row_no"], url_column="link").count() == 0
+
+
 def test_clean_a_csv_file_in_file_order(spark, tmp_path):
     path = tmp_path / "raw.csv"
     path.write_text(
