@@ -209,6 +209,12 @@ def _position(sort: str) -> str:
       row_number() OVER (ORDER BY {sort}, {ORDER}) AS position FROM clean"""
 
 
+# What is left of raw listings in Latin-1.
+PLAIN_RAW = f"""WITH {_listings()} SELECT translate(titel, '€–•', 'E-*') AS titel,
+    aktualitaet, translate(preis, '€–•', 'E-*') AS preis, land, versand, link, image
+    FROM l"""
+
+
 ORACLES = {
     "page_cards": MENU_CARDS,
     "seen_links": f"""SELECT page_id, pos, href AS link, title_text AS titel FROM (
@@ -328,9 +334,8 @@ ORACLES = {
         '' AS "Link" FROM documents""",
     "raw_csv_scan": f"""WITH {_listings()} SELECT ' "neu",' || chr(10) || titel AS titel,
         aktualitaet, preis, land, versand, link, image FROM l""",
-    "raw_csv_latin1": f"""WITH {_listings()} SELECT translate(titel, '€–•', 'E-*') AS titel,
-        aktualitaet, translate(preis, '€–•', 'E-*') AS preis, land, versand, link, image
-        FROM l""",
+    "raw_csv_latin1": PLAIN_RAW,
+    "raw_csv_mixed": PLAIN_RAW,
     "raw_roundtrip": f"WITH {_clean_ctes(False)} SELECT {SHOWN} FROM clean",
     "clean_roundtrip": f"""WITH {_clean_ctes(True)} SELECT title, product_condition,
         CAST(price AS VARCHAR) AS price, currency, nullif(product_origin, '') AS product_origin,

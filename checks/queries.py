@@ -350,6 +350,17 @@ def raw_csv_latin1(spark, sf_dir):
     return listing_files.read_raw_csv(spark, path)
 
 
+def raw_csv_mixed(spark, sf_dir):
+    """Files of both encodings in one folder."""
+    path = new_path(spark, "raw-mixed")
+    rows = listings(spark, sf_dir).withColumn("odd", F.col("l_orderkey") % 2 == 1)
+    plain = [F.translate(c, "€–•", "E-*").alias(c) for c in fixed.RAW_FIELDS]
+    for odd, encoding in ((False, "UTF-8"), (True, "ISO-8859-1")):
+        part = rows.where(F.col("odd") == odd).select(*plain)
+        listing_files.write_raw_csv(part, f"{path}/{encoding}", encoding=encoding)
+    return listing_files.read_raw_csv(spark, [f"{path}/UTF-8", f"{path}/ISO-8859-1"])
+
+
 def clean_roundtrip(spark, sf_dir):
     path = new_path(spark, "clean-csv")
     listing_files.write_clean_csv(good_rows(spark, sf_dir).drop(*LISTING_ORDER), path)
@@ -432,6 +443,7 @@ QUERIES = {
     "search_log": logged_searches,
     "raw_csv_scan": raw_csv_scan,
     "raw_csv_latin1": raw_csv_latin1,
+    "raw_csv_mixed": raw_csv_mixed,
     "raw_roundtrip": raw_roundtrip,
     "clean_roundtrip": clean_roundtrip,
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -51,7 +51,8 @@ def read_raw_csv(
     A file that is not valid UTF-8 is read as Latin-1, as a whole; name the
     ``encoding`` to save the pass that checks it.  All files must have the same
     header.  With ``multi_line=False``, for cells without line breaks, Spark splits
-    big files.  ``keep_order`` adds the ``FILE_ORDER`` columns.
+    big files; else each takes one task, since only a whole file tells which breaks lie
+    in cells.  ``keep_order`` adds the ``FILE_ORDER`` columns.
     """
 
     def scan(files: str | list[str], encoding: str) -> DataFrame:
@@ -62,15 +63,24 @@ def read_raw_csv(
 
     if encoding:
         return scan(path, encoding)
-    # File names only; Spark's driver holds the full file listing anyhow.
-    latin = [r.path for r in file_encodings(spark, path).where("NOT is_utf8").collect()]
-    if not latin:
+    # One pass, one row per file; Spark's driver holds the full file listing anyhow.
+    files: dict[bool, list[str]] = {True: [], False: []}
+    for file in file_encodings(spark, path).toLocalIterator():
+        files[file.is_utf8].append(file.path)
+    if not files[False]:
         return scan(path, "UTF-8")
-    utf8 = [r.path for r in file_encodings(spark, path).where("is_utf8").collect()]
-    parts = [scan(latin, "ISO-8859-1"), *([scan(utf8, "UTF-8")] if utf8 else [])]
+    parts = [scan(files[False], "ISO-8859-1")]
+    if files[True]:
+        parts.append(scan(files[True], "UTF-8"))
     return reduce(DataFrame.unionByName, parts)
 
 
+def file_key(path: Column) -> Column:
+    """A file's path, numbers filled up with zeros: as text, part-9 is before part-10."""
+    filled = F.regexp_replace(path, "([0-9]+)", "0" * 19 + "$1")
+    return F.regexp_replace(filled, "0*([0-9]{20,})", "$1")
+
+
 def _tidy(raw: DataFrame, keep_order: bool) -> DataFrame:
     names = [c.removeprefix("\ufeff").strip(WHITESPACE) for c in raw.columns]
     if not keep_order:
@@ -78,7 +88,7 @@ def _tidy(raw: DataFrame, keep_order: bool) -> DataFrame:
     # Row ids grow within a task, and a task reads a file block in one go.
     return raw.select(
         "*",
-        F.col("_metadata.file_path").alias(FILE_ORDER[0]),
+        file_key(F.col("_metadata.file_path")).alias(FILE_ORDER[0]),
         F.col("_metadata.file_block_start").alias(FILE_ORDER[1]),
         F.monotonically_increasing_id().alias(FILE_ORDER[2]),
     ).toDF(*names, *FILE_ORDER)

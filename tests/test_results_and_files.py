@@ -134,3 +134,10 @@ def test_clean_csv_has_no_file_order(spark, tmp_path):
     )
     listing_files.write_clean_csv(rows, str(tmp_path / "clean"))
     assert listing_files.read_clean_csv(spark, str(tmp_path / "clean")).collect() == [("Ski", "5.0")]
+
+
+def test_files_lie_in_the_order_of_their_numbers(spark):
+    names = ["a/part-100000-2.csv", "a/part-99999-10.csv", "a/part-99999-9.csv", "a/b.csv"]
+    rows = spark.createDataFrame([(n,) for n in names], "name string")
+    found = [r.name for r in rows.orderBy(listing_files.file_key(rows.name)).collect()]
+    assert found == ["a/b.csv", "a/part-99999-9.csv", "a/part-99999-10.csv", "a/part-100000-2.csv"]
