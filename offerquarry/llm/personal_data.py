@@ -6,13 +6,16 @@ international prefix, grouped card numbers whose check digit fails, addresses of
 or eight groups.  Labelers vote on each: the strict pattern with its check, word lists
 before the match, and the characters around it.  Expectation-maximisation over the
 counts of all vote patterns (at most 3^5 for each kind, whatever the input) estimates
-how reliable each labeler is.  Its verdicts on a bounded sample of ``SAMPLE``
-candidates train a logistic regression over properties of the span and its context,
-which decides about the candidates outside the base.
+how reliable each labeler is.  Its verdicts train a logistic regression over properties
+of the span and its context, which decides about the candidates outside the base.  It is
+fitted for each kind on all candidates: they are counted in cells of equal votes and
+nearly equal features (a grid of 1/``GRID``, so their number has a bound), and a cell
+stands for its candidates by its mean features, its count as weight.
 
 Special cases: a null text is empty and has no spans; very long texts are searched as a
 whole, by patterns whose time is linear; rows are judged each by their own text; with no
-candidate outside the base, or no rows at all, only base spans are returned.
+candidate outside the base, or no rows at all, only base spans are returned; a model that
+never saw a kind decides about it by the sum of the votes.
 """
 
 from __future__ import annotations
@@ -36,10 +39,11 @@ from pyspark.sql.types import (
 )
 
 from offerquarry.llm.common import read_table
-from offerquarry.sources.shared import ship_code, write_and_read
+from offerquarry.sources.shared import ship_code
 
 KINDS = ["email", "ip", "card", "phone"]
-SAMPLE = 20_000
+GRID = 16  # cells of the features between 0 and 1
+EXACT = 1 << 20  # features are summed as whole numbers, so in any order alike
 ROUNDS = 50
 SURE = 0.9  # least probability of a span outside the base
 
@@ -210,13 +214,15 @@ def reliabilities(kind_votes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarra
     return yes, chance
 
 
-def fit(features: np.ndarray, soft: np.ndarray, rounds: int = 300) -> np.ndarray:
-    """Logistic regression on soft labels; the last weight is the constant."""
+def fit(features: np.ndarray, soft: np.ndarray, counts: np.ndarray, rounds: int = 300) -> np.ndarray:
+    """Logistic regression on soft labels of rows that stand for ``counts`` each; the last
+    weight is the constant."""
     x = np.hstack([features, np.ones((len(features), 1))])
+    share = counts / counts.sum()
     weights = np.zeros(x.shape[1])
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-x @ weights))
-        weights -= 2.0 * (x.T @ (p - soft) / len(x) + 1e-4 * weights)
+        weights -= 2.0 * (x.T @ (share * (p - soft)) + 1e-4 * weights)
     return weights
 
 
@@ -250,24 +256,24 @@ def _candidates_column() -> Column:
 
 
 def learn(docs: DataFrame) -> Model:
-    """Reliabilities from the votes on all candidates, a classifier from a sample."""
+    """Reliabilities and a classifier for each kind, from all candidates."""
     ship_code(docs.sparkSession)
     found = docs.select(F.inline(_candidates_column()))
-    found = write_and_read(found.select("kind", "base", "votes", "features"), "candidates")
-    patterns = found.groupBy("kind", "votes").agg(F.count("*").alias("n")).collect()
-    order = F.xxhash64("kind", "votes", "features")
-    sample = found.orderBy(order, "kind", "votes", "features").limit(SAMPLE).collect()
+    cell = F.transform("features", lambda x: F.floor(x * GRID))
+    sums = [
+        F.sum(F.round(F.col("features")[i] * EXACT).cast("long")).alias(name) for i, name in enumerate(FEATURES)
+    ]
+    cells = found.groupBy("kind", "votes", cell.alias("cell")).agg(F.count("*").alias("n"), *sums).collect()
     model = {}
     for kind in KINDS:
-        mine = sorted((r.votes, r.n) for r in patterns if r.kind == kind)
-        rows = [r for r in sample if r.kind == kind]
+        rows = sorted((r for r in cells if r.kind == kind), key=lambda r: (r.votes, r.cell))
         if not rows:
             continue
-        votes = np.array([v for v, _ in mine])
-        yes, _ = reliabilities(votes, np.array([n for _, n in mine], float))
-        soft = {tuple(v): y for v, y in zip(votes.tolist(), yes)}
-        labels = np.array([soft[tuple(r.votes)] for r in rows])
-        model[kind] = fit(np.array([r.features for r in rows]), labels).tolist()
+        counts = np.array([r.n for r in rows], float)
+        votes, pattern = np.unique([r.votes for r in rows], axis=0, return_inverse=True)
+        yes, _ = reliabilities(votes, np.bincount(pattern, counts))
+        features = np.array([[r[name] for name in FEATURES] for r in rows]) / (EXACT * counts[:, None])
+        model[kind] = fit(features, yes[pattern], counts).tolist()
     return model
 
 
@@ -277,9 +283,7 @@ def decided(text: str, model: Model) -> list[Candidate]:
     for c in candidates(text):
         if not c.base:
             weights = model.get(c.kind)
-            if weights is None:
-                continue
-            score = float(np.dot(weights[:-1], c.features) + weights[-1])
+            score = sum(c.votes) if weights is None else float(np.dot(weights[:-1], c.features) + weights[-1])
             if 1 / (1 + np.exp(-score)) < SURE:
                 continue
         kept.append(c)

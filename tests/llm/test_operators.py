@@ -172,6 +172,25 @@ def test_personal_data(docs, empty):
     assert rows(personal_data.redact(empty)) == []
 
 
+def test_repeated_lines_do_not_crowd_out_a_kind(spark):
+    texts = ["mail jane@example.org now", "mail jane (at) example.org now", "call +49 30 12345678 now",
+             "call (030) 555-1234 now", "order no 030-555-1234", "server 10.0.0.1", "visa 4111 1111 1111 1111"]
+    models = []
+    for copies in (1_000, 7_000):
+        text = F.element_at(F.array(*map(F.lit, texts)), (F.col("id") % len(texts)).cast("int") + 1)
+        docs = spark.range(copies * len(texts)).select(F.col("id").alias("doc_id"), text.alias("text"))
+        models.append(personal_data.learn(docs))
+    assert list(models[0]) == list(models[1]) == personal_data.KINDS
+    # One address among 40,000 equal signatures.
+    signed = F.when(F.col("id") == 17, texts[5]).otherwise(" ".join([texts[0], texts[2]]))
+    docs = spark.range(40_000).select(F.col("id").alias("doc_id"), signed.alias("text"))
+    assert set(personal_data.learn(docs)) == {"email", "ip", "phone"}
+
+
+def test_a_kind_the_model_never_saw_is_not_dropped():
+    assert [c.kind for c in personal_data.decided("call (030) 555-1234 now", {})] == ["phone"]
+
+
 def test_labelers_that_agree_are_believed():
     votes = np.array([[1, 1, 0, 1, 1], [0, 0, -1, -1, -1]])
     yes, _ = personal_data.reliabilities(votes, np.array([80.0, 20.0]))
