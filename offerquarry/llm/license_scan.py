@@ -5,7 +5,9 @@ tells the licence families apart, and from an "unknown" class.  It learns from n
 (the forms and names below, and pieces of them) and from a bounded sample of the corpus'
 own lines as unknown ones.  A family is taken only if its probability passes a limit that
 is calibrated on other unknown lines, and if enough of the paragraph's n-grams occur in
-the notices of that family.
+the notices of that family.  A paragraph is judged as a whole, and so is each name of a
+licence in it with the ``BEFORE`` words before, if the paragraph has a word of ``GRANTS``:
+so the prose around a notice does not count, and a line may have several families.
 
 Only n-grams with a positive weight can speak for a family, so lines without the longest
 word of any such n-gram are set aside first; that loses none.
@@ -62,6 +64,8 @@ UNKNOWN = "unknown"
 LONGEST = 3  # words in an n-gram
 UNKNOWN_LINES = 4000  # sampled: half of them to learn from, half to calibrate
 CONFIRMED = 50  # percent of the n-grams with a name's words found in the notices
+BEFORE = 4  # words before a name that are judged with it
+GRANTS = ["licensed", "licenced", "released", "distributed", "published", "available", "terms"]
 LASSO = 0.001
 
 
@@ -98,6 +102,16 @@ def notices(spark: SparkSession) -> DataFrame:
     return table.select("family", words(text).alias("words"))
 
 
+def windows(of: str) -> Column:
+    """A column of words, and each licence name in it with the words before it."""
+    plain = [" ".join(re.findall(r"[a-z0-9]+(?:\.[0-9]+)*", n.lower())) for several in NAMES.values() for n in several]
+    names = "|".join(re.escape(n).replace("\\ ", " ") for n in sorted(set(plain), key=lambda n: (-len(n), n)))
+    text = F.concat(F.lit(" "), F.array_join(of, " "), F.lit(" "))
+    found = F.regexp_extract_all(text, F.lit(rf"(?<= )(?:[^ ]+ ){{0,{BEFORE}}}(?:{names})(?= )"), F.lit(0))
+    found = F.when(F.arrays_overlap(of, F.array(*map(F.lit, GRANTS))), found).otherwise(F.array().cast("array<string>"))
+    return F.array_distinct(F.concat(F.array(of), F.transform(found, lambda x: F.split(x, " "))))
+
+
 def lines(docs: DataFrame) -> DataFrame:
     """``row, doc_id, line`` (its number from 0) and ``value`` of every line; ``row``
     tells repeated rows apart."""
@@ -213,13 +227,16 @@ class LicenseModel:
         """``doc_id, line, family, probability, confirmed`` (percent) of licensed lines.
 
         One pass over the corpus; what is shuffled is a row of sums per line that holds
-        the longest word of a telling n-gram.
+        the longest word of a telling n-gram, and per licence name in it.
         """
         rows = lines(docs).where(holds_any(self.anchors))
         rows = rows.select("row", "doc_id", "line", words(F.col("value")).alias("words"))
-        found = self._likeliest(rows.select("row", "doc_id", "line", ngrams("words").alias("grams")))
+        rows = rows.select("row", "doc_id", "line", F.posexplode_outer(windows("words")).alias("window", "words"))
+        row = F.struct("row", "window").alias("row")
+        found = self._likeliest(rows.select(row, "doc_id", "line", ngrams("words").alias("grams")))
         kept = (F.col("probability") >= self.limit) & (F.col("confirmed") >= CONFIRMED)
-        return found.where(kept).dropDuplicates()
+        best = [F.max(c).alias(c) for c in ("probability", "confirmed")]
+        return found.where(kept).groupBy("doc_id", "line", "family").agg(*best)
 
 
 def scan_documents(docs: DataFrame) -> DataFrame:

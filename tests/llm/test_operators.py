@@ -172,6 +172,20 @@ def test_personal_data(docs, empty):
     assert rows(personal_data.redact(empty)) == []
 
 
+def test_licences_inside_prose_and_two_in_a_line(spark):
+    prose = " ".join(["we walked along the river and talked about the weather until it was dark"] * 3)
+    texts = [
+        f"{prose}. Licensed under the Apache License, Version 2.0. {prose}",
+        f"{prose}. Released under the MIT License. {prose}",
+        "This project is licensed under the MIT License or the Apache License 2.0.",
+        f"{prose}. Distributed under the GNU Lesser General Public License, version 3. {prose}",
+        f"{prose} and the driver had no license. {prose}",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r.licences for r in license_scan.scan_documents(docs).collect()}
+    assert found == {0: "Apache-2.0", 1: "MIT", 2: "Apache-2.0,MIT", 3: "LGPL", 4: ""}
+
+
 def test_repeated_lines_do_not_crowd_out_a_kind(spark):
     texts = ["mail jane@example.org now", "mail jane (at) example.org now", "call +49 30 12345678 now",
              "call (030) 555-1234 now", "order no 030-555-1234", "server 10.0.0.1", "visa 4111 1111 1111 1111"]
