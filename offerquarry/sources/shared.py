@@ -9,6 +9,7 @@ session may do without one; its tables go to a temporary folder.
 from __future__ import annotations
 
 import atexit
+import gc
 import os
 import shutil
 import tempfile
@@ -64,7 +65,27 @@ def write_and_read(df: DataFrame, name: str) -> DataFrame:
     """
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.stored_path = path
+    return table
+
+
+def drop_stored(spark: SparkSession, *tables: DataFrame | str) -> None:
+    """Delete tables of ``write_and_read`` (or paths) that no later step reads.
+
+    The collection of the driver's garbage lets Spark's cleaner delete the shuffle
+    files of finished jobs, too, which else stay until the driver runs out of memory.
+    """
+    for table in tables:
+        path = spark._jvm.org.apache.hadoop.fs.Path(table if isinstance(table, str) else table.stored_path)
+        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+    free_shuffles(spark)
+
+
+def free_shuffles(spark: SparkSession) -> None:
+    """Let Spark's cleaner find the shuffles of finished jobs."""
+    gc.collect()
+    spark._jvm.System.gc()
 
 
 def remove_stored(spark: SparkSession) -> bool:
@@ -87,11 +108,13 @@ def ship_code(spark: SparkSession) -> None:
     if context.applicationId in _shipped:
         return
     package = os.path.dirname(os.path.abspath(offerquarry.__file__))
-    path = os.path.join(tempfile.mkdtemp(prefix="offerquarry-code-"), "offerquarry.zip")
+    folder = tempfile.mkdtemp(prefix="offerquarry-code-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    path = os.path.join(folder, "offerquarry.zip")
     with zipfile.ZipFile(path, "w") as archive:
-        for folder, _, names in os.walk(package):
+        for inside, _, names in os.walk(package):
             for name in sorted(n for n in names if n.endswith(".py")):
-                file = os.path.join(folder, name)
+                file = os.path.join(inside, name)
                 archive.write(file, os.path.relpath(file, os.path.dirname(package)))
     context.addPyFile(path)
     _shipped.add(context.applicationId)
