@@ -12,6 +12,7 @@ from offerquarry.llm import (
     sentence_pieces,
     source_mix,
     toxicity,
+    vector_codes,
     web_archives,
 )
 
@@ -26,8 +27,10 @@ QUERIES = {
     "op8_neighbour_graph": neighbour_graph.op8_neighbour_graph,
     "op9_rule_ensemble": rule_ensemble.op9_rule_ensemble,
     "op10_quality_rules": quality_rules.op10_quality_rules,
+    "op13_vector_codes": vector_codes.op13_vector_codes,
 }
 
 ORACLES = {
     "op10_quality_rules": quality_rules.ORACLE,
+    "op13_vector_codes": vector_codes.ORACLE,
 }
