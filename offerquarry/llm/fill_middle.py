@@ -6,11 +6,12 @@ crosses into the next frame counts where it starts.  A cut after some number of
 found from the cumulative counts: only the frame that holds it is decompressed.  The
 pieces are then streamed frame by frame into the new text, which is itself kept as
 frames, and the digests are taken on the way.  So a task holds compressed frames and one
-open frame, however long the text is; frames can be stored as a table of their own
-(``packed``) and read back later.
+open frame, however long the text is.  The frames are a stored table of their own
+(``store_frames``); texts are cut from that table.
 
-The draws are the first groups of digits of a SHA-256 of the seed and the document's id, so reruns
-agree.  A text that holds one of the marks, or drawn to, stays as it is (``plain``).
+The draws are the first groups of digits of a SHA-256 of the seed and the document's id,
+so reruns agree.  A text that holds one of the marks, or is drawn to, stays as it is
+(``plain``).
 
 Special cases: a null text is an empty one, and an empty one is plain; a null id draws
 like the empty text; rows with equal ids draw alike and are cut each by its own text; no
@@ -39,7 +40,6 @@ FRAME = 1 << 16  # bytes of text in a frame
 MOST_FILLED = 90  # percent of the texts that are cut
 SUFFIX_FIRST = 20  # percent of these
 
-_FRAMES = "array<struct<units: long, chars: long, bytes: long, data: binary>>"
 _LETTER = np.zeros(256, bool)
 _LETTER[list(range(ord("A"), ord("Z") + 1)) + list(range(ord("a"), ord("z") + 1))] = True
 
@@ -222,39 +222,39 @@ def _digest(pieces: Iterator[bytes]) -> str:
     return digest.hexdigest()
 
 
+_FRAME = pa.struct([("units", pa.int64()), ("chars", pa.int64()), ("bytes", pa.int64()), ("in_run", pa.bool_()), ("data", pa.binary())])
+_STORED = pa.struct([("units", pa.int64()), ("chars", pa.int64()), ("bytes", pa.int64()), ("frames", pa.list_(_FRAME))])
+
+
 def packed(text: str = "text") -> Column:
-    """A text column as frames, to be stored; null as no frames."""
+    """Struct of a text's frames and of its units, characters and bytes in all."""
 
-    @F.arrow_udf(_FRAMES)
+    @F.arrow_udf(
+        "units long, chars long, bytes long, "
+        "frames array<struct<units: long, chars: long, bytes: long, in_run: boolean, data: binary>>"
+    )
     def pack(texts: pa.Array) -> pa.Array:
-        rows = (Frames.of(t.as_py() or b"") for t in texts)
-        fields = ("units", "chars", "bytes", "data")
-        return pa.array(
-            [[{k: getattr(f, k) for k in fields} for f in row.frames] for row in rows],
-            pa.list_(pa.struct([(k, pa.int64()) for k in fields[:3]] + [("data", pa.binary())])),
-        )
+        rows = []
+        for text in texts:
+            t = Frames.of(text.as_py() or b"")
+            frames = [vars(frame) for frame in t.frames]
+            rows.append({"units": t.units, "chars": t.chars, "bytes": t.bytes, "frames": frames})
+        return pa.array(rows, _STORED)
 
     return pack(utf8(text))
 
 
-def opened(frames: list[dict]) -> Frames:
-    """Stored frames as a text again; frames are opened only when they are read."""
+def opened(stored: dict) -> Frames:
+    """A stored text; its frames are decompressed only when they are read."""
     result = Frames()
-    for number, row in enumerate(frames):
-        before = result.read(number - 1)[-1:] if number else b""
-        in_run = bool(before) and bool(_LETTER[before[0]])
-        result.frames.append(Frame(row["units"], row["chars"], row["bytes"], in_run, row["data"]))
-    if frames:
-        last = result.read(len(frames) - 1)
-        end = result.frames[-1]
-        result.units = end.units + len(unit_starts(last, end.in_run))
-        result.chars, result.bytes = end.chars + characters(last), end.bytes + len(last)
+    result.frames = [Frame(**frame) for frame in stored["frames"]]
+    result.units, result.chars, result.bytes = (stored[k] for k in ("units", "chars", "bytes"))
     return result
 
 
-def filled_column(kind: str, doc_id: str = "doc_id", text: str = "text", seed: int = SEED) -> Column:
-    """Struct ``n, form, prefix_chars, middle_chars`` with the new text (``kind`` is
-    ``text``) or with digests of it and of what is rebuilt from it (``digests``)."""
+def filled_column(kind: str, doc_id: str = "doc_id", stored: str = "stored", seed: int = SEED) -> Column:
+    """Struct ``n, form, prefix_chars, middle_chars`` of stored frames, with the new text
+    (``kind`` is ``text``) or digests of it and of what is rebuilt from it (``digests``)."""
     tail = [("output", pa.string())] if kind == "text" else [("output_sha256", pa.string()), ("restored_sha256", pa.string())]
     fields = [("n", pa.int64()), ("form", pa.string()), ("prefix_chars", pa.int64()), ("middle_chars", pa.int64()), *tail]
     names = {pa.int64(): "long", pa.string(): "string"}
@@ -262,8 +262,8 @@ def filled_column(kind: str, doc_id: str = "doc_id", text: str = "text", seed: i
     @F.arrow_udf(", ".join(f"{name} {names[of]}" for name, of in fields))
     def fill(ids: pa.Array, texts: pa.Array) -> pa.Array:
         rows = []
-        for doc, data in zip(ids.to_pylist(), texts):
-            done = filled(Frames.of(data.as_py() or b""), doc, seed)
+        for doc, text in zip(ids.to_pylist(), texts):
+            done = filled(opened(text.as_py()), doc, seed)
             out = done.output
             if kind == "text":
                 more = [b"".join(out.slice(0, out.bytes)).decode()]
@@ -274,29 +274,26 @@ def filled_column(kind: str, doc_id: str = "doc_id", text: str = "text", seed: i
         arrays = [pa.array(c, of) for c, (_, of) in zip(columns, fields)]
         return pa.StructArray.from_arrays(arrays, [name for name, _ in fields])
 
-    return fill(F.col(doc_id).cast("long"), utf8(text))
+    return fill(F.col(doc_id).cast("long"), F.col(stored))
 
 
-def fill_in_middle(docs: DataFrame, seed: int = SEED) -> DataFrame:
-    """``docs`` with the new text as ``fim_text``, and ``fim_form`` and ``fim_units``."""
+def store_frames(docs: DataFrame) -> DataFrame:
+    """``docs`` as a stored table with ``stored`` (frames) in place of ``text``."""
     ship_code(docs.sparkSession)
-    made = docs.withColumn("fim", filled_column("text", seed=seed))
-    return made.withColumns(
-        {"fim_text": F.col("fim.output"), "fim_form": F.col("fim.form"), "fim_units": F.col("fim.n")}
-    ).drop("fim")
+    return write_and_read(docs.withColumn("stored", packed()).drop("text"), "frames")
 
 
-def store_frames(docs: DataFrame) -> DataFrame:
-    """A stored table ``doc_id, frames`` of all texts, in the shared folder."""
-    ship_code(docs.sparkSession)
-    return write_and_read(docs.select("doc_id", packed().alias("frames")), "frames")
+def fill_in_middle(docs: DataFrame, seed: int = SEED) -> DataFrame:
+    """``docs`` with the new text in place of ``text``, and ``fim_form`` and ``fim_units``."""
+    made = store_frames(docs).withColumn("fim", filled_column("text", seed=seed))
+    made = made.withColumns({"text": F.col("fim.output"), "fim_form": F.col("fim.form"), "fim_units": F.col("fim.n")})
+    return made.select(*docs.columns, *[c for c in ("fim_form", "fim_units") if c not in docs.columns])
 
 
 def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``doc_id, n, form, prefix_chars, middle_chars, output_sha256, restored_sha256``."""
-    ship_code(spark)
-    docs = read_table(spark, sf_dir, "documents")
-    return docs.select("doc_id", filled_column("digests").alias("f")).select("doc_id", "f.*")
+    stored = store_frames(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return stored.select("doc_id", filled_column("digests").alias("f")).select("doc_id", "f.*")
 
 
 ORACLE = f"""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from offerquarry.llm import (
+    fill_middle,
     license_scan,
     minhash_dedup,
     neighbour_graph,
@@ -27,10 +28,12 @@ QUERIES = {
     "op8_neighbour_graph": neighbour_graph.op8_neighbour_graph,
     "op9_rule_ensemble": rule_ensemble.op9_rule_ensemble,
     "op10_quality_rules": quality_rules.op10_quality_rules,
+    "op11_fill_in_middle": fill_middle.op11_fill_in_middle,
     "op13_vector_codes": vector_codes.op13_vector_codes,
 }
 
 ORACLES = {
     "op10_quality_rules": quality_rules.ORACLE,
+    "op11_fill_in_middle": fill_middle.ORACLE,
     "op13_vector_codes": vector_codes.ORACLE,
 }
