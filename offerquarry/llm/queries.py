@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from offerquarry.llm import (
     fill_middle,
+    katz_model,
     license_scan,
     minhash_dedup,
     neighbour_graph,
@@ -29,6 +30,7 @@ QUERIES = {
     "op9_rule_ensemble": rule_ensemble.op9_rule_ensemble,
     "op10_quality_rules": quality_rules.op10_quality_rules,
     "op11_fill_in_middle": fill_middle.op11_fill_in_middle,
+    "op12_katz_model": katz_model.op12_katz_model,
     "op13_vector_codes": vector_codes.op13_vector_codes,
 }
 
