@@ -14,8 +14,9 @@ between 0 and 1, (r - 0.5) / r stands in; where no follower of a context is disc
 one more count is shared out.
 
 How it runs.  Tasks turn texts into blocks of about ``BLOCK`` tokens (whole documents)
-with local word numbers, stored once.  For each order, a block sends its distinct n-grams
-with their training counts to shards; a shard adds them up, stores the training n-grams
+with local word numbers, stored once; the words' hashes are a table of their own that
+only order 1 needs.  For each order, a block sends its distinct n-grams with their
+training counts to shards; a shard adds them up, stores the training n-grams
 (``kind=model``, a row of packed columns per shard) and answers every block with the
 total counts, ids and followers' sums of what it asked for.  So each n-gram of a block
 travels once, however often it occurs, and nothing is looked up token by token.  The
@@ -40,6 +41,7 @@ from dataclasses import dataclass, field
 from itertools import groupby
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
@@ -47,12 +49,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from offerquarry.llm.common import WordHashes, mixed, read_table, utf8
-from offerquarry.sources.shared import drop_stored, new_path, ship_code, write_and_read
+from offerquarry.sources.shared import drop_stored, new_path, ship_code
 
 ORDER = 2
 KEPT = 5  # counts above this are not discounted
-BLOCK = 1 << 20  # tokens
-SHARD = 1 << 20  # n-grams, about
+BLOCK = 1 << 21  # tokens
+SHARD = 1 << 21  # n-grams, about
 PARTS, HELD_OUT = 7, 2  # of crc32(doc_id)
 
 _END = np.uint64(WordHashes().__missing__(b"\n"))  # no word holds a line end
@@ -129,13 +131,10 @@ class Model:
 
     tokens: int
     documents: int
+    most: int  # the order it has, or will have
     levels: list[Level] = field(default_factory=list)
     tables: list[str] = field(default_factory=list)
 
-    @property
-    def order(self) -> int:
-        return len(self.levels)
-
 
 def discounts(counts: np.ndarray) -> np.ndarray:
     """Katz's discounts of the counts 0 to KEPT + 1, from the numbers of n-grams that
@@ -167,42 +166,66 @@ def probabilities(
     return np.where(count > 0, seen, backed)
 
 
+def first_probabilities(count: np.ndarray, model: Model) -> np.ndarray:
+    """p of single words by their counts; all unknown ones are one class."""
+    n, level = len(count), model.levels[0]
+    followers = np.broadcast_to(level.counts, (n, KEPT))
+    return probabilities(count, np.full(n, model.tokens), followers, np.zeros(n), np.ones(n), level.discounts)
+
+
 # --- texts to blocks -------------------------------------------------------------------
 
 
+def _numbered(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values, the most frequent first, and the place of each value there."""
+    codes, distinct = pd.factorize(values)
+    order = np.argsort(-np.bincount(codes, minlength=len(distinct)), kind="stable")
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    return distinct[order], place[codes]
+
+
 def _blocks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """Rows of two kinds for each block: its documents and tokens, and its words."""
     first, made = TaskContext.get().partitionId() << 24, 0
     hashes, texts, ids, held, total = WordHashes(), [], [], [], 0
 
-    def block() -> pa.RecordBatch:
-        words, tokens = np.unique(np.concatenate(texts), return_inverse=True)
-        flags = np.array(held, bool)
-        lengths = np.array([len(t) for t in texts])
+    def block() -> Iterator[list]:
+        words, tokens = _numbered(mixed(np.concatenate(texts)))
+        flags, lengths = np.array(held, bool), np.array([len(t) for t in texts])
+        order = np.argsort(words)
+        train = np.bincount(tokens[~np.repeat(flags, lengths)], minlength=len(words))
         numbers = [len(tokens), int(lengths[~flags].sum()), int((~flags).sum()), len(words)]
-        row = [first + made, 0, 0, words.tobytes(), pack(tokens), pack(lengths), pack(flags), numbers]
-        columns = [pa.array([v], kind) for v, kind in zip(row, _KINDS)]
-        return pa.RecordBatch.from_arrays([*columns, pa.array([ids], pa.list_(pa.int64()))], [*_NAMES, "ids"])
-
-    for batch in batches:
-        for doc, out, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-            tokens = np.append(hashes.of_text((text.as_py() or b"").lower()), _END)
-            ids.append(doc)
-            held.append(out)
-            texts.append(tokens)
-            total += len(tokens)
-            if total >= size:
-                yield block()
-                texts, ids, held, total, made = [], [], [], 0, made + 1
-    if texts:
-        yield block()
-
-
-def in_blocks(docs: DataFrame, held: Column, size: int = BLOCK) -> DataFrame:
-    """A stored row per block; ``numbers``: tokens, training tokens, training documents,
-    words."""
+        columns = [pack(order), pack(tokens), pack(lengths), pack(flags)]
+        yield [first + made, 0, 0, *columns, numbers, ids, "block"]
+        yield [first + made, 0, 0, words[order].tobytes(), None, pack(train[order]), None, numbers, None, "words"]
+
+    def rows() -> Iterator[list]:
+        nonlocal texts, ids, held, total, made
+        for batch in batches:
+            for doc, out, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+                tokens = np.append(hashes.of_text((text.as_py() or b"").lower()), _END)
+                ids.append(doc)
+                held.append(out)
+                texts.append(tokens)
+                total += len(tokens)
+                if total >= size:
+                    yield from block()
+                    texts, ids, held, total, made = [], [], [], 0, made + 1
+        if texts:
+            yield from block()
+
+    return _batched(rows(), [*_NAMES, "ids", "kind"], [*_KINDS, pa.list_(pa.int64()), pa.string()])
+
+
+def in_blocks(docs: DataFrame, held: Column, size: int = BLOCK) -> str:
+    """A stored table, partitioned by ``kind``, with two rows per block; ``numbers``:
+    tokens, training tokens, training documents, words."""
     rows = docs.select(F.col("doc_id").cast("long"), F.coalesce(held, F.lit(False)), utf8("text"))
-    made = rows.mapInArrow(lambda batches: _blocks(batches, size), f"{_SCHEMA}, ids array<long>")
-    return write_and_read(made, "blocks")
+    made = rows.mapInArrow(lambda batches: _blocks(batches, size), f"{_SCHEMA}, ids array<long>, kind string")
+    path = new_path(docs.sparkSession, "blocks")
+    made.write.partitionBy("kind").parquet(path)
+    return path
 
 
 # --- what a block asks for -------------------------------------------------------------
@@ -217,6 +240,7 @@ class Grams:
     word: np.ndarray
     count: np.ndarray  # in the block's training texts
     lower: np.ndarray
+    word_count: np.ndarray
     of_context: np.ndarray  # training count of the context, as far as known
     inverse: np.ndarray  # from tokens
 
@@ -231,7 +255,7 @@ class Block:
 
     def __init__(self, row: dict, model: Model):
         self.model, self.number, self.ids = model, row["block"], row["ids"]
-        self.words = np.frombuffer(row["a"], np.uint64).view(np.int64)
+        self.by_hash = unpack(row["a"])  # the words in the order of their hashes
         self.tokens = unpack(row["b"])
         self.lengths = unpack(row["c"])
         self.starts = np.cumsum(self.lengths) - self.lengths
@@ -248,40 +272,52 @@ class Block:
         return moved
 
     def grams(self) -> Grams:
-        """The n-grams of the next order."""
+        """The n-grams of the next order, from 2."""
         level = self.model.levels[self.level]
-        shards = np.uint64(level.shards)
-        if self.level == 0:
-            n = len(self.words)
-            distinct = (np.zeros(n, np.int64), self.words, np.ones(n), np.full(n, self.model.tokens))
-            inverse, shard = self.tokens, mixed(self.words.view(np.uint64)) % shards
-        else:
-            local = self._before(self.place + 1, 0) * (len(self.words) + 1) + self.tokens
-            _, at, inverse = np.unique(local, return_index=True, return_inverse=True)
-            of_context = self._before(self.count, self.model.documents)[at]
-            distinct = (self._before(self.id, _START)[at], self.first_id[at], self.p[at], of_context)
-            spread = of_context > self.model.tokens / level.shards
-            key = mixed(distinct[0].view(np.uint64))
-            key = np.where(spread, mixed(key + distinct[1].view(np.uint64)), key)
-            shard = key % shards
-        context, word, lower, of_context = distinct
+        # Whatever ids follow, equal contexts have equal places; 0 is the start.
+        local = self._before(self.place + 1, 0) * (len(self.by_hash) + 1) + self.tokens
+        inverse, distinct = pd.factorize(local)
+        at = np.empty(len(distinct), np.int64)
+        at[inverse[::-1]] = np.arange(len(local) - 1, -1, -1)
+        of_context = self._before(self.count, self.model.documents)[at]
+        context, word = self._before(self.id, _START)[at], self.first_id[at]
+        key = mixed(context.view(np.uint64))
+        spread = of_context > self.model.tokens / level.shards
+        shard = np.where(spread, mixed(key + word.view(np.uint64)), key) % np.uint64(level.shards)
         count = np.bincount(inverse[self.train], minlength=len(word))
         order = np.lexsort((word, context, shard))
         place = np.empty(len(order), np.int64)
         place[order] = np.arange(len(order))
         return Grams(
             shard[order].astype(np.int64), context[order], word[order], count[order],
-            lower[order], of_context[order], place[inverse],
+            self.p[at][order], self.first_count[at][order], of_context[order], place[inverse],
         )
 
     def questions(self) -> Iterator[list]:
         grams, level = self.grams(), self.model.levels[self.level]
+        # The lower probability of a pair follows from the count of its word.
+        lower = grams.word_count if self.level == 1 else grams.lower
         for shard, s in grams.slices():
-            hot = (grams.of_context[s] > self.model.tokens / level.shards) if self.level else np.zeros(0, bool)
-            yield [self.number, self.level + 1, shard, *packed_grams(grams.context[s], grams.word[s], grams.count[s], grams.lower[s], hot), None]
+            hot = grams.of_context[s] > self.model.tokens / level.shards
+            yield [self.number, self.level + 1, shard, *packed_grams(grams.context[s], grams.word[s], grams.count[s], lower[s], hot), None]
+
+    def _first_answered(self, answers: list[dict]) -> None:
+        """Order 1: the shards' answers, one after the other, follow the hashes."""
+        level = self.model.levels[0]
+        index = np.empty(len(self.by_hash), np.int64)
+        count = np.empty_like(index)
+        parts = [(unpack(a["a"]) * level.shards + a["shard"] + 1, unpack(a["b"])) for a in answers]
+        index[self.by_hash] = np.concatenate([p[0] for p in parts])
+        count[self.by_hash] = np.concatenate([p[1] for p in parts])
+        self.id, self.count = index[self.tokens], count[self.tokens]
+        self.p = first_probabilities(count, self.model)[self.tokens]
+        self.first_id, self.first_count = self.id, self.count
+        self.level = 1
 
     def answered(self, answers: list[dict]) -> None:
         """Take in the answers of all shards, in their order."""
+        if self.level == 0:
+            return self._first_answered(answers)
         grams, level = self.grams(), self.model.levels[self.level]
         rows = {a["shard"]: a for a in answers}
         n = len(grams.word)
@@ -292,24 +328,18 @@ class Block:
             count[s] = unpack(a["b"])
             if a["a"]:
                 index[s] = unpack(a["a"]) * level.shards + shard + 1
-            if self.level:
-                contexts = np.unique(grams.context[s], return_inverse=True)[1]
-                followers[s] = unpack(a["c"]).reshape(-1, KEPT)[contexts]
-                sums[s] = unpack(a["d"])[contexts]
-        if self.level == 0:
-            followers[:] = level.counts
-        else:
-            at = np.flatnonzero(grams.of_context > self.model.tokens / level.shards)
-            known, of, total = level.hot
-            if len(at) and len(known):
-                place = np.minimum(np.searchsorted(known, grams.context[at]), len(known) - 1)
-                right = known[place] == grams.context[at]
-                followers[at[right]], sums[at[right]] = of[place[right]], total[place[right]]
+            contexts = np.unique(grams.context[s], return_inverse=True)[1]
+            followers[s] = unpack(a["c"]).reshape(-1, KEPT)[contexts]
+            sums[s] = unpack(a["d"])[contexts]
+        at = np.flatnonzero(grams.of_context > self.model.tokens / level.shards)
+        known, of, total = level.hot
+        if len(at) and len(known):
+            place = np.minimum(np.searchsorted(known, grams.context[at]), len(known) - 1)
+            right = known[place] == grams.context[at]
+            followers[at[right]], sums[at[right]] = of[place[right]], total[place[right]]
         p = probabilities(count, grams.of_context, followers, sums, grams.lower, level.discounts)
         self.place = grams.inverse
         self.id, self.count, self.p = index[self.place], count[self.place], p[self.place]
-        if self.level == 0:
-            self.first_id, self.first_count = self.id, self.count
         self.level += 1
 
     def scores(self) -> pa.RecordBatch:
@@ -368,12 +398,13 @@ def unpacked_grams(row: dict) -> tuple[np.ndarray, ...]:
 # --- what a shard answers --------------------------------------------------------------
 
 
-def _merged(rows: list[dict], level: int, shard: int, top: bool) -> Iterator[tuple[str, list]]:
+def _merged(rows: list[dict], level: int, shard: int, model: Model) -> Iterator[tuple[str, list]]:
     """Add up the n-grams of one shard: answers, sums of spread contexts, the n-grams.
 
-    A row without a block holds the shard of a stored model.  ``top``: no order follows,
-    so nobody needs ids.
+    A row without a block holds the shard of a stored model.  Nobody needs the ids of
+    the highest order.
     """
+    top = level == model.most
     parts = [unpacked_grams(row) for row in rows]
     context, word, count, lower = (np.concatenate([p[i] for p in parts]) for i in range(4))
     spread = np.unique(np.concatenate([p[4] for p in parts]))
@@ -385,7 +416,8 @@ def _merged(rows: list[dict], level: int, shard: int, top: bool) -> Iterator[tup
     place = np.empty(len(order), np.int64)
     place[order] = np.cumsum(new) - 1
     total = np.add.reduceat(count[order], starts)
-    lower = lower[order][starts]
+    sent = lower[order][starts]
+    lower = first_probabilities(sent, model) if level == 2 else sent
     context, word = context[starts], word[starts]
     # Of all contexts: how many followers occur 1 to KEPT times, and their lower sum.
     first = np.diff(context, prepend=context[:1] - 1) != 0
@@ -417,7 +449,7 @@ def _merged(rows: list[dict], level: int, shard: int, top: bool) -> Iterator[tup
     numbers = [int((total == r).sum()) for r in range(1, KEPT + 2)] + [int(seen.sum())]
     yield "counts", [None, level, shard, None, None, None, None, numbers]
     if seen.any():
-        grams = (values[seen] for values in (context, word, total, lower))
+        grams = (values[seen] for values in (context, word, total, sent))
         hot = np.isin(context[seen], spread)
         yield "model", [None, level, shard, *packed_grams(*grams, hot, _NONE if top else index[seen]), None]
 
@@ -441,13 +473,13 @@ def _batched(rows: Iterator[list], names: list[str], kinds: list[pa.DataType]) -
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*held), kinds)], names)
 
 
-def _answers(batches: Iterator[pa.RecordBatch], top: bool) -> Iterator[pa.RecordBatch]:
+def _answers(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
     """Rows of whole shards, sorted by shard."""
 
     def found() -> Iterator[list]:
         for shard, rows in groupby(_rows(batches), lambda row: row["shard"]):
             rows = list(rows)
-            for kind, row in _merged(rows, rows[0]["level"], shard, top):
+            for kind, row in _merged(rows, rows[0]["level"], shard, model):
                 yield [*row, kind]
 
     return _batched(found(), [*_NAMES, "kind"], [*_KINDS, pa.string()])
@@ -468,6 +500,24 @@ def _with_blocks(rows: Iterator[dict], model: Model) -> Iterator[Block]:
         yield block
 
 
+def _asking_words(shards: int) -> Callable:
+    """Order 1: a shard is a range of hashes."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[list]:
+        for row in _rows(batches):
+            words, count = np.frombuffer(row["a"], np.uint64), unpack(row["c"])
+            shard = ((words >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
+            ends = np.searchsorted(shard, np.arange(shards + 1))
+            for number in np.unique(shard).tolist():
+                s = slice(ends[number], ends[number + 1])
+                n = s.stop - s.start
+                none = np.zeros(n, np.int64)
+                grams = packed_grams(none, words[s].view(np.int64), count[s], none, none[:0])
+                yield [row["block"], 1, number, *grams, None]
+
+    return lambda batches: _batched(rows(batches), _NAMES, _KINDS)
+
+
 def _asking(model: Model) -> Callable:
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blocks = _with_blocks(_rows(batches), model)
@@ -484,23 +534,26 @@ def _scoring(model: Model) -> Callable:
     return score
 
 
-def _gathered(blocks: DataFrame, answers: list[DataFrame], number: int) -> DataFrame:
+def _gathered(spark: SparkSession, blocks: DataFrame, model: Model, number: int) -> DataFrame:
     """Blocks with the answers so far, those of one block together and in order."""
-    if not answers:
-        return blocks
     both = blocks
-    for table in answers:
-        both = both.unionByName(table, allowMissingColumns=True)
-    return both.repartition(number, "block").sortWithinPartitions("block", "level", "shard")
+    for path in model.tables:
+        both = both.unionByName(_table(spark, path, "answer"), allowMissingColumns=True)
+    return both.repartition(max(1, number), "block").sortWithinPartitions("block", "level", "shard")
+
+
+def _blocks_of(spark: SparkSession, path: str, kind: str) -> DataFrame:
+    table = spark.read.schema(f"{_SCHEMA}, ids array<long>, kind string").parquet(path)
+    return table.where(F.col("kind") == kind).drop("kind")
 
 
-def _level(spark: SparkSession, chunks: DataFrame, level: Level, old: str | None, top: bool) -> str:
+def _level(spark: SparkSession, chunks: DataFrame, level: Level, old: str | None, model: Model) -> str:
     """Merge questions by shard, together with a stored model's n-grams."""
     path = new_path(spark, "ngrams")
     if old:
         chunks = chunks.unionByName(_table(spark, old, "model"))
     by_shard = chunks.repartitionById(level.shards, F.col("shard")).sortWithinPartitions("shard", "block")
-    merged = by_shard.mapInArrow(lambda batches: _answers(batches, top), f"{_SCHEMA}, kind string")
+    merged = by_shard.mapInArrow(lambda batches: _answers(batches, model), f"{_SCHEMA}, kind string")
     merged.write.partitionBy("kind").parquet(path)
     return path
 
@@ -528,26 +581,29 @@ def evaluate(docs: DataFrame, held: Column, order: int = ORDER, model: Model | N
     model: trained on the rows that are not ``held``, or the one that is given."""
     spark = docs.sparkSession
     ship_code(spark)
-    blocks = in_blocks(docs, held if model is None else F.lit(True))
-    number, total, tokens, documents, words = blocks.agg(
+    path = in_blocks(docs, held if model is None else F.lit(True))
+    blocks, words = _blocks_of(spark, path, "block"), _blocks_of(spark, path, "words")
+    number, total, tokens, documents, distinct = words.agg(
         F.count("*"), *[F.sum(F.col("numbers")[i]) for i in range(4)]
     ).first()
-    given, model = model, Model(tokens or 0, documents or 0) if model is None else Model(model.tokens, model.documents)
-    order = given.order if given else order
-    for n in range(1, order + 1):
-        entries = words if n == 1 else total
-        level = Level(max(1, -(-(entries or 0) // SHARD)))
-        if given:
-            level = Level(**vars(given.levels[n - 1]))
+    given = model
+    if given:
+        model = Model(given.tokens, given.documents, given.most)
+    else:
+        model = Model(tokens or 0, documents or 0, order)
+    for n in range(1, model.most + 1):
+        entries = distinct if n == 1 else total
+        level = Level(**vars(given.levels[n - 1])) if given else Level(max(1, -(-(entries or 0) // SHARD)))
         model.levels.append(level)
-        answers = [_table(spark, path, "answer") for path in model.tables]
-        asked = _gathered(blocks, answers, max(1, number)).mapInArrow(_asking(model), _SCHEMA)
-        model.tables.append(_level(spark, asked, level, given.tables[n - 1] if given else None, n == order))
+        if n == 1:
+            asked = words.drop("ids").mapInArrow(_asking_words(level.shards), _SCHEMA)
+        else:
+            asked = _gathered(spark, blocks, model, number).mapInArrow(_asking(model), _SCHEMA)
+        model.tables.append(_level(spark, asked, level, given.tables[n - 1] if given else None, model))
         _learn(spark, model, level, model.tables[-1])
-        drop_stored(spark)
-    answers = [_table(spark, path, "answer") for path in model.tables]
+        drop_stored(spark, *[f"{path}/kind=words"] * (n == 1))
     kinds = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
-    return _gathered(blocks, answers, max(1, number)).mapInArrow(_scoring(model), kinds), model
+    return _gathered(spark, blocks, model, number).mapInArrow(_scoring(model), kinds), model
 
 
 def held_out(column: str = "doc_id") -> Column:
