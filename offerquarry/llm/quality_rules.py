@@ -7,9 +7,10 @@ times the spread q3 - q1 (at least the rule's least spread) outside of them.
 
 A sketch is a table of counts by bin.  Bins keep the five leading bits of a value,
 so a quantile is at most 1/16 too low.  Sketches merge by adding counts, whatever
-the order, so results are the same on every run; a group of fewer than
-``LEAST_DOCS`` documents uses the sketch of its language, and a language that small
-the sketch of all documents.
+the order, so results are the same on every run.  The quartiles of a group of n
+documents are drawn towards those of its language, as if ``PRIOR`` more documents lay
+there, and a language's in the same way towards those of all documents: for groups of
+every size by one formula, so that one document more or less hardly moves a limit.
 
 Special cases: a null text is empty; a text with less than ``LEAST_WORDS`` words
 fails; null languages and sources form groups of their own; rows with the same id,
@@ -30,7 +31,7 @@ from offerquarry.sources.shared import ship_code, write_and_read
 
 LEAST_WORDS = 20
 MOST_REPEATED = 30  # percent of the words
-LEAST_DOCS = 200
+PRIOR = 200  # documents
 REACH = 3
 
 
@@ -115,10 +116,12 @@ def limits(sketch: DataFrame) -> DataFrame:
     both = own.join(
         by_lang, F.col("lang").eqNullSafe(F.col("l")) & (F.col("rule") == F.col("l_rule"))
     ).join(overall, F.col("rule") == F.col("o_rule"))
+
+    def drawn(n: str, own: str, to: str) -> str:
+        return f"(({n} * {own} + {PRIOR} * {to}) div ({n} + {PRIOR}))"
+
     q = {
-        name: F.when(F.col("n") >= LEAST_DOCS, F.col(name))
-        .when(F.col("of_lang.n") >= LEAST_DOCS, F.col(f"of_lang.{name}"))
-        .otherwise(F.col(f"of_all.{name}"))
+        name: F.expr(drawn("n", name, drawn("of_lang.n", f"of_lang.{name}", f"of_all.{name}")))
         for name in ("q1", "q3")
     }
     chosen = both.select("lang", "source", "rule", q["q1"].alias("q1"), q["q3"].alias("q3"))
@@ -246,8 +249,8 @@ WITH docs AS (
     GROUP BY ALL
 ), chosen AS (
     SELECT own.lang, own.source, own.rule,
-           CASE WHEN own.n >= {LEAST_DOCS} THEN own.q1 WHEN l.n >= {LEAST_DOCS} THEN l.q1 ELSE o.q1 END AS q1,
-           CASE WHEN own.n >= {LEAST_DOCS} THEN own.q3 WHEN l.n >= {LEAST_DOCS} THEN l.q3 ELSE o.q3 END AS q3
+           ((own.n * own.q1 + {PRIOR} * ((l.n * l.q1 + {PRIOR} * o.q1) // (l.n + {PRIOR}))) // (own.n + {PRIOR}))::BIGINT AS q1,
+           ((own.n * own.q3 + {PRIOR} * ((l.n * l.q3 + {PRIOR} * o.q3) // (l.n + {PRIOR}))) // (own.n + {PRIOR}))::BIGINT AS q3
     FROM ({quartiles("lang, source")}) own
     JOIN ({quartiles("lang")}) l ON own.lang IS NOT DISTINCT FROM l.lang AND own.rule = l.rule
     JOIN ({quartiles("")}) o ON own.rule = o.rule

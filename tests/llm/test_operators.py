@@ -108,6 +108,18 @@ def test_distances_count_differing_places():
     assert len(set(minhash_dedup.index_keys(a[None])[0])) == 70
 
 
+def test_quality_limits_do_not_jump_with_the_size_of_a_source(spark):
+    """The same document among 198, 199 and 200 siblings, and a source of its own."""
+    odd = " ".join(WORDS[i % 30] + "," for i in range(40))
+    verdicts = set()
+    for siblings in (0, 198, 199, 200):
+        rows_ = [(i, prose(40, i), "en", "a", 1, "x") for i in range(siblings)]
+        rows_ += [(1000 + i, prose(40, 1000 + i), "en", "b", 1, "x") for i in range(300)]
+        found = quality_rules.rate(spark.createDataFrame([*rows_, (9999, odd, "en", "a", 1, "x")], DOCS))
+        verdicts.add(found.where("doc_id = 9999").first().kept)
+    assert len(verdicts) == 1
+
+
 def test_quality_rules(docs, empty):
     found = {r.doc_id: r for r in quality_rules.rate(docs).collect()}
     assert found[5].base_failed and found[6].n_words == 0 and not found[6].kept
