@@ -35,6 +35,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op4_web_archives": web_archives.ORACLE,
     "op10_quality_rules": quality_rules.ORACLE,
     "op11_fill_in_middle": fill_middle.ORACLE,
     "op13_vector_codes": vector_codes.ORACLE,

@@ -16,6 +16,11 @@ blanks in an address are escaped; a row without a page id is a revisit if a row
 has its payload, else a response; rows repeated with the smallest page id are all responses;
 no rows give an archive without pages.
 An archive whose record ends early raises an error that names the file.
+
+A task reads one archive at a time as a whole, so ``write_arc`` cuts archives small
+(``ARCHIVE_BYTES``); a page of any size is one record, and needs the memory for it.
+Payloads pass from step to step a few megabytes at a time.  ``.arc.gz`` files (a gzip
+member per record, or one for all) are unpacked member by member.
 """
 
 from __future__ import annotations
@@ -23,17 +28,19 @@ from __future__ import annotations
 import base64
 import hashlib
 import uuid
-from collections.abc import Iterator
+import zlib
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from offerquarry.llm.common import read_table
-from offerquarry.sources.shared import new_path, ship_code, write_and_read
+from offerquarry.sources.shared import drop_stored, free_shuffles, new_path, ship_code, write_and_read
 
 CAPTURED = "20200101000000"  # the pages have no date
-ARCHIVE_BYTES = 32 << 20  # aimed at for one file
+ARCHIVE_BYTES = 4 << 20  # aimed at for one file
+BATCH_BYTES = 4 << 20  # of payloads that a step hands on at once
 LEAST_BYTES = 0  # payloads this long or longer become revisits
 
 # Field names in the record lines of the two ARC versions.
@@ -49,30 +56,52 @@ class BrokenArchive(ValueError):
     """An archive's record has no proper head or ends before its declared length."""
 
 
+def _batched(
+    rows: Iterable[tuple[tuple, int]], names: list[str], kinds: list[pa.DataType]
+) -> Iterator[pa.RecordBatch]:
+    """Rows with their sizes in bytes, in batches of about ``BATCH_BYTES``."""
+    held, total = [], 0
+    for row, size in rows:
+        held.append(row)
+        total += size + 100
+        if total >= BATCH_BYTES:
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*held), kinds)], names)
+            held, total = [], 0
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*held), kinds)], names)
+
+
+def _each(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """The rows of batches, one by one: a batch is never turned into Python values whole."""
+    for batch in batches:
+        for values in zip(*batch.columns):
+            yield tuple(v.as_py() for v in values)
+
+
 # --- pages to ARC --------------------------------------------------------------------
 
 
 def _arc_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """File number, part, page id, address and html to ARC records; part 0 is a head."""
-    for batch in batches:
-        rows = []
-        for file, part, page_id, url, html in zip(*(c.to_pylist() for c in batch.columns)):
-            version = file % 2 + 1
-            if part == 0:
-                rows.append(_arc_header(file, version))
-                continue
-            head = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
-            if page_id is not None:
-                head += f"{ID_HEADER}: {page_id}\r\n".encode()
-            body = head + f"Content-Length: {len(html)}\r\n\r\n".encode() + html
-            fields = [url.encode(), b"0.0.0.0", CAPTURED.encode(), b"text/html"]
-            if version == 2:
-                check = hashlib.md5(html).hexdigest().encode()
-                fields += [b"200", check, b"-", b"0", f"{file}.arc".encode()]
-            rows.append(b" ".join([*fields, str(len(body)).encode()]) + b"\n" + body)
-        yield pa.RecordBatch.from_arrays(
-            [*batch.columns[:2], pa.array(rows, pa.binary())], ["file", "part", "record"]
-        )
+
+    def rows() -> Iterator[tuple[tuple, int]]:
+        for file, part, page_id, url, html in _each(batches):
+            record = _arc_record(file, page_id, url, html) if part else _arc_header(file, file % 2 + 1)
+            yield (file, part, record), len(record)
+
+    return _batched(rows(), ["file", "part", "record"], [pa.int32(), pa.int32(), pa.binary()])
+
+
+def _arc_record(file: int, page_id: int | None, url: str, html: bytes) -> bytes:
+    head = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
+    if page_id is not None:
+        head += f"{ID_HEADER}: {page_id}\r\n".encode()
+    body = head + f"Content-Length: {len(html)}\r\n\r\n".encode() + html
+    fields = [url.encode(), b"0.0.0.0", CAPTURED.encode(), b"text/html"]
+    if file % 2 + 1 == 2:
+        check = hashlib.md5(html).hexdigest().encode()
+        fields += [b"200", check, b"-", b"0", f"{file}.arc".encode()]
+    return b" ".join([*fields, str(len(body)).encode()]) + b"\n" + body
 
 
 def _arc_header(file: int, version: int) -> bytes:
@@ -106,7 +135,7 @@ def write_arc(pages: DataFrame, path: str) -> None:
         F.lit(b"").alias("html"),
     )
     records = heads.unionByName(dealt).mapInArrow(_arc_rows, "file int, part int, record binary")
-    both = records.repartition(files, "file").sortWithinPartitions("file", "part")
+    both = records.repartitionById(files, F.col("file")).sortWithinPartitions("file", "part")
     both.select(F.col("record").cast("string").alias("value")).write.option("lineSep", "\n").text(path)
 
 
@@ -161,27 +190,34 @@ def sha1(data: bytes) -> str:
     return base64.b32encode(hashlib.sha1(data).digest()).decode()
 
 
+def unpacked(data: bytes) -> bytes:
+    """An archive as it is, or all members of a gzip file."""
+    parts = []
+    while data.startswith(b"\x1f\x8b"):
+        member = zlib.decompressobj(wbits=31)
+        parts.append(member.decompress(data))
+        data = member.unused_data
+    return b"".join(parts) if parts else data
+
+
 def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["page_id", "url", "date", "ip", "head", "payload", "payload_bytes", "digest"]
     kinds = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.binary(), pa.binary(), pa.int64(), pa.string()]
-    for batch in batches:
-        for path, data in zip(batch.column(0).to_pylist(), batch.column(1)):
-            rows, size = [], 0
-            for fields, content in arc_records(data.as_py(), path):
+
+    def rows() -> Iterator[tuple[tuple, int]]:
+        for path, data in _each(batches):
+            for fields, content in arc_records(unpacked(data), path):
                 head, payload = _payload(content)
                 page_id = _header(head, ID_HEADER)
-                rows.append((
+                row = (
                     None if page_id is None else int(page_id),
                     fields[b"URL"].decode("utf-8", "replace"),
                     fields[b"Archive-date"].decode(), fields[b"IP-address"].decode(),
                     head, payload, len(payload), sha1(payload),
-                ))
-                size += len(payload)
-                if size > 1 << 22:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
-                    rows, size = [], 0
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
+                )
+                yield row, len(content)
+
+    return _batched(rows(), names, kinds)
 
 
 _RECORD = "page_id long, url string, date string, ip string, head binary, payload binary, payload_bytes long, digest string"
@@ -209,11 +245,13 @@ def convert(spark: SparkSession, path: str, least_bytes: int = LEAST_BYTES) -> D
 
 
 def _warc_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        rows = []
-        for row in batch.to_pylist():
-            rows.append(warc_record(row))
-        yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], ["record"])
+    def rows() -> Iterator[tuple[tuple, int]]:
+        for batch in batches:
+            for values in zip(*batch.columns):
+                record = warc_record(dict(zip(batch.schema.names, (v.as_py() for v in values))))
+                yield (record,), len(record)
+
+    return _batched(rows(), ["record"], [pa.binary()])
 
 
 def _record_id(page_id: int | None, digest: str) -> str:
@@ -273,24 +311,25 @@ def warc_records(data: bytes, name: str) -> Iterator[tuple[dict[str, str], bytes
 
 def _restored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["page_id", "record_type", "refers_to", "declared", "payload_bytes", "payload_digest", "url", "record_id"]
-    for batch in batches:
-        for path, data in zip(batch.column(0).to_pylist(), batch.column(1)):
-            rows = []
-            for fields, block in warc_records(data.as_py(), path):
+    kinds = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.string()]
+
+    def rows() -> Iterator[tuple[tuple, int]]:
+        for path, data in _each(batches):
+            for fields, block in warc_records(data, path):
                 head, payload = _payload(block)
                 page_id, refers = _header(head, ID_HEADER), fields.get("x-refers-to-page-id")
                 response = fields["warc-type"] == "response"
-                rows.append((
+                row = (
                     None if page_id is None else int(page_id),
                     fields["warc-type"], None if refers in (None, "None") else int(refers),
                     fields["warc-payload-digest"].removeprefix("sha1:"),
                     len(payload) if response else int(_header(head, "Content-Length")),
                     sha1(payload) if response else None,
                     fields["warc-target-uri"], fields["warc-record-id"],
-                ))
-            kinds = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.string()]
-            columns = list(zip(*rows)) or [()] * len(kinds)
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
+                )
+                yield row, 200
+
+    return _batched(rows(), names, kinds)
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
@@ -310,7 +349,9 @@ def op4_web_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages to ARC, converted to WARC, read back."""
     arc, warc = new_path(spark, "arc"), new_path(spark, "warc")
     write_arc(read_table(spark, sf_dir, "pages"), arc)
+    free_shuffles(spark)
     write_warc(convert(spark, arc), warc)
+    drop_stored(spark, arc)
     return read_warc(spark, warc).select(
         "page_id",
         "payload_bytes",
@@ -318,3 +359,19 @@ def op4_web_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
         "record_type",
         "refers_to",
     )
+
+
+ORACLE = f"""
+WITH payloads AS (
+    SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages
+), coded AS (
+    SELECT *, array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+               (((('0x' || substr(h, 5 * (i // 4) + 1, 5))::BIGINT >> (15 - 5 * (i % 4))) & 31) + 1)::BIGINT, 1)
+               FOR i IN range(32)], '') AS payload_digest,
+           CASE WHEN payload_bytes >= {LEAST_BYTES} THEN min(page_id) OVER (PARTITION BY h, payload_bytes) END AS first
+    FROM payloads
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN first IS NULL OR first IS NOT DISTINCT FROM page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN first IS DISTINCT FROM page_id THEN first END AS refers_to
+FROM coded"""

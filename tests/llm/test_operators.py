@@ -1,6 +1,7 @@
 """The training-data operators on small tables, against plain Python versions."""
 
 import base64
+import gzip
 import hashlib
 import re
 
@@ -300,6 +301,22 @@ def test_archives(spark, tmp_path):
     assert rows(web_archives.convert(spark, nothing)) == []
 
 
+def test_archives_stay_small_and_packed_ones_are_read(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(web_archives, "ARCHIVE_BYTES", 20_000)
+    pages = spark.createDataFrame([(i, f"http://a/{i}", prose(100, i)) for i in range(300)], "page_id long, url string, html string")
+    plain, packed = tmp_path / "arc", tmp_path / "packed"
+    web_archives.write_arc(pages, str(plain))
+    files = [f for f in plain.iterdir() if f.name.startswith("part")]
+    assert len(files) > 8 and max(f.stat().st_size for f in files) < 60_000
+    packed.mkdir()
+    for f in files:  # a member for each half of a file
+        data = f.read_bytes()
+        cut = data.index(b"\nhttp://", len(data) // 2) + 1
+        (packed / f"{f.name}.arc.gz").write_bytes(gzip.compress(data[:cut]) + gzip.compress(data[cut:]))
+    one, other = (web_archives.convert(spark, str(p)).drop("ip") for p in (plain, packed))
+    assert one.count() == 300 and one.exceptAll(other).isEmpty() and other.exceptAll(one).isEmpty()
+
+
 def test_broken_archives_are_named():
     with pytest.raises(web_archives.BrokenArchive, match="f.arc"):
         list(web_archives.arc_records(b"http://a 0 20200101000000 text/html 99\nshort", "f.arc"))
