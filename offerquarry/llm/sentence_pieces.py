@@ -17,8 +17,8 @@ are none.  The model file is read by the driver; its vocabulary (fixed by the fi
 by the data) is sent to the tasks.  Nothing is shuffled.
 
 Special cases: a null text encodes to null and decodes to null, an empty one to no
-pieces; a very long text is encoded whole, in slices of words; rows do not depend on
-each other.  Decoding returns exactly the text, unless it holds the space mark itself,
+pieces; a very long text is encoded whole, in slices of words; a word of any length takes
+memory in proportion to it; rows do not depend on each other.  Decoding returns exactly the text, unless it holds the space mark itself,
 which becomes a space, or characters without bytes to fall back to.
 """
 
@@ -26,9 +26,10 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import cached_property
+from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -45,8 +46,9 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"  # stands for a space
 # The marks with what follows them; line ends, which no piece joins with letters, apart.
 _WORDS = re.compile(f"{MARK}*[^{MARK}\n]+|{MARK}+|\n")
-SLICE = 1 << 22  # characters whose words are encoded together
-MOST_KNOWN = 700_000  # words whose encoding a task remembers
+SLICE = 1 << 20  # characters whose words are encoded together
+MOST_KNOWN = 24 << 20  # bytes of words and their encodings that a task remembers
+MOST_PAIRS = 300_000  # pairs of pieces that it remembers
 
 NO_PIECE = -1
 _NORMAL, _UNKNOWN, _BYTE = 0, 1, 2
@@ -59,6 +61,8 @@ class Pairs(dict):
         self.vocabulary = vocabulary
 
     def __missing__(self, pair: tuple[int, int]) -> bool:
+        if len(self) >= MOST_PAIRS:
+            self.clear()
         self[pair] = self.vocabulary.follows(*pair)
         return self[pair]
 
@@ -133,18 +137,38 @@ class Vocabulary:
         return [self.kinds.index(_UNKNOWN)]
 
     def merged(self, text: str) -> list[str]:
-        """BPE by its definition: the best pair first, the leftmost of equal ones."""
-        parts = list(text)
-        while len(parts) > 1:
-            best, at = None, 0
-            for i in range(len(parts) - 1):
-                piece = self.ids.get(parts[i] + parts[i + 1])
-                if piece is not None and (best is None or self.scores[piece] > best):
-                    best, at = self.scores[piece], i
-            if best is None:
-                break
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
-        return parts
+        """BPE by its definition: the best pair first, the leftmost of equal ones.
+
+        Possible merges wait in a heap, and parts are linked with their neighbours, so
+        time grows hardly more than the text.
+        """
+        parts: list[str | None] = list(text)
+        before, after = list(range(-1, len(parts) - 1)), list(range(1, len(parts) + 1))
+        waiting: list[tuple[float, int, int]] = []
+
+        def propose(left: int) -> None:
+            right = after[left] if left >= 0 else len(parts)
+            if right < len(parts):
+                piece = self.ids.get(parts[left] + parts[right])
+                if piece is not None:
+                    heappush(waiting, (-self.scores[piece], left, piece))
+
+        for left in range(len(parts) - 1):
+            propose(left)
+        while waiting:
+            _, left, piece = heappop(waiting)
+            if parts[left] is None or after[left] == len(parts):
+                continue
+            right = after[left]
+            if self.ids.get(parts[left] + parts[right]) != piece:
+                continue  # one of the two has been merged with another part since
+            parts[left], parts[right] = self.pieces[piece], None
+            after[left] = after[right]
+            if after[left] < len(parts):
+                before[after[left]] = left
+            propose(before[left])
+            propose(left)
+        return [part for part in parts if part is not None]
 
     def follows(self, first: int, second: int) -> bool:
         """May the two pieces stand side by side in a BPE encoding?"""
@@ -163,14 +187,15 @@ class Vocabulary:
 class Walk:
     """Forward states of all prefixes of a word; the next word starts from shared ones.
 
-    For each depth: the last piece (NO_PIECE for a character without one), the ids so
-    far, the score so far, and the open paths into the vocabulary with their starts.
+    For each depth: the last piece (NO_PIECE for a character without one) and where it
+    begins, the score so far, and the open paths into the vocabulary with their starts.
+    The encoding is read off backwards when a word is complete.
     """
 
     def __init__(self, vocabulary: Vocabulary):
         self.v, self.pairs = vocabulary, vocabulary.pairs
         self.packed = vocabulary.packed
-        self.last, self.ids, self.score = [NO_PIECE], [b""], [0.0]
+        self.last, self.begin, self.score = [NO_PIECE], [0], [0.0]
         self.open: list[list[tuple[int, dict]]] = [[]]
 
     def encode(self, word: str, shared: int) -> bytes | None:
@@ -179,10 +204,10 @@ class Walk:
         None if merging reaches no piece at some place (BPE only); the states before it
         stay, so that the next word may share them.
         """
-        last, ids, score, open_ = self.last, self.ids, self.score, self.open
-        v, packed = self.v, self.packed
+        last, begins, score, open_ = self.last, self.begin, self.score, self.open
+        v = self.v
         root, pairs, bpe = v.trie, self.pairs, v.bpe
-        for states in (last, ids, score, open_):
+        for states in (last, begins, score, open_):
             del states[shared + 1 :]
         for at in range(len(last) - 1, len(word)):
             char = word[at]
@@ -205,17 +230,26 @@ class Walk:
                     total = score[begin] + v.scores[piece]
                     if best is None or total > best_score:
                         best, best_begin, best_score = piece, begin, total
-            if best is not None:
-                ids.append(ids[best_begin] + packed[best])
-            elif char in v.ids:
-                return None
-            else:
+            if best is None:
+                if char in v.ids:
+                    return None
                 best, best_score = NO_PIECE, score[at] - 1e9
-                ids.append(ids[at] + b"".join(packed[i] for i in v.fallback(char)))
             last.append(best)
+            begins.append(best_begin)
             score.append(best_score)
             open_.append(paths)
-        return ids[-1]
+        return self.ids(word)
+
+    def ids(self, word: str) -> bytes:
+        """The encoding of a word whose states are complete."""
+        found, at = [], len(word)
+        while at:
+            if self.last[at] == NO_PIECE:
+                found.append(b"".join(self.packed[i] for i in self.v.fallback(word[at - 1])))
+            else:
+                found.append(self.packed[self.last[at]])
+            at = self.begin[at]
+        return b"".join(reversed(found))
 
 
 def encode_words(words: list[str], vocabulary: Vocabulary) -> Iterator[bytes]:
@@ -242,10 +276,10 @@ class Encoder:
     """Encodes texts; remembers the words of late."""
 
     def __init__(self, vocabulary: Vocabulary):
-        self.v, self.known = vocabulary, {}
+        self.v, self.known, self.size = vocabulary, {}, 0
 
-    def texts(self, texts: list[str | None]) -> Iterator[bytes | None]:
-        """The ids of each text as 32-bit numbers."""
+    def texts(self, texts: Iterable[str | None]) -> Iterator[bytes | None]:
+        """The ids of each text as 32-bit numbers, texts in groups of about a slice."""
         group: list[list[list[str] | bytes] | None] = []
         new: set[str] = set()
         size = 0
@@ -257,21 +291,32 @@ class Encoder:
                 size += length
                 if size > SLICE:
                     self.learn(new)
-                    group = [g if g is None else [self.joined(g)] for g in group]
-                    new, size = set(), 0
+                    done, unfinished = group[:-1], group[-1]
+                    yield from map(self.joined, done)
+                    group, new, size = [[self.joined(unfinished)]], set(), 0
         self.learn(new)
-        for parts in group:
-            yield None if parts is None else self.joined(parts)
+        yield from map(self.joined, group)
 
-    def joined(self, parts: list[list[str] | bytes]) -> bytes:
+    def joined(self, parts: list[list[str] | bytes] | None) -> bytes | None:
+        if parts is None:
+            return None
         known = self.known.__getitem__
         return b"".join(p if isinstance(p, bytes) else b"".join(map(known, p)) for p in parts)
 
     def learn(self, words: set[str]) -> None:
-        if len(self.known) + len(words) > MOST_KNOWN:
-            self.known = {}
+        """Encode the words not known; only those of this slice if there are too many."""
+        if self.size > MOST_KNOWN:
+            self.known = {w: self.known[w] for w in words if w in self.known}
+            self.size = sum(map(self._bytes, self.known.items()))
         ordered = sorted(words.difference(self.known))
-        self.known.update(zip(ordered, encode_words(ordered, self.v)))
+        fresh = dict(zip(ordered, encode_words(ordered, self.v)))
+        self.size += sum(map(self._bytes, fresh.items()))
+        self.known.update(fresh)
+
+    @staticmethod
+    def _bytes(entry: tuple[str, bytes]) -> int:
+        """About what a word and its encoding take, with their place in the table."""
+        return 2 * len(entry[0]) + len(entry[1]) + 200
 
 
 def _slices(text: str) -> Iterator[tuple[list[str], int]]:
@@ -305,10 +350,11 @@ def encoded(vocabulary: Broadcast, text: str = "text") -> Column:
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = vocabulary.value.encoder
         for texts in batches:
-            rows = list(encoder.texts(texts.to_pylist()))
+            rows = list(encoder.texts(t.as_py() for t in texts))
             ends = np.cumsum([0, *(len(r or b"") // 4 for r in rows)], dtype=np.int32)
-            values = np.frombuffer(b"".join(r or b"" for r in rows), "<i4")
             nulls = pa.array([r is None for r in rows])
+            values = np.frombuffer(b"".join(r or b"" for r in rows), "<i4")
+            del rows
             yield pa.ListArray.from_arrays(pa.array(ends), pa.array(values), mask=nulls)
 
     return encode(F.col(text).cast("string"))
@@ -321,8 +367,8 @@ def decoded(vocabulary: Broadcast, ids: str) -> Column:
     def restore(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         v = vocabulary.value
         for rows in batches:
-            texts = [None if r is None else decode(r, v) for r in rows.to_pylist()]
-            yield pa.array(texts, pa.string())
+            cells = (row.as_py() for row in rows)
+            yield pa.array([None if r is None else decode(r, v) for r in cells], pa.string())
 
     return restore(F.col(ids))
 
@@ -334,9 +380,9 @@ def checked(vocabulary: Broadcast, text: str = "text") -> Column:
     def check(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = vocabulary.value.encoder
         for batch in batches:
-            texts = batch.to_pylist()
             numbers, digests, restored = [], [], []
-            for text, row in zip(texts, encoder.texts(texts)):
+            for cell, row in zip(batch, encoder.texts(t.as_py() for t in batch)):
+                text = cell.as_py()
                 numbers.append(None if row is None else len(row) // 4)
                 digests.append(None if row is None else hashlib.sha256(row).hexdigest())
                 ids = np.frombuffer(row or b"", "<i4").tolist()

@@ -4,9 +4,11 @@ import base64
 import gzip
 import hashlib
 import re
+import tracemalloc
 
 import numpy as np
 import pytest
+import sentencepiece
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -249,7 +251,6 @@ def test_mix_comes_near_its_targets(spark):
 
 
 def test_pieces_equal_the_library():
-    import sentencepiece
 
     library = sentencepiece.SentencePieceProcessor(model_file=sentence_pieces.MODEL)
     v = sentence_pieces.Vocabulary.load(sentence_pieces.MODEL)
@@ -276,6 +277,46 @@ def test_encode_and_decode(docs, empty):
     assert rows(sentence_pieces.encode(empty)) == []
 
 
+def test_long_words_take_memory_in_proportion():
+    library = sentencepiece.SentencePieceProcessor(model_file=sentence_pieces.MODEL)
+    v = sentence_pieces.Vocabulary.load(sentence_pieces.MODEL)
+    rng = np.random.default_rng(9)
+    letters = "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyzABC0123+/"), 200_000))
+    texts = [letters, " " * 100_000, "a" + " " * 4000 + "b", "é中" * 3000 + " " * 9, "=" * 50_000]
+    tracemalloc.start()
+    found = list(sentence_pieces.Encoder(v).texts(texts))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 400 << 20
+    for text, ids in zip(texts, found):
+        assert np.frombuffer(ids, "<i4").tolist() == library.encode(text)
+
+
+def test_unigram_texts_have_the_best_sum_of_scores(spark):
+    """A model made here; every split of short words is tried."""
+    rng = np.random.default_rng(10)
+    letters = "▁abcd"
+    pieces = ["<unk>", *letters]
+    pieces += sorted({"".join(rng.choice(list("abcd"), n)) for n in (2, 2, 2, 3, 3, 4) for _ in range(8)})
+    pieces += sorted({"▁" + "".join(rng.choice(list("abcd"), n)) for n in (1, 2, 3) for _ in range(5)})
+    scores = [0.0, *(-rng.random(len(pieces) - 1) * 9 - 1).tolist()]
+    v = sentence_pieces.Vocabulary(pieces, scores, [1] + [0] * (len(pieces) - 1), bpe=False)
+
+    def best(word):
+        if not word:
+            return 0.0
+        ends = (i for i in range(1, len(word) + 1) if word[:i] in pieces)
+        return max(scores[pieces.index(word[:i])] + best(word[i:]) for i in ends)
+
+    texts = [" ".join("".join(rng.choice(list("abcd"), rng.integers(1, 9))) for _ in range(6)) for _ in range(40)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    shared = spark.sparkContext.broadcast(v)
+    for r in docs.withColumn("ids", sentence_pieces.encoded(shared)).collect():
+        total = sum(best("▁" + word) for word in r.text.split())
+        assert abs(sum(scores[i] for i in r.ids) - total) < 1e-9
+        assert sentence_pieces.decode(r.ids, v) == r.text
+
+
 def test_archives(spark, tmp_path):
     table = [
         (2, "http://a/ x", "<p>é</p>"), (1, "http://b", "<p>é</p>"), (3, None, None), (4, "u", ""),
