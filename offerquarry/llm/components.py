@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from offerquarry.sources.shared import write_and_read
+from offerquarry.sources.shared import drop_stored, write_and_read
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -16,6 +16,7 @@ def components(links: DataFrame) -> DataFrame:
     is left; a star of any size takes one round.  Each round is stored, and only the
     number of remaining links comes to the driver.
     """
+    spark = links.sparkSession
     links = write_and_read(links.where("a <> b").select("a", "b").distinct(), "links")
     both = links.select("a").union(links.select("b"))
     labels = both.distinct().select(F.col("a").alias("node"), F.col("a").alias("component"))
@@ -31,13 +32,16 @@ def components(links: DataFrame) -> DataFrame:
         def renamed(name: str) -> DataFrame:
             return jumps.select(F.col("old").alias(name), F.col("new").alias(f"new_{name}"))
 
-        links = links.join(renamed("a"), "a").join(renamed("b"), "b")
-        links = links.where("new_a <> new_b").select(
+        rest = links.join(renamed("a"), "a").join(renamed("b"), "b")
+        rest = rest.where("new_a <> new_b").select(
             F.least("new_a", "new_b").alias("a"), F.greatest("new_a", "new_b").alias("b")
         )
-        links = write_and_read(links.distinct(), "links")
-        labels = labels.join(renamed("component"), "component", "left").select(
+        rest = write_and_read(rest.distinct(), "links")
+        named = labels.join(renamed("component"), "component", "left").select(
             "node", F.coalesce("new_component", "component").alias("component")
         )
-        labels = write_and_read(labels, "labels")
+        named = write_and_read(named, "labels")
+        drop_stored(spark, links, labels, hooks, jumps)
+        links, labels = rest, named
+    drop_stored(spark, links)
     return labels

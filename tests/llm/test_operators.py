@@ -102,6 +102,22 @@ def test_near_duplicates_are_those_of_all_pairs(spark):
     assert [found[i] for i in range(len(texts))] == label
 
 
+def test_rows_that_share_an_id_are_judged_by_their_texts(spark):
+    a, b = prose(200, 31), prose(200, 32)
+
+    def near(text):
+        words = text.split()
+        words[100] = "changed"
+        return " ".join(words)
+
+    table = [(1, a), (5, near(a)), (5, b), (9, near(b)), (9, near(b)), (7, b), (11, ""), (11, None)]
+    docs = spark.createDataFrame(table, "doc_id long, text string")
+    found = sorted((r.doc_id, r.component_id) for r in minhash_dedup.near_duplicates(docs, 2).collect())
+    assert found == [(1, 1), (5, 1), (5, 5), (7, 5), (9, 5), (9, 5), (11, 11), (11, 11)]
+    kept = sorted(((r.doc_id, r.text) for r in minhash_dedup.keep_one(docs, 2).collect()), key=str)
+    assert kept == sorted([(1, a), (5, b), (11, ""), (11, None)], key=str)
+
+
 def test_distances_count_differing_places():
     a = minhash_dedup.signature(np.arange(50, dtype=np.uint64) * np.uint64(977))
     b = a.copy()
