@@ -133,7 +133,8 @@ def shingle_set(size: int, text: str = "text") -> Column:
         lists = _lists([s.view(np.int64) for s in sets])
         return pa.StructArray.from_arrays([digests, lists], ["digest", "shingles"])
 
-    return shingles(utf8(text))
+    # Else Spark would test the digests of a later join before an earlier semi-join.
+    return shingles.asNondeterministic()(utf8(text))
 
 
 @F.arrow_udf(ArrayType(LongType()))
