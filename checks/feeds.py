@@ -131,6 +131,22 @@ def page_links_sql() -> str:
     """
 
 
+def long_links_sql() -> str:
+    """Searches of 200 pages: one in three ends after 70 pages or less, one leads back
+    from its last page to an earlier one."""
+    block, place = _whole("o_orderkey", 200), "o_orderkey % 200"
+    search = f"'w' || {_text(block)}"
+    ahead = f"{search} || '/' || {_text(f'({place} + 1)')}"
+    return f"""
+    SELECT {search} AS search_id, o_orderkey AS page_id,
+      {search} || '/' || {_text(place)} AS url,
+      CASE WHEN {block} % 3 = 1 AND {place} >= {block} % 70 THEN ''
+        WHEN {place} = 199 AND {block} % 3 = 2 THEN {search} || '/' || {_text(f'({block} % 150)')}
+        ELSE {ahead} END AS next_href
+    FROM {{orders}}
+    """
+
+
 def shared_link(block: str = "search_id") -> str:
     """Item link that several pages of one search hold."""
     return (

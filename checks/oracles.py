@@ -7,6 +7,7 @@ from checks.feeds import (
     chf_price,
     in_duckdb,
     listings_sql,
+    long_links_sql,
     own_link,
     page_links_sql,
     shared_link,
@@ -248,6 +249,14 @@ ORACLES = {
         FROM t""",
     "page_walk": f"""WITH RECURSIVE links AS ({LINKS}), {WALK}
         SELECT search_id, page_no, url, page_id FROM walk""",
+    "seen_across_runs": f"WITH {OFFERS} {ALL_PAGES}",
+    "long_walk": f"""WITH RECURSIVE links AS ({in_duckdb(long_links_sql())}), walk AS (
+          SELECT search_id, 1::BIGINT AS page_no, url, page_id, next_href FROM links WHERE url = search_id || '/0'
+          UNION ALL
+          SELECT w.search_id, w.page_no + 1, p.url, p.page_id, p.next_href
+          FROM walk w JOIN links p ON p.search_id = w.search_id AND p.url = w.next_href
+          WHERE w.page_no < 250)
+        SELECT search_id, min(page_no) AS page_no, url, page_id FROM walk GROUP BY search_id, url, page_id""",
     "run_search": f"""WITH RECURSIVE {OFFERS}, {WALK},
         {_derived_ctes(False, source=f"l AS ({WALKED})")},
         ranked AS (SELECT *, row_number() OVER (PARTITION BY search_id, title, price, link
@@ -289,7 +298,9 @@ ORACLES = {
         o_orderstatus AS status FROM orders""",
     "resolve_columns": f"""WITH {_listings()} SELECT titel, '' AS aktualitaet, preis, land,
         versand, 'old' AS "Price", link, image AS link_bild, {ORDER} FROM l""",
-    "first_url_column": f"""WITH {_listings()} SELECT
+    "first_url_column": f"""WITH {_listings()} SELECT {ORDER}, 'link' AS url_column, link AS url
+        FROM l""",
+    "url_columns": f"""WITH {_listings()} SELECT
         bool_or(regexp_matches(titel, 'https?://')) AS titel,
         bool_or(regexp_matches(aktualitaet, 'https?://')) AS aktualitaet,
         bool_or(regexp_matches(preis, 'https?://')) AS preis,
@@ -318,7 +329,15 @@ ORACLES = {
     "max_price_filter": f"""WITH {_clean_ctes(True)} SELECT {ORDER}, title, price FROM clean
         WHERE price <= 950""",
     "keyword_filter": f"""WITH {_clean_ctes(True)} SELECT {ORDER}, title FROM clean
-        WHERE contains(lower(title), 'red') AND contains(lower(title), 'widget')""",
+        WHERE contains(lower(title), 'red') AND contains(lower(title), 'widget')
+          AND contains(lower(title), 'neuem')""",
+    "keyword_search": f"""WITH {_listings()}, worded AS (SELECT {ORDER},
+            regexp_extract_all(lower(titel), '[\\p{{L}}\\p{{N}}]+') AS words FROM l),
+        queries AS (SELECT DISTINCT p_name AS query_id, ['neuem', split_part(p_name, ' ', 1),
+              split_part(p_name, ' ', 2)] AS asked FROM part
+            UNION SELECT DISTINCT p_name || '*', [left(p_name, 2), split_part(p_name, ' ', 1),
+              split_part(p_name, ' ', 2)] FROM part)
+        SELECT query_id, {ORDER} FROM worded JOIN queries ON list_has_all(words, asked)""",
     "result_rows": f"WITH {_clean_ctes(True)} SELECT {SHOWN_PLUS} FROM clean",
     "filter_land": f"""WITH {_clean_ctes(True)} SELECT {SHOWN_PLUS} FROM clean
         WHERE product_origin = 'Grossbritannien'""",
@@ -334,6 +353,34 @@ ORACLES = {
         '' AS "Link" FROM documents""",
     "raw_csv_scan": f"""WITH {_listings()} SELECT ' "neu",' || chr(10) || titel AS titel,
         aktualitaet, preis, land, versand, link, image FROM l""",
+    "raw_csv_one_file": f"""WITH {_listings()} SELECT ' "neu",' || chr(10) || titel AS titel,
+        aktualitaet, preis, land, versand, link, image FROM l""",
+    "raw_csv_varied": f"""WITH {_listings()} SELECT
+          CASE WHEN l_orderkey % 3 < 2 THEN titel END AS titel,
+          CASE WHEN l_orderkey % 3 <> 1 THEN aktualitaet END AS aktualitaet, preis, land,
+          CASE WHEN l_orderkey % 3 < 2 THEN versand END AS versand,
+          CASE WHEN l_orderkey % 3 < 2 THEN link END AS link,
+          CASE WHEN l_orderkey % 3 <> 1 THEN image END AS image,
+          CASE WHEN l_orderkey % 3 = 2 THEN l_orderkey || '-' || l_linenumber END AS "Posten"
+        FROM l""",
+    "raw_csv_types": f"""WITH {_listings()}, t AS (SELECT unnest([
+            {{'p': 0, 'c': 'titel', 'v': titel}}, {{'p': 1, 'c': 'aktualitaet', 'v': aktualitaet}},
+            {{'p': 2, 'c': 'preis', 'v': preis}}, {{'p': 3, 'c': 'land', 'v': land}},
+            {{'p': 4, 'c': 'versand', 'v': versand}}, {{'p': 5, 'c': 'link', 'v': link}},
+            {{'p': 6, 'c': 'image', 'v': image}}, {{'p': 7, 'c': 'l_orderkey', 'v': l_orderkey::VARCHAR}},
+            {{'p': 8, 'c': 'l_extendedprice', 'v': l_extendedprice::VARCHAR}},
+            {{'p': 9, 'c': 'gaps', 'v': CASE WHEN l_orderkey % 7 <> 0 THEN l_orderkey::VARCHAR END}},
+            {{'p': 10, 'c': 'flag', 'v': (l_orderkey % 2 = 0)::VARCHAR}},
+            {{'p': 11, 'c': 'mostly', 'v': CASE WHEN l_orderkey = 7 THEN 'n. v.' ELSE l_orderkey::VARCHAR END}},
+            {{'p': 12, 'c': 'nothing', 'v': NULL}}]) AS u FROM l),
+        v AS (SELECT u.p AS place, u.c AS "column", CASE WHEN u.v <> 'NA' THEN u.v END AS v FROM t)
+        SELECT place, "column", bool_or(v IS NULL) AS missing, CASE
+            WHEN count(v) = 0 THEN 'void'
+            WHEN bool_and(v IN ('true', 'false')) THEN 'boolean'
+            WHEN bool_and(regexp_full_match(v, '[0-9]+')) THEN CASE WHEN bool_or(v IS NULL) THEN 'double' ELSE 'bigint' END
+            WHEN bool_and(TRY_CAST(v AS DOUBLE) IS NOT NULL) FILTER (WHERE v IS NOT NULL) THEN 'double'
+            ELSE 'string' END AS type
+        FROM v GROUP BY v.place, "column" """,
     "raw_csv_latin1": PLAIN_RAW,
     "raw_csv_mixed": PLAIN_RAW,
     "raw_roundtrip": f"WITH {_clean_ctes(False)} SELECT {SHOWN} FROM clean",

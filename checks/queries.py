@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.feeds import LISTING_ORDER, listings, result_pages
+from checks.feeds import LISTING_ORDER, listings, long_links_sql, result_pages, run_in_spark
 from offerquarry import fixed
 from offerquarry.functions import images, money, text, urls
 from offerquarry.operators.cards import (
@@ -15,9 +15,10 @@ from offerquarry.operators.cards import (
     raw_listings,
 )
 from offerquarry.operators.dedupe import count_duplicates, keep_first, seen_links
-from offerquarry.operators.headers import resolve_columns, url_flags
+from offerquarry.operators.headers import first_url_column, resolve_columns, url_flags
 from offerquarry.operators.ordering import with_position
-from offerquarry.operators.walk import page_walk
+from offerquarry.operators.walk import follow_links, page_walk
+from offerquarry.operators.words import search_index, word_index
 from offerquarry.plans import clean as cleaning
 from offerquarry.plans import results
 from offerquarry.plans.search import (
@@ -28,7 +29,7 @@ from offerquarry.plans.search import (
     save_search,
     start_urls,
 )
-from offerquarry.sources import listing_files, search_log
+from offerquarry.sources import listing_files, search_log, seen_store
 from offerquarry.sources.pages import read_pages
 from offerquarry.sources.shared import new_path, write_and_read
 
@@ -120,6 +121,23 @@ def walked_pages(spark, sf_dir):
     return page_walk(start_urls(requests(spark, sf_dir)), links)
 
 
+def long_walk(spark, sf_dir):
+    """Searches of up to 200 pages; of three, one ends early and one runs in a loop."""
+    links = run_in_spark(spark, sf_dir, long_links_sql())
+    starts = links.select("search_id").distinct().withColumn("start_url", F.concat("search_id", F.lit("/0")))
+    return follow_links(starts, links.select("search_id", "url", "page_id", "next_href"))
+
+
+def seen_across_runs(spark, sf_dir):
+    """Two runs, over the first and the last three pages of all searches."""
+    cards = result_cards(spark, sf_dir).withColumn("page_no", F.col("page_id") % 6 + 1)
+    found = write_and_read(raw_listings(cards), "found")
+    folder = new_path(spark, "seen")
+    runs = [seen_store.new_links(found.where(part), folder) for part in ("page_no <= 3", "page_no > 3")]
+    both = runs[0].unionByName(runs[1])
+    return both.select("search_id", "page_no", "pos", *fixed.RAW_FIELDS)
+
+
 def searches(spark, sf_dir):
     return run_search(requests(spark, sf_dir), result_pages(spark, sf_dir)).clean
 
@@ -217,10 +235,18 @@ def resolved(spark, sf_dir):
     return resolve_columns(renamed_listings(spark, sf_dir))
 
 
-def first_url_column(spark, sf_dir):
+def url_columns(spark, sf_dir):
     return url_flags(listings(spark, sf_dir).select(*fixed.RAW_FIELDS))
 
 
+def first_urls(spark, sf_dir):
+    """All values of the first column that holds a URL."""
+    rows = listings(spark, sf_dir)
+    place = first_url_column(rows.select(*fixed.RAW_FIELDS))
+    name = fixed.RAW_FIELDS[place]
+    return rows.select(*LISTING_ORDER, F.lit(name).alias("url_column"), F.col(name).alias("url"))
+
+
 # --- cleaning ----------------------------------------------------------------------
 
 
@@ -272,11 +298,23 @@ def max_price_filter(spark, sf_dir):
 
 
 def keyword_filter(spark, sf_dir):
-    return results.filter_keywords(good_rows(spark, sf_dir), "RED widget r e d w").select(
+    """Six words; the last, alone, leaves rows out that hold the other five."""
+    return results.filter_keywords(good_rows(spark, sf_dir), "RED widget r e d NEUEM").select(
         *LISTING_ORDER, "title"
     )
 
 
+def keyword_search(spark, sf_dir):
+    """All pairs of part names, each as a search, on whole words of all raw titles."""
+    names = _table(spark, sf_dir, "part").select("p_name").distinct()
+    short = F.substring(F.split("p_name", " ")[0], 1, 2)
+    queries = names.select(F.col("p_name").alias("query_id"), F.concat(F.lit("Neuem "), F.upper("p_name")).alias("query"))
+    part_words = names.select(F.concat("p_name", F.lit("*")).alias("query_id"), F.concat(short, F.lit(" "), "p_name").alias("query"))
+    rows = listings(spark, sf_dir).where("titel IS NOT NULL")
+    index = write_and_read(word_index(rows, LISTING_ORDER, "titel"), "index")
+    return search_index(index, queries.unionByName(part_words), LISTING_ORDER)
+
+
 # --- results -------------------------------------------------------------------------
 
 
@@ -367,6 +405,52 @@ def clean_roundtrip(spark, sf_dir):
     return listing_files.read_clean_csv(spark, path)
 
 
+def raw_csv_one_file(spark, sf_dir):
+    """One file with line breaks in cells, read in many splits."""
+    path = new_path(spark, "raw-one")
+    listing_files.write_raw_csv(_quoted(spark, sf_dir).coalesce(1), path)
+    size, before = "spark.sql.files.maxPartitionBytes", spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set(size, "200k")
+    try:
+        return write_and_read(listing_files.read_raw_csv(spark, path), "rows")
+    finally:
+        spark.conf.set(size, before)
+
+
+#: Header and columns of three kinds of files, and which rows lie in which.
+LAYOUTS = [
+    {name: name for name in fixed.RAW_FIELDS},
+    {" LINK": "link", "PREIS ": "preis", "Title": "titel", "Herkunft": "land", "Versandkosten": "versand"},
+    {"zustand": "aktualitaet", "Posten": "posten", "price": "preis", "Land": "land", "image": "image"},
+]
+
+
+def raw_csv_varied(spark, sf_dir):
+    """Files with three different headers, read as one table."""
+    path = new_path(spark, "raw-varied")
+    rows = listings(spark, sf_dir).withColumn("posten", F.concat_ws("-", "l_orderkey", "l_linenumber"))
+    for i, layout in enumerate(LAYOUTS):
+        part = rows.where(F.col("l_orderkey") % 3 == i)
+        columns = [F.col(column).alias(header) for header, column in layout.items()]
+        part.select(columns).write.options(**listing_files.CSV_FORM).csv(f"{path}/{i}")
+    return listing_files.read_listing_files(spark, [f"{path}/{i}" for i in range(len(LAYOUTS))])
+
+
+def raw_csv_types(spark, sf_dir):
+    """The types that the columns of a file turn out to have."""
+    path = new_path(spark, "raw-types")
+    number = F.col("l_orderkey")
+    rows = listings(spark, sf_dir).select(
+        *fixed.RAW_FIELDS, "l_orderkey", "l_extendedprice",
+        F.when(number % 7 == 0, F.lit("NA")).otherwise(number.cast("string")).alias("gaps"),
+        (number % 2 == 0).cast("string").alias("flag"),
+        F.when(number == 7, F.lit("n. v.")).otherwise(number.cast("string")).alias("mostly"),
+        F.lit("null").alias("nothing"),
+    )
+    rows.write.options(**listing_files.CSV_FORM).csv(path)
+    return listing_files.inferred_types(listing_files.read_raw_csv(spark, path))
+
+
 def raw_roundtrip(spark, sf_dir):
     """Raw listings through a CSV file and cleaning to shown rows."""
     path = new_path(spark, "raw-roundtrip")
@@ -399,6 +483,8 @@ QUERIES = {
     "scrape_stats": scrape_stats,
     "offers_found": offer_counts,
     "page_walk": walked_pages,
+    "long_walk": long_walk,
+    "seen_across_runs": seen_across_runs,
     "run_search": searches,
     "saved_search": saved_searches,
     "clean_title": _with("title", lambda df: text.clean_title(df.titel)),
@@ -424,7 +510,8 @@ QUERIES = {
     "search_url": search_url,
     "chf_format": chf_format,
     "resolve_columns": resolved,
-    "first_url_column": first_url_column,
+    "url_columns": url_columns,
+    "first_url_column": first_urls,
     "clean_listings": clean,
     "clean_renamed_headers": clean_renamed,
     "clean_good_rows": good_rows,
@@ -434,6 +521,7 @@ QUERIES = {
     "duplicate_count": duplicate_count,
     "max_price_filter": max_price_filter,
     "keyword_filter": keyword_filter,
+    "keyword_search": keyword_search,
     "result_rows": result_rows,
     "filter_land": filter_land,
     "sort_price_asc": _sorted(ascending=True),
@@ -444,6 +532,9 @@ QUERIES = {
     "raw_csv_scan": raw_csv_scan,
     "raw_csv_latin1": raw_csv_latin1,
     "raw_csv_mixed": raw_csv_mixed,
+    "raw_csv_one_file": raw_csv_one_file,
+    "raw_csv_varied": raw_csv_varied,
+    "raw_csv_types": raw_csv_types,
     "raw_roundtrip": raw_roundtrip,
     "clean_roundtrip": clean_roundtrip,
 }

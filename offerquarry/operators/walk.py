@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from offerquarry import fixed
+from offerquarry.sources.shared import drop_stored, write_and_read
 
 
 def page_walk(
@@ -45,3 +46,45 @@ def page_walk(
     return walk.select("search_id", F.inline(F.array(*visits))).where(
         "page_id IS NOT NULL"
     )
+
+
+def follow_links(starts: DataFrame, links: DataFrame, max_pages: int | None = None) -> DataFrame:
+    """All pages each search reaches, as ``search_id, page_no, url, page_id``.
+
+    Like ``page_walk`` for walks of any length, but a page counts once: the walk ends
+    when it comes back to a page.  Jumps are doubled: after k rounds each page knows the
+    page 2^k links ahead, and the first 2^k pages of a walk are known.  So a walk of 1000
+    pages takes ten rounds, each a join of stored narrow tables, and the plan does not
+    grow.  A round that reaches no new page is the last; loops end that way.
+    """
+    spark = starts.sparkSession
+    page = ["search_id", "url"]
+    captured = links.groupBy(*page).agg(F.min(F.struct("page_id", "next_href")).alias("first"))
+    captured = captured.select(*page, "first.page_id", F.nullif("first.next_href", F.lit("")).alias("ahead"))
+    captured = write_and_read(captured, "captured")
+    there = captured.select("search_id", F.col("url").alias("ahead"))
+    jumps = captured.where("ahead IS NOT NULL").select(*page, "ahead")
+    jumps = write_and_read(jumps.join(there, ["search_id", "ahead"], "left_semi"), "jumps")
+    first = starts.select("search_id", F.col("start_url").alias("url")).distinct()
+    reached = first.join(captured.select(page), page, "left_semi").withColumn("page_no", F.lit(1).cast("long"))
+    reached = write_and_read(reached, "reached")
+    length, known = 1, reached.count()
+    while known and (max_pages is None or length < max_pages):
+        further = reached.join(jumps, page).select(
+            "search_id", F.col("ahead").alias("url"), (F.col("page_no") + length).alias("page_no")
+        )
+        both = reached.unionByName(further).groupBy(*page).agg(F.min("page_no").alias("page_no"))
+        both = write_and_read(both, "reached")
+        drop_stored(spark, reached)
+        reached, before, known = both, known, both.count()
+        length *= 2
+        if known == before:
+            break
+        next_jump = jumps.select("search_id", F.col("url").alias("ahead"), F.col("ahead").alias("two"))
+        doubled = jumps.join(next_jump, ["search_id", "ahead"]).select(*page, F.col("two").alias("ahead"))
+        doubled = write_and_read(doubled, "jumps")
+        drop_stored(spark, jumps)
+        jumps = doubled
+    if max_pages is not None:
+        reached = reached.where(F.col("page_no") <= max_pages)
+    return reached.join(captured.select(*page, "page_id"), page).select("search_id", "page_no", "url", "page_id")

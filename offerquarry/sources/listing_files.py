@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,7 +11,9 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from offerquarry import fixed
 from offerquarry.functions.money import float_text
-from offerquarry.functions.text import WHITESPACE
+from offerquarry.functions.text import missing_to_null
+from offerquarry.operators.headers import MissingField, find_roles, kept_name, unique_names
+from offerquarry.sources.csv_records import header_names, records, split_states
 
 # Quotes are doubled inside quoted cells, blanks are kept, nothing is empty-quoted.
 CSV_FORM = {
@@ -27,52 +29,157 @@ CSV_FORM = {
 FILE_ORDER = ["source_file", "source_block", "source_row"]
 
 
-def file_encodings(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Per file: is all of it valid UTF-8?
-
-    Lines are checked in splits of the files, so file size does not matter.
-    """
-    lines = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("path"), F.is_valid_utf8("value").alias("ok")
-    )
-    return lines.groupBy("path").agg(F.bool_and("ok").alias("is_utf8"))
-
-
 def read_raw_csv(
     spark: SparkSession,
     path: str | list[str],
     *,
     encoding: str | None = None,
-    multi_line: bool = True,
     keep_order: bool = False,
 ) -> DataFrame:
     """Raw listing files, every cell as text, header names trimmed.
 
-    A file that is not valid UTF-8 is read as Latin-1, as a whole; name the
-    ``encoding`` to save the pass that checks it.  All files must have the same
-    header.  With ``multi_line=False``, for cells without line breaks, Spark splits
-    big files; else each takes one task, since only a whole file tells which breaks lie
-    in cells.  ``keep_order`` adds the ``FILE_ORDER`` columns.
+    A file that is not valid UTF-8 is read as Latin-1, as a whole, unless ``encoding``
+    (UTF-8 or ISO-8859-1) is named.  Big files are read by many tasks, also if cells hold
+    line breaks.  All files must have the same header; ``read_listing_files`` reads files
+    with different ones.  ``keep_order`` adds the ``FILE_ORDER`` columns.
     """
+    states, layouts = _layouts(spark, path, encoding)
+    if len(layouts) != 1:
+        raise ValueError(f"the files differ in their header: {sorted(layouts)}")
+    names = layouts[0].names
+    rows = _cells(records(spark, path, states), len(names))
+    return _placed(rows, [F.col("cells")[f"c{i}"] for i in range(len(names))], names, keep_order)
+
+
+def read_listing_files(
+    spark: SparkSession, path: str | list[str], *, encoding: str | None = None, keep_order: bool = False
+) -> DataFrame:
+    """Raw listing files whose headers may differ, as one table.
 
-    def scan(files: str | list[str], encoding: str) -> DataFrame:
-        reader = spark.read.options(
-            **CSV_FORM, multiLine=multi_line, enforceSchema=False, encoding=encoding
+    Roles (title, condition, price, country, shipping) are found for each header by its
+    synonyms and come first, under the fixed raw names; other columns follow by name, in
+    the order in which they first appear.  A column that a file lacks is null there; a
+    header without a price column raises ``MissingField``, with that header.
+    """
+    states, layouts = _layouts(spark, path, encoding)
+    places: dict[str, dict[str, int]] = {name: {} for name in fixed.RAW_FIELDS[:5]}
+    shown: dict[str, str] = {name.lower(): name for name in places}
+    for layout in layouts:
+        for name, place in layout.resolved():
+            name = shown.setdefault(name.lower(), name)
+            places.setdefault(name, {})[layout.header] = place
+    rows = _cells(records(spark, path, states), max(len(layout.names) for layout in layouts))
+    columns = []
+    for by_header in places.values():
+        chosen = F.lit(None).cast("string")
+        for place in sorted(set(by_header.values())):
+            headers = [F.lit(h) for h, p in by_header.items() if p == place]
+            chosen = F.when(F.col("header").isin(headers), F.col("cells")[f"c{place}"]).otherwise(chosen)
+        columns.append(chosen)
+    return _placed(rows, columns, list(places), keep_order)
+
+
+@dataclass(frozen=True)
+class Layout:
+    """A header line that some files share."""
+
+    header: str
+    names: list[str]
+
+    def resolved(self) -> list[tuple[str, int]]:
+        """Output names and places of its columns, roles under the raw names."""
+        roles = find_roles(self.names)
+        if roles.price is None:
+            raise MissingField(f"no price column found in the header {self.header!r}")
+        of_role = [roles.title, roles.condition, roles.price, roles.country, roles.shipping]
+        found = [(n, p) for n, p in zip(fixed.RAW_FIELDS, of_role) if p is not None]
+        rest = [p for p in range(len(self.names)) if p not in of_role]
+        taken = fixed.RAW_FIELDS[:5]
+        names = unique_names([*taken, *[kept_name(self.names[p]) for p in rest]])[len(taken) :]
+        return found + list(zip(names, rest))
+
+
+def _layouts(spark: SparkSession, path: str | list[str], encoding: str | None) -> tuple[DataFrame, list[Layout]]:
+    """The states of all splits, and the distinct headers in the order of their files."""
+    states = split_states(spark, path, encoding)
+    first = states.groupBy("header").agg(F.min(file_key(F.col("path"))).alias("first"))
+    headers = [row.header for row in first.orderBy("first").collect()]  # a row per layout
+    if not headers:
+        raise ValueError(f"no file with a header in {path}")
+    return states, [Layout(header, header_names(header)) for header in headers]
+
+
+def _cells(rows: DataFrame, width: int) -> DataFrame:
+    """Records cut into ``cells.c0``, ``cells.c1`` and so on, missing ones null."""
+    schema = ", ".join(f"c{i} string" for i in range(max(width, 1)))
+    form = {k: str(v).lower() if isinstance(v, bool) else v for k, v in CSV_FORM.items() if k != "header"}
+    return rows.withColumn("cells", F.from_csv("text", schema, {**form, "maxCharsPerColumn": "-1"}))
+
+
+def _placed(rows: DataFrame, columns: list[Column], names: list[str], keep_order: bool) -> DataFrame:
+    if keep_order:
+        columns = [*columns, file_key(F.col("path")), F.col("block"), F.col("row")]
+        names = [*names, *FILE_ORDER]
+    numbered = rows.select(*[c.alias(f"_{i}") for i, c in enumerate(columns)])
+    return numbered.toDF(*names)
+
+
+# What a column of texts may be read as, narrowest first.
+WHOLE, DOUBLE, TEXT, BOOLEAN, EMPTY = "bigint", "double", "string", "boolean", "void"
+
+_WHOLE = r"^[+-]?[0-9]{1,18}$"
+_DOUBLE = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$|^[+-]?(?i:inf|infinity)$"
+
+
+def inferred_types(raw: DataFrame) -> DataFrame:
+    """``place, column, type, missing``: the narrowest type that holds all values of each
+    text column, in one aggregate over all rows.
+
+    Whole numbers (of up to 18 digits) lie below doubles and these below text; missing
+    words count as nothing, but whole numbers next to them are doubles and flags are text,
+    as a data frame without nulls would have it.  A column without values is void.
+    """
+    texts = [f.name for f in raw.schema.fields if isinstance(f.dataType, StringType)]
+    numbered = raw.select(*[F.col(f"`{n}`").alias(f"c{i}") for i, n in enumerate(texts)])
+    flags = []
+    for i in range(len(texts)):
+        value = F.trim(missing_to_null(F.col(f"c{i}")))
+        rank = (
+            F.when(value.isin("True", "False", "TRUE", "FALSE", "true", "false"), 1)
+            .when(value.rlike(_WHOLE), 2)
+            .when(value.rlike(_DOUBLE), 4)
+            .when(value.isNotNull(), 8)
         )
-        return _tidy(reader.csv(files), keep_order)
-
-    if encoding:
-        return scan(path, encoding)
-    # One pass, one row per file; Spark's driver holds the full file listing anyhow.
-    files: dict[bool, list[str]] = {True: [], False: []}
-    for file in file_encodings(spark, path).toLocalIterator():
-        files[file.is_utf8].append(file.path)
-    if not files[False]:
-        return scan(path, "UTF-8")
-    parts = [scan(files[False], "ISO-8859-1")]
-    if files[True]:
-        parts.append(scan(files[True], "UTF-8"))
-    return reduce(DataFrame.unionByName, parts)
+        # Ranks are bits, so partial results merge by "or", in any order.
+        flags.append(F.struct(
+            F.lit(i).alias("place"), F.lit(texts[i]).alias("column"),
+            F.coalesce(F.bit_or(rank), F.lit(0)).alias("bits"),
+            F.coalesce(F.bool_or(value.isNull()), F.lit(False)).alias("missing"),
+        ))
+    if not texts:
+        return raw.sparkSession.createDataFrame([], "place int, column string, type string, missing boolean")
+    bits = F.col("bits")
+    kind = (
+        F.when(bits == 0, EMPTY)
+        .when((bits == 1) & ~F.col("missing"), BOOLEAN)
+        .when((bits == 2) & ~F.col("missing"), WHOLE)
+        .when(bits.isin(2, 4, 6), DOUBLE)
+        .otherwise(TEXT)
+    )
+    found = numbered.agg(F.array(*flags).alias("f")).select(F.inline("f"))
+    return found.select("place", "column", kind.alias("type"), "missing")
+
+
+def cast_inferred(raw: DataFrame) -> DataFrame:
+    """``raw`` with its text columns as the types they hold; void ones stay text."""
+    kinds = {r.column: r.type for r in inferred_types(raw).collect()}  # a row per column
+    columns = []
+    for name in raw.columns:
+        value, kind = F.col(f"`{name}`"), kinds.get(name)
+        if kind in (WHOLE, DOUBLE, BOOLEAN):
+            value = F.trim(missing_to_null(value)).cast(kind)
+        columns.append(value.alias(name))
+    return raw.select(*columns)
 
 
 def file_key(path: Column) -> Column:
@@ -81,19 +188,6 @@ def file_key(path: Column) -> Column:
     return F.regexp_replace(filled, "0*([0-9]{20,})", "$1")
 
 
-def _tidy(raw: DataFrame, keep_order: bool) -> DataFrame:
-    names = [c.removeprefix("\ufeff").strip(WHITESPACE) for c in raw.columns]
-    if not keep_order:
-        return raw.toDF(*names)
-    # Row ids grow within a task, and a task reads a file block in one go.
-    return raw.select(
-        "*",
-        file_key(F.col("_metadata.file_path")).alias(FILE_ORDER[0]),
-        F.col("_metadata.file_block_start").alias(FILE_ORDER[1]),
-        F.monotonically_increasing_id().alias(FILE_ORDER[2]),
-    ).toDF(*names, *FILE_ORDER)
-
-
 def write_raw_csv(listings: DataFrame, path: str, encoding: str = "UTF-8") -> None:
     """Raw listings as CSV files with the seven fixed columns; overwrites."""
     listings.select(*fixed.RAW_FIELDS).write.mode("overwrite").options(
