@@ -24,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -130,7 +131,14 @@ def build(x):
     return edges, start
 
 
+def scaled(vectors):
+    """Vectors by powers of two, which keeps angles, so that no square over- or underflows."""
+    exponents = np.frexp(np.abs(vectors).max(axis=1, initial=0.0))[1]
+    return np.ldexp(vectors, -exponents[:, None])
+
+
 def unit(vectors):
+    vectors = scaled(vectors)
     return (vectors / np.linalg.norm(vectors, axis=1, keepdims=True)).astype(np.float32)
 
 
@@ -155,14 +163,22 @@ def _build_shard(table: pa.Table) -> pa.Table:
     )
 
 
+def _build_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The graphs of all shards of a partition."""
+    batches = [b for b in batches if b.num_rows]
+    if batches:
+        table = pa.Table.from_batches(batches)
+        for shard in table.column("shard").unique():
+            yield from _build_shard(table.filter(pc.equal(table.column("shard"), shard))).to_batches()
+
+
 def usable(rows: DataFrame, id_column: str, vector: str) -> DataFrame:
     """``id, vector`` (doubles) ``, dim`` of the rows that take part, each once."""
     chosen = rows.select(
         F.col(id_column).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("vector")
     ).where("id IS NOT NULL AND size(vector) > 0")
     fit = F.forall("vector", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
-    square = F.aggregate("vector", F.lit(0.0), lambda a, v: a + v * v)
-    chosen = chosen.where(fit).where((square > 0) & (square < float("inf")))
+    chosen = chosen.where(fit).where(F.exists("vector", lambda v: v != 0))
     return chosen.withColumn("dim", F.size("vector"))
 
 
@@ -181,10 +197,16 @@ def index(vectors: DataFrame, k: int = K) -> DataFrame:
         .agg(F.sort_array(F.collect_set("id")).alias("ids"))
     )
     classes = write_and_read(classes, "vectors")
-    sizes = classes.groupBy("dim").agg((F.count("*") / SHARD).alias("wanted"))
-    number = F.pmod(F.xxhash64(F.col("ids")[0], "vector"), F.greatest(F.round("wanted"), F.lit(1)).cast("long"))
+    wanted = F.greatest(F.round(F.count("*") / SHARD), F.lit(1)).cast("long")
+    sizes = classes.groupBy("dim").agg(wanted.alias("wanted"))
+    before = Window.orderBy("dim").rowsBetween(Window.unboundedPreceding, -1)  # a row per length
+    sizes = sizes.select("*", F.coalesce(F.sum("wanted").over(before), F.lit(0)).alias("first"))
+    sizes = write_and_read(sizes, "sizes")
+    shards = sizes.agg(F.sum("wanted")).first()[0] or 1
+    number = F.col("first") + F.pmod(F.xxhash64(F.col("ids")[0], "vector"), F.col("wanted"))
     dealt = classes.join(sizes, "dim").select(number.cast("int").alias("shard"), "dim", "vector", "ids")
-    return write_and_read(dealt.groupBy("shard", "dim").applyInArrow(_build_shard, _GRAPH), "graphs")
+    dealt = dealt.repartitionById(shards, F.col("shard"))  # a task for each graph
+    return write_and_read(dealt.mapInArrow(_build_shards, _GRAPH), "graphs")
 
 
 def _search(k: int, beam: int):
@@ -199,6 +221,7 @@ def _search(k: int, beam: int):
                 width = min(max(beam, k + 1), len(vectors))
                 found, _ = beam_search(unit(vectors), edges, row["start"], unit(queries), width)
                 out = [[], [], []]
+                vectors, queries = scaled(vectors), scaled(queries)
                 lengths = np.sqrt((vectors * vectors).sum(axis=1))
                 for i, query in enumerate(ids):
                     at = found[i][found[i] >= 0]

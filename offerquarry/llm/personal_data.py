@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from dataclasses import dataclass
 
 import numpy as np
@@ -178,11 +179,23 @@ def candidates(text: str) -> list[Candidate]:
         for m in pattern.finditer(text)
     ]
     if wider:
-        taken = sorted((s, e) for _, s, e, _ in found)
-        for item in sorted(wider, key=lambda x: (KINDS.index(x[0]), x[1])):
-            if not any(s < item[2] and item[1] < e for s, e in taken):
-                taken.append(item[1:3])
-                found.append(item)
+        # Base matches of different kinds may overlap: joined, all lie apart, in order.
+        starts, ends = [], []
+        for s, e in sorted((s, e) for _, s, e, _ in found):
+            if ends and s < ends[-1]:
+                ends[-1] = max(ends[-1], e)
+            else:
+                starts.append(s)
+                ends.append(e)
+        for kind in KINDS:  # wider matches of one kind lie apart, too
+            fresh = []
+            for item in wider:
+                at = bisect_left(starts, item[2]) - 1  # the last one that begins before its end
+                if item[0] == kind and (at < 0 or ends[at] <= item[1]):
+                    fresh.append(item)
+            found += fresh
+            both = sorted([*zip(starts, ends), *(item[1:3] for item in fresh)])
+            starts, ends = [s for s, _ in both], [e for _, e in both]
     return [Candidate(k, s, e, b, *_votes(k, text, s, e, b)) for k, s, e, b in found]
 
 

@@ -12,8 +12,10 @@ short) document with a fraction; blocks of these are rounded in the same way, un
 a single one is left.  That one is rounded to the nearer side, so a source's words are
 off by at most half of one document.  Draws are hashes of the ids, so reruns agree.
 
-Special cases: rows with the same id, source and size are one document that is copied
-as a whole; a null text has size 0, and size 0 takes nothing; documents without source
+Of n rows with the same id, source and size, floor(n * fraction) have one copy more, and
+only what is left over is rounded with others; which rows that are follows their texts.
+
+Special cases: repeated rows are copied each for itself, as said; a null text has size 0, and size 0 takes nothing; documents without source
 form the last source; null ids are allowed.  All steps are DataFrame functions.
 """
 
@@ -139,7 +141,8 @@ def rounded(parts: DataFrame) -> DataFrame:
 
 
 def copies(sizes: DataFrame) -> DataFrame:
-    """``doc_id, source, size, source_size, target, copies`` per distinct document.
+    """``doc_id, source, size, source_size, target, n, whole, extra``: of the n rows that
+    are equal in the first three, ``extra`` are copied once more than ``whole`` times.
 
     ``sizes`` is a stored table of ``doc_id, source, size``.
     """
@@ -148,52 +151,67 @@ def copies(sizes: DataFrame) -> DataFrame:
     named = target.withColumnRenamed("source", "of")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     documents = documents.join(named, F.col("source").eqNullSafe(F.col("of"))).drop("of")
-    documents = documents.withColumn("whole", F.floor(rate)).withColumn("part", rate - F.floor(rate))
+    share = F.when(F.col("size") > 0, F.col("n") * (rate - F.floor(rate))).otherwise(0.0)
+    documents = documents.select(
+        "*", F.when(F.col("size") > 0, F.floor(rate)).otherwise(0).alias("whole"),
+        F.floor(share).alias("sure"), (share - F.floor(share)).alias("part"),
+    )
     documents = write_and_read(documents, "documents")
-    open_ = documents.where("size > 0 AND part > 0").select(
-        "doc_id", "source", "size", (F.col("n") * F.col("size")).alias("words"), "part"
-    )
+    open_ = documents.where("part > 0").select("doc_id", "source", "size", F.col("size").alias("words"), "part")
     drawn = rounded(open_).toDF("id", "of", "words", "drawn")
-    same = (
-        F.col("doc_id").eqNullSafe(F.col("id"))
-        & F.col("source").eqNullSafe(F.col("of"))
-        & (F.col("size") == F.col("words"))
-    )
-    number = F.when(F.col("size") > 0, F.col("whole") + F.coalesce("drawn", F.lit(0.0))).otherwise(0)
-    return documents.join(drawn, same, "left").select(
-        "doc_id", "source", "size", "source_size", "target", number.cast("long").alias("copies")
+    extra = F.col("sure") + F.coalesce("drawn", F.lit(0.0)).cast("long")
+    return documents.join(drawn, _same(), "left").select(
+        "doc_id", "source", "size", "source_size", "target", "n", "whole", extra.alias("extra")
     )
 
 
-def _joined(rows: DataFrame, decided: DataFrame) -> DataFrame:
-    decided = decided.select(
-        F.col("doc_id").alias("id"), F.col("source").alias("of"), F.col("size").alias("words"),
-        "source_size", "target", "copies",
-    )
-    same = (
+def _same() -> Column:
+    """Is a row of the document ``id, of, words``?"""
+    return (
         F.col("doc_id").eqNullSafe(F.col("id"))
         & F.col("source").eqNullSafe(F.col("of"))
         & (F.col("size") == F.col("words"))
     )
-    return rows.join(decided, same)
+
+
+def _copied(rows: DataFrame, decided: DataFrame, text: Column) -> DataFrame:
+    """``rows`` (``doc_id, source, size`` and more) with ``source_size, target, copies``.
+
+    Only rows of documents of which some rows, but not all, have a copy more are numbered:
+    in ranges of their order, so that one document may hold any share of the rows.
+    """
+    decided = write_and_read(decided, "copies")
+    named = decided.toDF("id", "of", "words", *decided.columns[3:])
+    columns = [*rows.columns, "source_size", "target", "copies"]
+    joined = rows.join(named, _same())
+    uniform = F.col("whole") + F.when(F.col("extra") > 0, 1).otherwise(0)
+    alike = joined.where("extra = 0 OR extra = n").withColumn("copies", uniform).select(columns)
+    if decided.where("extra > 0 AND extra < n").isEmpty():
+        return alike
+    mixed = joined.where("extra > 0 AND extra < n").drop("id", "of", "words")
+    mixed = mixed.withColumn("_text", F.xxhash64(text)).withColumn("_row", F.monotonically_increasing_id())
+    keys = ["doc_id", "source", "size"]
+    placed = with_position(mixed, [F.col(c) for c in (*keys, "_text", "_row")], "_position")
+    first = placed.groupBy(*keys).agg(F.min("_position").alias("_first")).toDF("id", "of", "words", "_first")
+    placed = placed.join(write_and_read(first, "first"), _same())
+    more = F.when(F.col("_position") - F.col("_first") < F.col("extra"), 1).otherwise(0)
+    return alike.unionByName(placed.withColumn("copies", F.col("whole") + more).select(columns))
 
 
 def plan(docs: DataFrame) -> DataFrame:
     """``doc_id, source, size, source_size, target, taken``; a row per document."""
     sizes = write_and_read(sized(docs), "sizes")
-    decided = write_and_read(copies(sizes), "copies")
-    taken = (F.col("copies") * F.col("size")).alias("taken")
-    return _joined(sizes, decided).select(
-        "doc_id", "source", "size", "source_size", "target", taken
-    )
+    taken = (F.col("copies") * F.col("size")).cast("long").alias("taken")
+    rows = _copied(sizes, copies(sizes), F.lit(0))
+    return rows.select("doc_id", "source", "size", "source_size", "target", taken)
 
 
 def mix(docs: DataFrame) -> DataFrame:
     """The mixed documents: each row of ``docs`` as often as it is taken."""
-    decided = copies(write_and_read(sized(docs), "sizes")).where("copies > 0")
-    rows = sized(docs, [F.struct("*").alias("row")])
-    repeated = _joined(rows, write_and_read(decided, "copies"))
-    return repeated.select("row", F.explode(F.expr("sequence(1L, copies)")).alias("n")).select("row.*")
+    decided = copies(write_and_read(sized(docs), "sizes"))
+    rows = _copied(sized(docs, [F.struct("*").alias("row")]), decided, F.col("row.text"))
+    repeated = rows.where("copies > 0").select("row", F.explode(F.expr("sequence(1L, cast(copies AS bigint))")).alias("n"))
+    return repeated.select("row.*")
 
 
 def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

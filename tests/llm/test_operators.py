@@ -4,6 +4,7 @@ import base64
 import gzip
 import hashlib
 import re
+import time
 import tracemalloc
 
 import numpy as np
@@ -139,6 +140,36 @@ def test_quality_limits_do_not_jump_with_the_size_of_a_source(spark):
     assert len(verdicts) == 1
 
 
+def test_equal_rows_share_the_copies_of_their_source(spark):
+    """A third of the rows are one document: its source still comes near its target."""
+    table = [(1, "w " * 120, "a")] * 300 + [(100 + i, "w " * (50 + i % 90), "ab"[i % 2]) for i in range(600)]
+    docs = spark.createDataFrame(table, "doc_id long, text string, source string").repartition(4)
+    planned = source_mix.plan(docs)
+    assert planned.count() == 900
+    sums = planned.groupBy("source").agg(F.max("target").alias("t"), F.sum("taken").alias("w"), F.max("size").alias("m")).collect()
+    for r in sums:
+        assert abs(r.t - r.w) <= r.m / 2 + 1e-6
+    assert all(r.taken <= 2 * r.size for r in planned.collect())
+    counts = {r["doc_id"]: r["count"] for r in source_mix.mix(docs).groupBy("doc_id").count().collect()}
+    assert counts[1] * 120 == sum(r.taken for r in planned.collect() if r.doc_id == 1)
+    again = source_mix.plan(docs)
+    assert sorted(rows(again)) == sorted(rows(planned))
+
+
+def test_wider_matches_are_found_fast_and_as_before():
+    rng = np.random.default_rng(12)
+    made = ["".join(rng.choice(list("0123456789 -.+()abc@"), 300)) for _ in range(60)]
+    made += ["call 0171 555 0199 or a (at) b.example, 4111 1111 1111 1111, 010.001.002.003 " * 30]
+    for text in made:
+        spans = [(c.start, c.end) for c in personal_data.candidates(text) if not c.base]
+        base = [span for kind in personal_data.base_spans(text).values() for span in kind]
+        assert all(e <= s2 or e2 <= s for i, (s, e) in enumerate(spans) for s2, e2 in [*spans[:i], *base])
+    text = "call 555 555 0199, " * 20_000
+    start = time.perf_counter()
+    assert len(personal_data.candidates(text)) > 10_000
+    assert time.perf_counter() - start < 15
+
+
 def test_quality_rules(docs, empty):
     found = {r.doc_id: r for r in quality_rules.rate(docs).collect()}
     assert found[5].base_failed and found[6].n_words == 0 and not found[6].kept
@@ -401,6 +432,23 @@ def test_neighbours_equal_brute_force(spark):
     assert rows(neighbour_graph.nearest(neighbour_graph.index(usable.limit(0)), queries.limit(0))) == []
 
 
+def test_all_finite_vectors_take_part(spark):
+    huge, tiny = [1e200, 1.0, 1e200], [1e-170, 0.0, 1e-170]
+    table = [(50, [1.0, 0.0, 1.0]), (1, huge), (2, tiny), (3, [0.0, 1.0, 0.0]), (4, [0.0, 0.0, 0.0])]
+    df = neighbour_graph.usable(spark.createDataFrame(table, "v long, e array<double>"), "v", "e")
+    found = neighbour_graph.nearest(neighbour_graph.index(df), df.where("id = 50")).orderBy("rank").collect()
+    assert sorted(r.vec_id for r in found[:2]) == [1, 2] and [r.vec_id for r in found] == [r.vec_id for r in found[:2]] + [3]
+    assert all(abs(r.score - 1) < 1e-12 for r in found[:2]) and abs(found[2].score) < 1e-12
+
+
+def test_each_graph_has_a_task_of_its_own(spark):
+    rng = np.random.default_rng(6)
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rng.normal(size=(9000, 4)))], "v long, e array<double>")
+    graphs = neighbour_graph.index(neighbour_graph.usable(table, "v", "e"))
+    assert graphs.count() > 2
+    assert len(set(graphs.select(F.input_file_name()).toPandas().iloc[:, 0])) == graphs.count()
+
+
 def test_toxicity_learns_its_words(spark, empty):
     bad = ["grobian", "unhold"]
     table, labels = [], []
