@@ -391,3 +391,13 @@ ORACLES = {
         FROM clean""",
 }
 ORACLES["saved_search"] = ORACLES["run_search"]
+ORACLES["captured_cards"] = ORACLES["page_cards"]
+
+# A third of the searches has the rows of a second run, the others those of the first.
+PUBLISHED = f"""WITH {_derived_ctes(False)},
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY l_suppkey % 12, title, price, link
+        ORDER BY {ORDER}) AS nth FROM derived
+        WHERE l_suppkey % 4 <> 0 OR l_linenumber <= 3)
+    SELECT {CLEAN}, {ORDER}, 's' || (l_suppkey % 12) AS search_id FROM ranked WHERE nth = 1"""
+ORACLES["published_searches"] = PUBLISHED
+ORACLES["published_cheap"] = f"{PUBLISHED} AND product_origin = 'Österreich' AND price <= 1000"

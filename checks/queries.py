@@ -30,7 +30,8 @@ from offerquarry.plans.search import (
     start_urls,
 )
 from offerquarry.sources import listing_files, search_log, seen_store
-from offerquarry.sources.pages import read_pages
+from offerquarry.sources.pages import captured_files, new_captures, read_pages
+from offerquarry.sources.published import publish, published
 from offerquarry.sources.shared import new_path, write_and_read
 
 # The web pages among the given tables hold no offers; their menu entries serve as cards.
@@ -345,9 +346,51 @@ def result_view(spark, sf_dir):
     return results.result_view(good_rows(spark, sf_dir), LISTING_ORDER, "Österreich")
 
 
+def republished(spark, sf_dir):
+    """Searches published twice: the second run names some of them, and some of these
+    have bad rows, which leaves their old rows in place."""
+    folder, number = new_path(spark, "published"), F.col("l_suppkey") % 12
+
+    def run(rows):
+        rows = rows.withColumn("search_id", F.concat(F.lit("s"), number.cast("string")))
+        publish(rows, rows, folder, order_by=LISTING_ORDER, url_column="link")
+
+    run(listings(spark, sf_dir))
+    shorter = listings(spark, sf_dir).where((number % 4 == 0) & (F.col("l_linenumber") <= 3))
+    run(shorter.unionByName(listings(spark, sf_dir, bad_rows=True).where(number % 4 == 2)))
+    return folder
+
+
+def published_searches(spark, sf_dir):
+    return published(spark, republished(spark, sf_dir))
+
+
+def published_cheap(spark, sf_dir):
+    """One country up to a price, from few row groups."""
+    return published(spark, republished(spark, sf_dir), land="Österreich", max_price=1000.0)
+
+
 # --- files -----------------------------------------------------------------------------
 
 
+def captured_cards(spark, sf_dir):
+    """Pages as HTML files, captured in two halves; the second run reads only new ones."""
+    pages = _table(spark, sf_dir, "pages")
+    folder, done = new_path(spark, "captured"), new_path(spark, "captured-done")
+    found = []
+    for half in (0, 1):
+        part = pages.where(F.col("page_id") % 2 == half)
+        named = part.select("html", F.col("page_id").alias("capture"))
+        named.repartition("capture").write.mode("append").partitionBy("capture").text(folder)
+        capture = F.regexp_extract("file", "capture=([0-9]+)/", 1).cast("long")
+        files = captured_files(spark, folder).select("file", capture.alias("page_id"))
+        manifest = files.join(pages.select("page_id", "url"), "page_id")
+        manifest = manifest.select("file", F.col("page_id").cast("string").alias("search_id"), "url")
+        found.append(new_captures(spark, folder, manifest, done))
+    cards = explode_cards(extract_pages(found[0].unionByName(found[1]), MENU))
+    return cards.select(F.col("search_id").cast("long").alias("page_id"), "url", "pos", "title_text", "href")
+
+
 def logged_searches(spark, sf_dir):
     """Whole texts as search words, logged in two appends."""
     documents = _table(spark, sf_dir, "documents")
@@ -528,6 +571,9 @@ QUERIES = {
     "sort_price_desc": _sorted(ascending=False),
     "land_options": land_options,
     "result_view": result_view,
+    "published_searches": published_searches,
+    "published_cheap": published_cheap,
+    "captured_cards": captured_cards,
     "search_log": logged_searches,
     "raw_csv_scan": raw_csv_scan,
     "raw_csv_latin1": raw_csv_latin1,

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from offerquarry.sources.shared import write_and_read
+
 
 def read_pages(spark: SparkSession, path: str, partitions: int | None = None) -> DataFrame:
     """Pages kept as a Parquet table with a ``html`` column.
@@ -21,3 +24,76 @@ def read_html_files(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path, wholetext=True).select(
         F.col("_metadata.file_path").alias("url"), F.col("value").alias("html")
     )
+
+
+# Bytes 0x80 to 0x9F as Latin-1 has them, and as the web reads pages that claim Latin-1.
+_CONTROLS = [bytes([b]) for b in range(0x80, 0xA0) if bytes([b]).decode("cp1252", "ignore")]
+_FROM = "".join(b.decode("latin-1") for b in _CONTROLS)
+_TO = "".join(b.decode("cp1252") for b in _CONTROLS)
+_CHARSET = r"(?i)charset\s*=\s*[\"']?\s*([a-z0-9_-]+)"
+_HEAD = 4096  # bytes that may name the encoding
+
+
+def page_text(content: Column) -> Column:
+    """A page's bytes as text, by the encoding it names in its head.
+
+    UTF-8, UTF-16 and Latin-1 (read as Windows-1252) are known; a page that names none of
+    them, or is not what it says, is UTF-8 if that is valid and Windows-1252 if not.
+    """
+    head = F.decode(F.substring(content, 1, _HEAD), "ISO-8859-1")
+    named = F.lower(F.regexp_extract(head, _CHARSET, 1))
+    utf8 = F.regexp_replace(content.cast("string"), "^\ufeff", "")
+    western = F.translate(F.decode(content, "ISO-8859-1"), _FROM, _TO)
+    return (
+        F.when(F.substring(content, 1, 2).isin(b"\xff\xfe", b"\xfe\xff"), F.decode(content, "UTF-16"))
+        .when(named.isin("iso-8859-1", "latin1", "latin-1", "windows-1252", "cp1252"), western)
+        .when(F.is_valid_utf8(content.cast("string")), utf8)
+        .otherwise(western)
+    )
+
+
+def captured_files(spark: SparkSession, folder: str) -> DataFrame:
+    """All files below a folder: ``file`` (path below the folder), ``changed``, and
+    ``content``, which is not read unless it is asked for."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    start = len(system.makeQualified(path).toString()) + 2
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
+    name = F.expr(f"substring(path, {start})").alias("file")
+    return files.select(name, F.col("modificationTime").alias("changed"), "content")
+
+
+def new_captures(spark: SparkSession, folder: str, manifest: DataFrame, done_folder: str) -> DataFrame:
+    """``search_id, page_id, url, html`` of the captured files not read before.
+
+    ``manifest`` holds ``file, search_id, url``: which page of which search a file (named
+    from the folder on) holds.  Page ids are hashes of search and file, so they stay the
+    same.  Files read are remembered in ``done_folder``, with their time of change: older
+    files are not even opened in the next run, the others are compared by name.  Files
+    that the manifest does not name yet are left for a later run.
+    """
+    files = captured_files(spark, folder)
+    kinds = "file string, changed timestamp"
+    try:
+        done = spark.read.schema(kinds).parquet(done_folder)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        done = spark.createDataFrame([], kinds)
+    listed = files.select("file", "changed")
+    waiting = manifest.select("file", "search_id", "url").join(listed, "file")  # contents are not read here
+    waiting = write_and_read(waiting.join(done.select("file"), "file", "left_anti"), "waiting")
+    oldest = waiting.agg(F.min("changed")).first()[0]
+    if oldest is None:
+        return spark.createDataFrame([], "search_id string, page_id long, url string, html string")
+    # Spark leaves older files out when it lists them.
+    contents = files.where(F.col("changed") >= F.lit(oldest)).select("file", "content")
+    pages = contents.join(waiting, "file").select(
+        "search_id",
+        F.xxhash64("search_id", "file").alias("page_id"),
+        "url",
+        page_text(F.col("content")).alias("html"),
+    )
+    pages = write_and_read(pages, "captures")
+    waiting.select("file", "changed").write.mode("append").parquet(done_folder)
+    return pages
