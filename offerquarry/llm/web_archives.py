@@ -19,8 +19,8 @@ An archive whose record ends early raises an error that names the file.
 
 A task reads one archive at a time as a whole, so ``write_arc`` cuts archives small
 (``ARCHIVE_BYTES``); a page of any size is one record, and needs the memory for it.
-Payloads pass from step to step a few megabytes at a time.  ``.arc.gz`` files (a gzip
-member per record, or one for all) are unpacked member by member.
+Payloads pass from step to step a few megabytes at a time.  Archives are written as gzip
+files; those read may be plain, or gzip files with one member or one for each record.
 """
 
 from __future__ import annotations
@@ -117,8 +117,8 @@ def address(url: Column) -> Column:
     return F.when(shown == "", F.lit("urn:none")).otherwise(shown)
 
 
-def write_arc(pages: DataFrame, path: str) -> None:
-    """ARC files of about ``ARCHIVE_BYTES``, versions 1 and 2 in turn."""
+def write_arc(pages: DataFrame, path: str, compression: str = "gzip") -> None:
+    """ARC files of about ``ARCHIVE_BYTES`` before compression, versions 1 and 2 in turn."""
     ship_code(pages.sparkSession)
     page = pages.select(
         F.col("page_id").cast("long").alias("page_id"),
@@ -136,7 +136,9 @@ def write_arc(pages: DataFrame, path: str) -> None:
     )
     records = heads.unionByName(dealt).mapInArrow(_arc_rows, "file int, part int, record binary")
     both = records.repartitionById(files, F.col("file")).sortWithinPartitions("file", "part")
-    both.select(F.col("record").cast("string").alias("value")).write.option("lineSep", "\n").text(path)
+    both.select(F.col("record").cast("string").alias("value")).write.option(
+        "lineSep", "\n"
+    ).text(path, compression=compression)
 
 
 # --- ARC to WARC ---------------------------------------------------------------------
@@ -285,11 +287,11 @@ def warc_record(row: dict) -> bytes:
     return b"WARC/1.0\r\n" + lines.encode() + b"\r\n" + block
 
 
-def write_warc(records: DataFrame, path: str) -> None:
+def write_warc(records: DataFrame, path: str, compression: str = "gzip") -> None:
     rows = records.mapInArrow(_warc_rows, "record binary")
     rows.select(F.col("record").cast("string").alias("value")).write.option(
         "lineSep", "\r\n\r\n"
-    ).text(path)
+    ).text(path, compression=compression)
 
 
 def warc_records(data: bytes, name: str) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -315,7 +317,7 @@ def _restored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def rows() -> Iterator[tuple[tuple, int]]:
         for path, data in _each(batches):
-            for fields, block in warc_records(data, path):
+            for fields, block in warc_records(unpacked(data), path):
                 head, payload = _payload(block)
                 page_id, refers = _header(head, ID_HEADER), fields.get("x-refers-to-page-id")
                 response = fields["warc-type"] == "response"
