@@ -44,8 +44,8 @@ def read_raw_csv(
     with different ones.  ``keep_order`` adds the ``FILE_ORDER`` columns.
     """
     states, layouts = _layouts(spark, path, encoding)
-    if len(layouts) != 1:
-        raise ValueError(f"the files differ in their header: {sorted(layouts)}")
+    if len({tuple(layout.names) for layout in layouts}) != 1:
+        raise ValueError(f"the files differ in their header: {[layout.header for layout in layouts]}")
     names = layouts[0].names
     rows = _cells(records(spark, path, states), len(names))
     return _placed(rows, [F.col("cells")[f"c{i}"] for i in range(len(names))], names, keep_order)
