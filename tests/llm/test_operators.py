@@ -248,6 +248,37 @@ def test_licences_inside_prose_and_two_in_a_line(spark):
     assert found == {0: "Apache-2.0", 1: "MIT", 2: "Apache-2.0,MIT", 3: "LGPL", 4: ""}
 
 
+def test_licence_bodies_identifiers_and_denials(spark):
+    prose = " ".join(["we walked along the river and talked about the weather until it was dark"] * 3)
+    mit, bsd = license_scan.BODIES["MIT"], license_scan.BODIES["BSD"]
+    wrapped = "\n".join(mit[0][i : i + 70] for i in range(0, len(mit[0]), 70))
+    texts = {
+        1: ("\n".join(mit), "MIT"),
+        2: ("Copyright (c) 2020 Jane Doe\n" + "\n".join(bsd), "BSD"),
+        3: ("# SPDX-License-Identifier: MIT", "MIT"),
+        4: ("// SPDX-License-Identifier: GPL-2.0-or-later OR Apache-2.0", "Apache-2.0,GPL"),
+        5: ("We were not licensed under the MIT License.", ""),
+        6: ("Code here is under the MIT License and nothing else.", "MIT"),
+        7: (f"{prose} {bsd[0]} {prose}", "BSD"),
+        8: (wrapped, "MIT"),
+        9: ("under the terms of the agreement, either version may be used", ""),
+        10: ("\n".join(license_scan.BODIES["AGPL"]), "AGPL"),
+    }
+    table = [(i, text) for i, (text, _) in texts.items()] + [(i, prose) for i in range(100, 200)]
+    docs = spark.createDataFrame(table, "doc_id long, text string")
+    found = {r.doc_id: r.licences for r in license_scan.scan_documents(docs).collect()}
+    assert {i: found[i] for i in texts} == {i: wanted for i, (_, wanted) in texts.items()}
+    assert not any(found[i] for i in range(100, 200))
+
+
+def test_licences_of_rows_that_share_an_id(spark):
+    notice, plain = "Released under the MIT License.", "a walk along the river"
+    table = [(None, notice), (None, plain), (7, notice), (7, plain), (7, notice), (8, None)]
+    docs = spark.createDataFrame(table, "doc_id long, text string")
+    found = sorted((r.doc_id or 0, r.licences, r.n_paragraphs) for r in license_scan.scan_documents(docs).collect())
+    assert found == [(0, "", 0), (0, "MIT", 1), (7, "", 0), (7, "MIT", 1), (7, "MIT", 1), (8, "", 0)]
+
+
 def test_repeated_lines_do_not_crowd_out_a_kind(spark):
     texts = ["mail jane@example.org now", "mail jane (at) example.org now", "call +49 30 12345678 now",
              "call (030) 555-1234 now", "order no 030-555-1234", "server 10.0.0.1", "visa 4111 1111 1111 1111"]
