@@ -335,11 +335,15 @@ class LicenseModel:
         places = self._telling(docs).select("row", "doc_id", "digest", "line", place)
         hits = places.withColumn("triple", triple()).join(F.broadcast(self.triples), "triple").drop("triple")
         order = Window.partitionBy("row", "line").orderBy("pos")
-        apart = F.coalesce(F.col("pos") - F.lag("pos").over(order) >= LONGEST, F.lit(True))
-        hits = hits.withColumn("apart", apart.cast("int")).withColumn("span", F.sum("apart").over(order))
+        # The words before a span end where the span before it does.
+        hits = hits.withColumn("gap", F.col("pos") - F.lag("pos").over(order) - LONGEST)
+        hits = hits.withColumn("apart", F.coalesce(F.col("gap") >= 0, F.lit(True)).cast("int"))
+        hits = hits.withColumn("free", F.least(F.coalesce("gap", F.lit(BEFORE)), F.lit(BEFORE)))
+        hits = hits.withColumn("span", F.sum("apart").over(order))
+        start = F.slice("around", F.lit(BEFORE + 1) - F.col("free"), F.lit(LONGEST) + F.col("free"))
         found = hits.groupBy("row", "doc_id", "digest", "line", "span").agg(
             (F.max("pos") - F.min("pos") + 1).alias("n"),
-            F.min_by("around", "pos").alias("start"),
+            F.min_by(F.when(F.col("apart") == 1, start), "pos").alias("start"),
             F.collect_set(F.slice("around", BEFORE + 1, LONGEST)).alias("triples"),
             F.array(*[F.count_if(F.array_contains("known", f)) for f in FAMILIES]).alias("known"),
         )
