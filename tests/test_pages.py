@@ -1,20 +1,18 @@
 import os
 import subprocess
 import sys
-from dataclasses import asdict
 
 import pytest
+from pyspark.sql import SparkSession
 
 from offerquarry import run_search
 from offerquarry.operators.cards import (
-    IMAGE_ATTRIBUTES,
     Selectors,
     explode_cards,
     extract_pages,
     raw_listings,
 )
 from offerquarry.operators.dedupe import seen_links
-from offerquarry.operators.markup import PageWalk
 from offerquarry.operators.walk import page_walk
 from offerquarry.plans.search import (
     offers_found,
@@ -25,6 +23,8 @@ from offerquarry.plans.search import (
 )
 from offerquarry.sources.pages import read_html_files
 
+pytestmark = pytest.mark.usefixtures("spark")
+
 # An advertisement first, then one link under two titles, and another link.
 DUPLICATES = """
 <div class="s-item"><a class="s-item__link" href="https://m.example/itm/7?x=1">
@@ -39,8 +39,14 @@ DUPLICATES = """
 
 
 def read(html, **selectors):
-    walk = PageWalk(asdict(Selectors(**selectors)), IMAGE_ATTRIBUTES)
-    return walk.read(html)
+    """Cards (fields that are empty left out) and next link of one page."""
+    spark = SparkSession.active()
+    page = extract_pages(spark.createDataFrame([(html,)], "html string"), Selectors(**selectors))
+    found = page.first()
+    cards = [card.asDict() for card in found.cards]
+    for card in cards:
+        card |= {r: [card[f"{r}_text"]] for r in ("title", "price") if card[f"{r}_text"]}
+    return cards, found.next_href
 
 
 def titles(html, **selectors):
