@@ -261,18 +261,21 @@ def clean_renamed(spark, sf_dir):
     )
 
 
-def _split(spark, sf_dir):
+def _split(spark, sf_dir, columns=None):
     return cleaning.split_listings(
-        listings(spark, sf_dir, bad_rows=True), order_by=LISTING_ORDER, url_column="link"
+        listings(spark, sf_dir, bad_rows=True),
+        order_by=LISTING_ORDER,
+        url_column="link",
+        columns=columns,
     )
 
 
-def good_rows(spark, sf_dir):
-    return _split(spark, sf_dir)[0]
+def good_rows(spark, sf_dir, columns=None):
+    return _split(spark, sf_dir, columns)[0]
 
 
 def rejected_rows(spark, sf_dir):
-    return _split(spark, sf_dir)[1].select(*LISTING_ORDER, "missing_field")
+    return _split(spark, sf_dir, [])[1].select(*LISTING_ORDER, "missing_field")
 
 
 def quality_report(spark, sf_dir):
@@ -293,14 +296,14 @@ def duplicate_count(spark, sf_dir):
 
 
 def max_price_filter(spark, sf_dir):
-    return results.filter_max_price(good_rows(spark, sf_dir), 950.0).select(
+    return results.filter_max_price(good_rows(spark, sf_dir, []), 950.0).select(
         *LISTING_ORDER, "title", "price"
     )
 
 
 def keyword_filter(spark, sf_dir):
     """Six words; the last, alone, leaves rows out that hold the other five."""
-    return results.filter_keywords(good_rows(spark, sf_dir), "RED widget r e d NEUEM").select(
+    return results.filter_keywords(good_rows(spark, sf_dir, []), "RED widget r e d NEUEM").select(
         *LISTING_ORDER, "title"
     )
 
@@ -319,8 +322,9 @@ def keyword_search(spark, sf_dir):
 # --- results -------------------------------------------------------------------------
 
 
-def result_rows(spark, sf_dir):
-    return results.result_rows(good_rows(spark, sf_dir), keep=LISTING_ORDER)
+def result_rows(spark, sf_dir, columns=tuple(fixed.DISPLAY_FIELDS.values())):
+    """Shown rows; a query that needs few clean columns names them."""
+    return results.result_rows(good_rows(spark, sf_dir, columns), keep=LISTING_ORDER)
 
 
 def filter_land(spark, sf_dir):
@@ -329,21 +333,22 @@ def filter_land(spark, sf_dir):
 
 def _sorted(ascending: bool):
     def query(spark, sf_dir):
-        rows = result_rows(spark, sf_dir).select(*LISTING_ORDER, "preis", "sort_key")
+        rows = result_rows(spark, sf_dir, ["price"]).select(*LISTING_ORDER, "preis", "sort_key")
         return with_position(rows, results.price_order(ascending, LISTING_ORDER))
 
     return query
 
 
 def land_options(spark, sf_dir):
-    options = results.land_options(result_rows(spark, sf_dir))
+    options = results.land_options(result_rows(spark, sf_dir, ["product_origin"]))
     return with_position(
         options, [F.collate("region", results.GERMAN), F.col("region")]
     )
 
 
 def result_view(spark, sf_dir):
-    return results.result_view(good_rows(spark, sf_dir), LISTING_ORDER, "Österreich")
+    good = good_rows(spark, sf_dir, fixed.DISPLAY_FIELDS.values())
+    return results.result_view(good, LISTING_ORDER, "Österreich")
 
 
 def republished(spark, sf_dir):

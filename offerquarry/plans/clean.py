@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Observation
@@ -96,9 +96,13 @@ def find_url_place(source: Source, url_column: str | None) -> int:
     return place
 
 
-def derive_once(source: Source, url_column: str | None) -> Derived:
+def derive_once(
+    source: Source, url_column: str | None, columns: Collection[str] | None = None
+) -> Derived:
     """All rows under the clean columns, stored, so that nothing is computed twice.
 
+    With ``columns``, only these and the ones that cleaning itself needs are stored.
+
     If the URL column is yet to be found, the pass that stores the rows looks for it
     and takes names from the column ``link`` meanwhile; only where another column
     comes first is there a second pass.
@@ -106,14 +110,14 @@ def derive_once(source: Source, url_column: str | None) -> Derived:
     guess = last_place(source.headers, "link")
     flags = url_flag_columns(source.texts)
     if url_column is not None or guess is None or not flags:
-        return derive(source, find_url_place(source, url_column), store=True)
+        return derive(source, find_url_place(source, url_column), True, columns)
     seen = Observation()
     watched = replace(source, texts=source.texts.observe(seen, *flags))
-    derived = derive(watched, guess, store=True)
+    derived = derive(watched, guess, True, columns)
     place = first_flagged(seen.get)
     if place is None:
         raise MissingField(NO_URL_COLUMN)
-    return derived if place == guess else derive(source, place, store=True)
+    return derived if place == guess else derive(source, place, True, columns)
 
 
 def check_required(rows: DataFrame) -> None:
@@ -133,6 +137,10 @@ def check_required(rows: DataFrame) -> None:
         )
 
 
+#: Columns by which bad and repeated rows are found.
+NEEDED = ("title", "price", "product_name", "link")
+
+
 @dataclass(frozen=True)
 class Derived:
     """All raw rows under the clean columns."""
@@ -141,10 +149,17 @@ class Derived:
     keys: list[str]  # columns that are equal in duplicates
 
 
-def derive(source: Source, url_place: int, store: bool = False) -> Derived:
+def derive(
+    source: Source,
+    url_place: int,
+    store: bool = False,
+    columns: Collection[str] | None = None,
+) -> Derived:
     """Compute every clean column in one projection, for good and bad rows alike.
 
     With ``store`` the rows are written to the shared folder and read from there.
+    ``columns`` leaves all other columns out, but for those of ``NEEDED``; without a
+    column ``link`` any column may tell duplicates apart, so all stay.
     """
     headers, roles, texts = source.headers, source.roles, source.texts
 
@@ -196,6 +211,8 @@ def derive(source: Source, url_place: int, store: bool = False) -> Derived:
         *[clean[n].alias(n) for n in first],
         *[F.col(f"c{i}").alias(n) for i, n in zip(rest, names[len(first) :])],
     )
+    if columns is not None and "link" in rows.columns:
+        rows = rows.select(*[n for n in rows.columns if n in columns or n in NEEDED])
     if store:
         # Numbered, as files may not hold every name a header may have.
         numbered = rows.toDF(*[f"c{i}" for i in range(len(rows.columns))])
@@ -247,14 +264,19 @@ def split_listings(
     order_by: Sequence[str] | None = None,
     scope: Sequence[str] = (),
     url_column: str | None = None,
+    columns: Collection[str] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Like ``clean_listings``, but bad rows do not stop the rest.
 
     Returns the clean table of the good rows, and the bad rows with the field
-    they lack in ``missing_field``.
+    they lack in ``missing_field``.  A view that shows few columns names them in
+    ``columns``; others are then neither computed nor stored, but for the order, the
+    scope and the columns of ``NEEDED``.
     """
     order_by = list(order_by or row_order(raw))
-    derived = derive_once(read_up(raw), url_column)
+    if columns is not None:
+        columns = {*columns, *order_by, *scope}
+    derived = derive_once(read_up(raw), url_column, columns)
     missing = F.when(F.col("product_name").isNull(), F.lit("product_name")).when(
         F.col("price").isNull(), F.lit("price")
     )

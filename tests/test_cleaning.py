@@ -241,3 +241,17 @@ def test_names_come_from_the_first_url_column_even_before_link(spark):
     assert names == ["A", "B"]
     with pytest.raises(MissingField, match="product_name.* 1 rows"):
         clean_listings(raw, order_by=["row_no"], url_column="link")
+
+
+def test_views_compute_only_the_columns_they_name(spark):
+    raw = spark.createDataFrame(
+        [("A", "CHF 1", "aus China", "u", "https://m.example/itm/1?_skw=a", 1, 1),
+         ("A", "CHF 1", "aus Japan", "v", "https://m.example/itm/1?_skw=a", 1, 2),
+         ("B", "CHF 2", "aus China", "w", "https://m.example/itm/2", 1, 3)],
+        "titel string, preis string, land string, image string, link string, page_no int, pos int",
+    )
+    whole, bad = split_listings(raw, url_column="link")
+    few, few_bad = split_listings(raw, url_column="link", columns=["product_origin"])
+    assert set(few.columns) == {"title", "price", "product_name", "link", "product_origin", "page_no", "pos"}
+    assert few.collect() == whole.select(few.columns).collect()
+    assert [r.missing_field for r in few_bad.collect()] == [r.missing_field for r in bad.collect()]
