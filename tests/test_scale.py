@@ -1,9 +1,13 @@
 """Queries and steps that must do their whole job, on rows built here."""
 
+from dataclasses import replace
+
 import pytest
 
 from checks.oracles import ORACLES
 from checks.queries import QUERIES
+from offerquarry.operators.cards import Selectors, extract_pages
+from offerquarry.operators.markup import TagList
 
 # Order key and product name of line items that all have one part, supplier and nation each.
 NAMES = {8: "red widget", 2: "red gear", 3: "blue widget", 7: "red widget", 14: "red widget", 28: "green gear"}
@@ -36,4 +40,24 @@ def tables(spark, tmp_path_factory):
 def test_keyword_filter_takes_all_titles_with_both_words(spark, tables):
     found = QUERIES["keyword_filter"](spark, tables).collect()
     assert {r.l_orderkey for r in found} == {7, 8, 14}
-    assert "neuem" not in ORACLES["keyword_filter"]
+    assert "contains(lower(title), 'neuem')" not in ORACLES["keyword_filter"]
+
+
+def test_tags_with_new_addresses_are_told_by_their_form():
+    tags = TagList(["a.x", "a[href*='/itm/']", ".card"], [])
+    tried = []
+    tags._passed = lambda name, attrs, real=tags._passed: tried.append(name) or real(name, attrs)
+    for n in range(50):
+        tags.add(f"<div class='card'><a class=x href='/{'itm' if n % 2 else 'help'}/{n}'>t</a></div><a>u</a>")
+    assert tried == ["div", "a", "a"]
+    assert tags.fits[:2] == [4, 1] and tags.fits[2:4] == [4, 3]
+    assert tags.within[:2] == [0, 4]
+
+
+def test_long_chains_of_steps(spark):
+    html = "<div class=a><p class=b><a href=1></a></p></div><p class=b><a href=2></a><i class=a><a href=3></a></i></p>"
+    pages = spark.createDataFrame([(1, html)], "page_id int, html string")
+    chosen = Selectors(card="", title="", price="", attribute="", condition="", link="", image="", next=".a .b a")
+    assert extract_pages(pages, chosen).head().next_href == "1"
+    chosen = replace(chosen, next=".b .a a, .x a")
+    assert extract_pages(pages, chosen).head().next_href == "3"
