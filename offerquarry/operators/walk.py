@@ -61,30 +61,29 @@ def follow_links(starts: DataFrame, links: DataFrame, max_pages: int | None = No
     page = ["search_id", "url"]
     captured = links.groupBy(*page).agg(F.min(F.struct("page_id", "next_href")).alias("first"))
     captured = captured.select(*page, "first.page_id", F.nullif("first.next_href", F.lit("")).alias("ahead"))
-    captured = write_and_read(captured, "captured")
-    there = captured.select("search_id", F.col("url").alias("ahead"))
-    jumps = captured.where("ahead IS NOT NULL").select(*page, "ahead")
-    jumps = write_and_read(jumps.join(there, ["search_id", "ahead"], "left_semi"), "jumps")
+    # Stored with numbers: the rounds move these instead of searches and addresses.
+    captured = write_and_read(captured.withColumn("id", F.monotonically_increasing_id()), "captured")
+    there = captured.select("search_id", F.col("url").alias("ahead"), F.col("id").alias("ahead_id"))
+    jumps = captured.where("ahead IS NOT NULL").select("search_id", "ahead", "id").join(there, ["search_id", "ahead"])
+    jumps = write_and_read(jumps.select("id", F.col("ahead_id").alias("ahead")), "jumps")
     first = starts.select("search_id", F.col("start_url").alias("url")).distinct()
-    reached = first.join(captured.select(page), page, "left_semi").withColumn("page_no", F.lit(1).cast("long"))
+    reached = first.join(captured.select(*page, "id"), page).select("id", F.lit(1).cast("long").alias("page_no"))
     reached = write_and_read(reached, "reached")
     length, known = 1, reached.count()
     while known and (max_pages is None or length < max_pages):
-        further = reached.join(jumps, page).select(
-            "search_id", F.col("ahead").alias("url"), (F.col("page_no") + length).alias("page_no")
-        )
-        both = reached.unionByName(further).groupBy(*page).agg(F.min("page_no").alias("page_no"))
+        further = reached.join(jumps, "id").select(F.col("ahead").alias("id"), (F.col("page_no") + length).alias("page_no"))
+        both = reached.unionByName(further).groupBy("id").agg(F.min("page_no").alias("page_no"))
         both = write_and_read(both, "reached")
         drop_stored(spark, reached)
         reached, before, known = both, known, both.count()
         length *= 2
         if known == before:
             break
-        next_jump = jumps.select("search_id", F.col("url").alias("ahead"), F.col("ahead").alias("two"))
-        doubled = jumps.join(next_jump, ["search_id", "ahead"]).select(*page, F.col("two").alias("ahead"))
+        next_jump = jumps.select(F.col("id").alias("ahead"), F.col("ahead").alias("two"))
+        doubled = jumps.join(next_jump, "ahead").select("id", F.col("two").alias("ahead"))
         doubled = write_and_read(doubled, "jumps")
         drop_stored(spark, jumps)
         jumps = doubled
     if max_pages is not None:
         reached = reached.where(F.col("page_no") <= max_pages)
-    return reached.join(captured.select(*page, "page_id"), page).select("search_id", "page_no", "url", "page_id")
+    return reached.join(captured.select("id", *page, "page_id"), "id").select("search_id", "page_no", "url", "page_id")
