@@ -220,9 +220,15 @@ def result_pages_sql() -> str:
     """
 
 
+#: Rows of a given table that one task derives from, at most (nearly, as rows are dealt).
+ROWS_A_TASK = 250_000
+
+
 def _dealt(table: DataFrame) -> DataFrame:
-    """The given tables lie in one split each; deriving from them takes all cores."""
-    return table.repartition(table.sparkSession.sparkContext.defaultParallelism)
+    """The given tables lie in few splits; deriving from them takes all cores, and more
+    tasks, not larger ones, if there are more rows."""
+    tasks = max(table.sparkSession.sparkContext.defaultParallelism, -(-table.count() // ROWS_A_TASK))
+    return table.repartition(tasks)
 
 
 def run_in_spark(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
