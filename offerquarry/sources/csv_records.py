@@ -95,28 +95,33 @@ def _join_lines(batches: Iterator[pa.RecordBatch], torn: bool) -> Iterator[pa.Re
         starts = np.flatnonzero(np.diff(keys, prepend=keys[:1] - 1) != 0)
         before = np.cumsum(odd) - odd
         first = np.zeros(len(keys), bool)
+        rows = batch.column("row").to_numpy()
         torn_rows, made = [], []
         for start, end in zip(starts.tolist(), [*starts[1:].tolist(), len(keys)]):
             new = keys[start] != split
+            path, block, header, utf8 = (batch.column(n)[start].as_py() for n in ("path", "block", "header", "utf8"))
             if new:
                 torn_rows += open_
                 split, count, open_ = keys[start], int(batch.column("before")[start].as_py()), []
-                first[start] = batch.column("block")[start].as_py() == 0
+                first[start] = block == 0
             before[start:end] += count - before[start]
             count = int(before[end - 1] + odd[end - 1])
             outside = (before[start:end] % 2 == 0) & (odd[start:end] == 0)
-            for at in (start + np.flatnonzero(~outside)).tolist():
-                row = [batch.column(name)[at].as_py() for name in _OUT[:5]]
-                row += [int(before[at]) // 2, batch.column("line")[at].as_py()]
-                if before[at] % 2 == 0:  # a record begins
+            inside = start + np.flatnonzero(~outside)
+            lines = batch.column("line").take(pa.array(inside)).to_pylist()
+            # Lists, as numbers of NumPy are slow one by one.
+            each = (column[inside].tolist() for column in (before, odd, rows))
+            for earlier, ends, number, line in zip(*each, lines):
+                row = [path, block, number, header, utf8, earlier // 2, line]
+                if earlier % 2 == 0:  # a record begins
                     open_ = [row]
                 elif not open_:
                     torn_rows.append(row)
                 else:
                     open_.append(row)
-                    if odd[at]:
-                        if not first[start] or open_[0][2] != batch.column("row")[start].as_py():
-                            made.append([*open_[0][:6], b"\n".join(r[6] for r in open_)])
+                    if ends:
+                        if not first[start] or open_[0][2] != rows[start]:
+                            made.append([*open_[0][:6], b"\n".join([r[6] for r in open_])])
                         open_ = []
         if torn:
             yield from _batch(torn_rows)

@@ -14,6 +14,7 @@ from offerquarry.functions.money import float_text
 from offerquarry.functions.text import missing_to_null
 from offerquarry.operators.headers import MissingField, find_roles, kept_name, unique_names
 from offerquarry.sources.csv_records import header_names, records, split_states
+from offerquarry.sources.shared import drop_stored, write_and_read
 
 # Quotes are doubled inside quoted cells, blanks are kept, nothing is empty-quoted.
 CSV_FORM = {
@@ -112,8 +113,12 @@ def _layouts(spark: SparkSession, path: str | list[str], encoding: str | None) -
 def _cells(rows: DataFrame, width: int) -> DataFrame:
     """Records cut into ``cells.c0``, ``cells.c1`` and so on, missing ones null."""
     schema = ", ".join(f"c{i} string" for i in range(max(width, 1)))
-    form = {k: str(v).lower() if isinstance(v, bool) else v for k, v in CSV_FORM.items() if k != "header"}
-    return rows.withColumn("cells", F.from_csv("text", schema, {**form, "maxCharsPerColumn": "-1"}))
+    return rows.withColumn("cells", F.from_csv("text", schema, {**_cell_form(), "maxCharsPerColumn": "-1"}))
+
+
+def _cell_form() -> dict[str, str]:
+    """``CSV_FORM`` as column functions take it."""
+    return {k: str(v).lower() if isinstance(v, bool) else v for k, v in CSV_FORM.items() if k != "header"}
 
 
 def _placed(rows: DataFrame, columns: list[Column], names: list[str], keep_order: bool) -> DataFrame:
@@ -188,11 +193,27 @@ def file_key(path: Column) -> Column:
     return F.regexp_replace(filled, "0*([0-9]{20,})", "$1")
 
 
-def write_raw_csv(listings: DataFrame, path: str, encoding: str = "UTF-8") -> None:
-    """Raw listings as CSV files with the seven fixed columns; overwrites."""
-    listings.select(*fixed.RAW_FIELDS).write.mode("overwrite").options(
-        **CSV_FORM, encoding=encoding
-    ).csv(path)
+def write_raw_csv(listings: DataFrame, path: str, encoding: str = "UTF-8", one_file: bool = False) -> None:
+    """Raw listings as CSV files with the seven fixed columns; overwrites.
+
+    ``one_file`` writes a single file, in UTF-8.  Its one task gets the finished lines of
+    the records, which all tasks make and store before; rows of several partitions get
+    into it in any order.
+    """
+    raw = listings.select(*fixed.RAW_FIELDS)
+    if one_file:
+        if encoding.upper() not in ("UTF-8", "UTF8"):
+            raise ValueError(f"one file is written in UTF-8 only, not in {encoding}")
+        lines = write_and_read(raw.select(F.to_csv(F.struct("*"), _cell_form()).alias("line")), "lines")
+        if not lines.isEmpty():
+            header = F.lit(",".join(fixed.RAW_FIELDS) + "\n")
+            first = F.monotonically_increasing_id() == 0  # of the one partition
+            text = F.when(first, F.concat(header, "line")).otherwise(F.col("line"))
+            lines.coalesce(1).select(text.alias("value")).write.mode("overwrite").text(path)
+            drop_stored(listings.sparkSession, lines)
+            return
+        raw = raw.limit(0).coalesce(1)
+    raw.write.mode("overwrite").options(**CSV_FORM, encoding=encoding).csv(path)
 
 
 def write_clean_csv(listings: DataFrame, path: str) -> None:

@@ -4,10 +4,14 @@ from dataclasses import replace
 
 import pytest
 
+from checks import feeds, queries
 from checks.oracles import ORACLES
 from checks.queries import QUERIES
+from offerquarry import fixed
+from offerquarry.operators import walk
 from offerquarry.operators.cards import Selectors, extract_pages
 from offerquarry.operators.markup import TagList
+from offerquarry.sources import listing_files
 
 # Order key and product name of line items that all have one part, supplier and nation each.
 NAMES = {8: "red widget", 2: "red gear", 3: "blue widget", 7: "red widget", 14: "red widget", 28: "green gear"}
@@ -61,3 +65,46 @@ def test_long_chains_of_steps(spark):
     assert extract_pages(pages, chosen).head().next_href == "1"
     chosen = replace(chosen, next=".b .a a, .x a")
     assert extract_pages(pages, chosen).head().next_href == "3"
+
+
+def test_scrape_stats_reads_pages_once(spark, tables, monkeypatch):
+    read = []
+    real = queries.extract_pages
+    monkeypatch.setattr(queries, "extract_pages", lambda *args: read.append(1) or real(*args))
+    found = {r.page_id: (r.cards_found, r.usable_offers) for r in QUERIES["scrape_stats"](spark, tables).collect()}
+    assert len(read) == 1
+    assert set(found) == set(range(36)) and {cards for cards, _ in found.values()} == {6}
+    assert found[0] == (6, 2) and found[4] == (6, 1)  # the link of page 4 is that of page 1
+
+
+def test_one_file_is_made_by_many_tasks(spark, tmp_path):
+    values = ["a", None, "", ' "neu",\nx', "a,b", '"', " pad ", "é€", "\\", "a\n\nb", "NA"]
+    rows = spark.createDataFrame([(v,) * 7 for v in values], ", ".join(f"{f} string" for f in fixed.RAW_FIELDS))
+    plain, one = str(tmp_path / "plain"), str(tmp_path / "one")
+    listing_files.write_raw_csv(rows.coalesce(1), plain)
+    listing_files.write_raw_csv(rows.coalesce(1), one, one_file=True)
+    texts = [[p.read_bytes() for p in (tmp_path / d).glob("part-*")] for d in ("plain", "one")]
+    assert len(texts[1]) == 1 and texts[1] == texts[0]
+    listing_files.write_raw_csv(rows.repartition(4), one, one_file=True)
+    assert [len(p.read_bytes()) for p in (tmp_path / "one").glob("part-*")] == [len(texts[0][0])]
+    listing_files.write_raw_csv(rows.limit(0), one, one_file=True)
+    assert [p.read_text() for p in (tmp_path / "one").glob("part-*")] == [",".join(fixed.RAW_FIELDS) + "\n"]
+
+
+def test_derived_rows_are_dealt_by_their_number(spark, monkeypatch):
+    monkeypatch.setattr(feeds, "ROWS_A_TASK", 100)
+    cores = spark.sparkContext.defaultParallelism
+    assert feeds._dealt(spark.range(100 * cores + 250)).rdd.getNumPartitions() == cores + 3
+    assert feeds._dealt(spark.range(5)).rdd.getNumPartitions() == cores
+
+
+def test_long_walk_moves_numbers(spark, monkeypatch):
+    stored = {}
+    real = walk.write_and_read
+    monkeypatch.setattr(walk, "write_and_read", lambda df, name: stored.setdefault(name, df.columns) and real(df, name))
+    links = [("s", f"/{n}", n, f"/{n + 1}") for n in range(5)] + [("s", "/5", 5, "/2")]
+    links = spark.createDataFrame(links, "search_id string, url string, page_id long, next_href string")
+    starts = spark.createDataFrame([("s", "/0")], "search_id string, start_url string")
+    found = walk.follow_links(starts, links).collect()
+    assert sorted((r.page_no, r.url, r.page_id) for r in found) == [(n + 1, f"/{n}", n) for n in range(6)]
+    assert stored["jumps"] == ["id", "ahead"] and stored["reached"] == ["id", "page_no"]
