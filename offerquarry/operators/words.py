@@ -27,10 +27,9 @@ def search_index(index: DataFrame, queries: DataFrame, key: Sequence[str]) -> Da
     """``query_id, key...``: the rows that hold all words of a query as whole words.
 
     ``queries`` holds ``query_id, query``; a query without words finds nothing.  The
-    postings of a query's words are intersected by counting: a row that holds all of
-    them comes up once for each.  Queries are first cut down to those whose words all
-    occur, and of each the rarest word leads: other words are looked up only for the
-    rows that hold it, so a word that most rows hold is never listed for its own sake.
+    postings of all words asked for are brought together by row, once.  Queries are first
+    cut down to those whose words all occur, and of each the rarest word leads: only rows
+    that hold it are looked at, and their other words are tested where they lie.
     """
     asked = queries.select("query_id", words_of(F.col("query")).alias("words"))
     asked = asked.where(F.size("words") > 0)
@@ -42,8 +41,11 @@ def search_index(index: DataFrame, queries: DataFrame, key: Sequence[str]) -> Da
     )
     ranked = ranked.where(F.size("found") == F.col("n"))  # collects the words of one query
     leads = ranked.select("query_id", "n", F.col("rarest.word").alias("word"), F.array_remove("found", F.col("rarest.word")).alias("others"))
-    led = postings.join(leads, "word").drop("word")
-    done = led.where("n = 1").select("query_id", *key)
-    open_ = led.where("n > 1").select("query_id", "n", *key, F.explode("others").alias("word"))
-    met = open_.join(postings, ["word", *key]).groupBy("query_id", "n", *key).agg(F.count("*").alias("met"))
-    return done.unionByName(met.where("met = n - 1").select("query_id", *key))
+    done = postings.join(leads.where("n = 1"), "word").select("query_id", *key)
+    # The words of a row lie together after one shuffle, however many queries ask for it.
+    held = postings.dropna(subset=list(key)).groupBy(*key).agg(F.collect_list("word").alias("held"))
+    led = held.withColumn("word", F.explode(F.array_distinct("held"))).join(leads.where("n > 1"), "word")
+    lead = F.filter("held", lambda word: word == F.col("word"))
+    others = F.filter("held", lambda word: F.array_contains("others", word))
+    met = F.size(lead) * F.size(others)  # as in a join of the two: rows of equal keys count as pairs
+    return done.unionByName(led.where(met == F.col("n") - 1).select("query_id", *key))

@@ -8,7 +8,7 @@ from checks import feeds, queries
 from checks.oracles import ORACLES
 from checks.queries import QUERIES
 from offerquarry import fixed
-from offerquarry.operators import walk
+from offerquarry.operators import walk, words
 from offerquarry.operators.cards import Selectors, extract_pages
 from offerquarry.operators.markup import TagList
 from offerquarry.sources import listing_files
@@ -108,3 +108,13 @@ def test_long_walk_moves_numbers(spark, monkeypatch):
     found = walk.follow_links(starts, links).collect()
     assert sorted((r.page_no, r.url, r.page_id) for r in found) == [(n + 1, f"/{n}", n) for n in range(6)]
     assert stored["jumps"] == ["id", "ahead"] and stored["reached"] == ["id", "page_no"]
+
+
+def test_keyword_postings_meet_without_a_join_by_query(spark):
+    rows = spark.createDataFrame([(1, "red ski new"), (2, "red new"), (3, "ski red"), (None, "red ski")], "id int, title string")
+    asked = [("a", "RED ski"), ("b", "new red"), ("c", "ski"), ("d", "red boot"), ("e", "")]
+    found = words.search_index(words.word_index(rows, ["id"]), spark.createDataFrame(asked, "query_id string, query string"), ["id"])
+    pairs = sorted(((r.query_id, r.id) for r in found.collect()), key=str)
+    assert pairs == [("a", 1), ("a", 3), ("b", 1), ("b", 2), ("c", 1), ("c", 3), ("c", None)]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" in plan and "count(1) AS met" not in plan
