@@ -140,13 +140,18 @@ def _batch(rows: list[list]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), _ARROW.types)], schema=_ARROW)
 
 
+def few_splits(states: DataFrame) -> bool:
+    """Can the states be sent to all tasks?"""
+    return states.count() <= MOST_SENT
+
+
 def records(spark: SparkSession, path: str | list[str], states: DataFrame) -> DataFrame:
     """``path, block, row, header, text``: a row per record but headers and blank lines.
 
     Sorted by path, block and row, records have the order of their files.
     """
     ship_code(spark)
-    few = states.count() <= MOST_SENT
+    few = few_splits(states)
 
     def joined(part: DataFrame, torn: bool) -> DataFrame:
         lines = _lines(spark, path).withColumn("line", F.col("value").cast("binary")).drop("value")

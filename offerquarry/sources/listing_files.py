@@ -13,7 +13,7 @@ from offerquarry import fixed
 from offerquarry.functions.money import float_text
 from offerquarry.functions.text import missing_to_null
 from offerquarry.operators.headers import MissingField, find_roles, kept_name, unique_names
-from offerquarry.sources.csv_records import header_names, records, split_states
+from offerquarry.sources.csv_records import few_splits, header_names, records, split_states
 from offerquarry.sources.shared import drop_stored, write_and_read
 
 # Quotes are doubled inside quoted cells, blanks are kept, nothing is empty-quoted.
@@ -49,7 +49,7 @@ def read_raw_csv(
         raise ValueError(f"the files differ in their header: {[layout.header for layout in layouts]}")
     names = layouts[0].names
     rows = _cells(records(spark, path, states), len(names))
-    return _placed(rows, [F.col("cells")[f"c{i}"] for i in range(len(names))], names, keep_order)
+    return _placed(rows, [F.col("cells")[f"c{i}"] for i in range(len(names))], names, states if keep_order else None)
 
 
 def read_listing_files(
@@ -77,7 +77,7 @@ def read_listing_files(
             headers = [F.lit(h) for h, p in by_header.items() if p == place]
             chosen = F.when(F.col("header").isin(headers), F.col("cells")[f"c{place}"]).otherwise(chosen)
         columns.append(chosen)
-    return _placed(rows, columns, list(places), keep_order)
+    return _placed(rows, columns, list(places), states if keep_order else None)
 
 
 @dataclass(frozen=True)
@@ -121,9 +121,13 @@ def _cell_form() -> dict[str, str]:
     return {k: str(v).lower() if isinstance(v, bool) else v for k, v in CSV_FORM.items() if k != "header"}
 
 
-def _placed(rows: DataFrame, columns: list[Column], names: list[str], keep_order: bool) -> DataFrame:
-    if keep_order:
-        columns = [*columns, file_key(F.col("path")), F.col("block"), F.col("row")]
+def _placed(rows: DataFrame, columns: list[Column], names: list[str], states: DataFrame | None) -> DataFrame:
+    """Named columns; with the states of the splits also the ``FILE_ORDER``."""
+    if states is not None:
+        # A key is made once for each file: for each row, it took longer than all the rest.
+        files = states.select("path").distinct().withColumn("file", file_key(F.col("path")))
+        rows = rows.join(F.broadcast(files) if few_splits(states) else files, "path")
+        columns = [*columns, F.col("file"), F.col("block"), F.col("row")]
         names = [*names, *FILE_ORDER]
     numbered = rows.select(*[c.alias(f"_{i}") for i, c in enumerate(columns)])
     return numbered.toDF(*names)

@@ -118,3 +118,13 @@ def test_keyword_postings_meet_without_a_join_by_query(spark):
     assert pairs == [("a", 1), ("a", 3), ("b", 1), ("b", 2), ("c", 1), ("c", 3), ("c", None)]
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert "collect_list" in plan and "count(1) AS met" not in plan
+
+
+def test_file_keys_are_made_once_a_file(spark, tmp_path):
+    rows = spark.createDataFrame([(str(n),) * 7 for n in range(50)], ", ".join(f"{f} string" for f in fixed.RAW_FIELDS))
+    path = str(tmp_path / "keys")
+    listing_files.write_raw_csv(rows.repartition(3), path)
+    raw = listing_files.read_raw_csv(spark, path, keep_order=True)
+    plan = raw._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate [path" in plan.split("regexp_replace(regexp_replace(path")[1]  # below: the distinct files
+    assert raw.select("source_file").distinct().count() == 3 and raw.count() == 50
