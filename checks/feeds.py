@@ -231,9 +231,18 @@ def _dealt(table: DataFrame) -> DataFrame:
     return table.repartition(tasks)
 
 
+#: Tables with a row for each derived one; the others are only looked up in.
+DEALT = ("lineitem", "orders")
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    table = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return _dealt(table) if name in DEALT else table
+
+
 def run_in_spark(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     tables = {
-        name: _dealt(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+        name: _table(spark, sf_dir, name)
         for name in ("lineitem", "part", "supplier", "nation", "orders")
         if "{" + name + "}" in sql
     }

@@ -46,16 +46,23 @@ def parse_number_eu(text: Column) -> Column:
     Most amounts are a single plain number, which one pattern reads; only the
     others go through all the rules.
     """
-    plain = F.translate(F.regexp_extract(text, _ONE_NUMBER, 1), ",", ".")
-    grouped = F.translate(F.regexp_extract(text, _GROUPED_NUMBER, 1), ",.", ".")
-    # Cast only what looks right: a failing cast costs an exception inside.
-    return (
-        F.when(text.rlike(_ONE_NUMBER), plain.try_cast("double"))
-        .when(text.rlike(_GROUPED_NUMBER), grouped.try_cast("double"))
-        .when(text.rlike("[0-9]"), _parse_any_number(text))
+    plain = F.translate(_matched(text, _ONE_NUMBER), ",", ".")
+    grouped = F.translate(_matched(text, _GROUPED_NUMBER), ",.", ".")
+    # Cast only what looks right: a failing cast costs an exception inside.  Of matched
+    # texts only a lone comma is no number, and it is none by the other rules either.
+    return F.coalesce(
+        plain.try_cast("double"),
+        grouped.try_cast("double"),
+        F.when(text.rlike("[0-9]"), _parse_any_number(text)),
     )
 
 
+def _matched(text: Column, pattern: str) -> Column:
+    """The first group of a pattern that takes the whole text, null if it does not; the
+    pattern is tried once, unlike with a test before."""
+    return F.get(F.regexp_extract_all(text, F.lit(pattern), F.lit(1)), F.lit(0))
+
+
 def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
     """``use(value)`` with the value computed once."""
     return F.element_at(F.transform(F.array(value), use), 1)
@@ -70,10 +77,15 @@ def _decimal_dots(text: Column) -> Column:
     ).otherwise(F.translate(commas, ";, ", "."))
 
 
+# No digit, dot, comma or white space.  The plain ones are named first: to tell that they
+# are none of all the kinds of white space takes a test for each of these.
+_NO_AMOUNT = rf"[!-+\-/:-~]++|[^0-9.,{WHITESPACE}]++"
+
+
 def _parse_any_number(text: Column) -> Column:
     """All rules; each step is linear in the length of the text."""
     step = F.regexp_replace(text, f"(?iu){fixed.AMOUNT_NOISE}", " ")
-    step = strip(F.regexp_replace(step, f"[^0-9.,{WHITESPACE}]+", ""))
+    step = strip(F.regexp_replace(step, _NO_AMOUNT, ""))
     step = strip(_bound(step, _decimal_dots))
     # Take it only if it has the shape of a number ("1d" would cast, too).
     shaped = F.regexp_extract(step, r"\A(?:[0-9]++\.?[0-9]*+|\.[0-9]++)\z", 0)

@@ -66,7 +66,8 @@ def skw_product_name(url: Column) -> Column:
     Null if there is no such parameter or nothing is left of it.
     """
     # Line breaks and tabs inside a URL do not count.
-    address = F.when(url.rlike("[\t\r\n]"), F.translate(url, "\t\r\n", "")).otherwise(url)
+    breaks = url.contains("\t") | url.contains("\r") | url.contains("\n")
+    address = F.when(breaks, F.translate(url, "\t\r\n", "")).otherwise(url)
     raw = F.regexp_extract(address, _NAME_PARAMETER, 1)
     once = _decode(raw)
     twice = _decode(F.replace(once, F.lit("+"), F.lit("%2B")))
@@ -77,5 +78,5 @@ def skw_product_name(url: Column) -> Column:
 
 
 def has_url(text: Column) -> Column:
-    return text.rlike("https?://")
+    return text.contains("http://") | text.contains("https://")
 

@@ -265,18 +265,24 @@ def split_listings(
     scope: Sequence[str] = (),
     url_column: str | None = None,
     columns: Collection[str] | None = None,
+    store: bool = True,
 ) -> tuple[DataFrame, DataFrame]:
     """Like ``clean_listings``, but bad rows do not stop the rest.
 
     Returns the clean table of the good rows, and the bad rows with the field
     they lack in ``missing_field``.  A view that shows few columns names them in
     ``columns``; others are then neither computed nor stored, but for the order, the
-    scope and the columns of ``NEEDED``.
+    scope and the columns of ``NEEDED``.  The derived rows are stored, as both results
+    come from them; a caller that takes only one, once, sets ``store`` to false.
     """
     order_by = list(order_by or row_order(raw))
     if columns is not None:
         columns = {*columns, *order_by, *scope}
-    derived = derive_once(read_up(raw), url_column, columns)
+    source = read_up(raw)
+    if store:
+        derived = derive_once(source, url_column, columns)
+    else:
+        derived = derive(source, find_url_place(source, url_column), columns=columns)
     missing = F.when(F.col("product_name").isNull(), F.lit("product_name")).when(
         F.col("price").isNull(), F.lit("price")
     )
