@@ -3,12 +3,14 @@
 from dataclasses import replace
 
 import pytest
+from pyspark.sql import functions as F
 
 from checks import feeds, queries
 from checks.oracles import ORACLES
 from checks.queries import QUERIES
 from offerquarry import fixed
-from offerquarry.operators import walk, words
+from offerquarry.functions import money
+from offerquarry.operators import dedupe, walk, words
 from offerquarry.operators.cards import Selectors, extract_pages
 from offerquarry.operators.markup import TagList
 from offerquarry.sources import listing_files
@@ -126,5 +128,29 @@ def test_file_keys_are_made_once_a_file(spark, tmp_path):
     listing_files.write_raw_csv(rows.repartition(3), path)
     raw = listing_files.read_raw_csv(spark, path, keep_order=True)
     plan = raw._jdf.queryExecution().optimizedPlan().toString()
-    assert "Aggregate [path" in plan.split("regexp_replace(regexp_replace(path")[1]  # below: the distinct files
+    _, below = plan.split("0*([0-9]{20,})")  # the key is in the plan once, over the stored splits
+    assert "parquet" in below and "MapInArrow" not in below
     assert raw.select("source_file").distinct().count() == 3 and raw.count() == 50
+
+
+def test_good_rows_alone_store_nothing(spark, tables, monkeypatch):
+    def stored(*args):
+        raise AssertionError("the derived rows were stored")
+
+    monkeypatch.setattr(queries.cleaning, "write_and_read", stored)
+    good = QUERIES["clean_good_rows"](spark, tables)
+    assert "xxhash64" in good._jdf.queryExecution().optimizedPlan().toString()
+    assert {r.l_orderkey for r in good.collect()} == {2, 3, 7, 8, 14, 28}
+
+
+def test_hashed_keys_keep_the_first_row_of_equal_ones(spark):
+    rows = [(0.0, "a", 2), (-0.0, "a", 1), (float("nan"), None, 4), (float("nan"), None, 3), (None, "a", 5), (None, None, 6)]
+    kept = dedupe.keep_first(spark.createDataFrame(rows, "x double, t string, n int"), ["x", "t"], ["n"])
+    assert sorted(r.n for r in kept.collect()) == [1, 3, 5, 6]
+
+
+def test_amounts_try_a_pattern_once(spark):
+    assert str(money.parse_number_eu(F.col("x"))).count("[0-9]{0,3})") == 1
+    texts = ["CHF 1234,50 bis CHF 1234,99", ",", "a,b", ".", "1.2.3,4", "x 1  ", "é1'2€ü3,4567", None]
+    made = spark.createDataFrame([(t,) for t in texts], "x string").select(money.parse_number_eu(F.col("x")))
+    assert [r[0] for r in made.collect()] == [1234501234.99, None, None, None, 123.4, 1.0, 1234567.0, None]
