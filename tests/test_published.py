@@ -4,7 +4,9 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+from checks import queries
 from offerquarry.plans.search import run_search
+from offerquarry.sources import pages as page_files
 from offerquarry.sources.pages import new_captures, page_text
 from offerquarry.sources.published import matching, publish, published, remove_unpublished
 
@@ -110,3 +112,17 @@ def test_pages_name_their_encoding(spark):
     rows = [(i, bytearray(text.encode(encoding))) for i, (text, encoding) in enumerate(pages)]
     found = spark.createDataFrame(rows, "n int, content binary").orderBy("n").select(page_text(F.col("content")).alias("t"))
     assert [r.t for r in found.collect()] == [text.removeprefix("﻿") for text, _ in pages]
+
+
+def test_captured_files_are_listed_once_a_run(spark, tmp_path, monkeypatch):
+    rows = [(n, f"https://e/{n}", f"<nav><ul><li><a href=/{n}>T{n}</a></li></ul></nav>") for n in range(5)]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    listed = []
+    real = page_files.captured_files
+    for module in (queries, page_files):
+        monkeypatch.setattr(module, "captured_files", lambda *args: listed.append(1) or real(*args))
+    tasks = spark.conf.get(page_files.LISTING_TASKS)
+    found = {(r.page_id, r.url, r.title_text) for r in queries.captured_cards(spark, str(tmp_path)).collect()}
+    assert found == {(n, f"https://e/{n}", f"T{n}") for n in range(5)}
+    assert len(listed) == 2  # one for each of the two runs
+    assert spark.conf.get(page_files.LISTING_TASKS) == tasks
