@@ -24,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -34,12 +35,8 @@ from offerquarry.sources.shared import ship_code, write_and_read
 #: are shuffled to the states of their splits and sorted again.
 MOST_SENT = 100_000
 
-_OUT = ["path", "block", "row", "header", "utf8", "record", "line"]
-_OUT_SCHEMA = "path string, block long, row long, header string, utf8 boolean, record long, line binary"
-_ARROW = pa.schema([
-    ("path", pa.string()), ("block", pa.int64()), ("row", pa.int64()), ("header", pa.string()),
-    ("utf8", pa.bool_()), ("record", pa.int64()), ("line", pa.binary()),
-])
+_SCHEMA = "split long, row long, record long, line binary"
+_ARROW = pa.schema([("split", pa.int64()), ("row", pa.int64()), ("record", pa.int64()), ("line", pa.binary())])
 
 
 def _lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -58,7 +55,8 @@ def _lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 def split_states(spark: SparkSession, path: str | list[str], encoding: str | None = None) -> DataFrame:
     """A stored row per split: ``path, block, before`` (odd lines before it in its file),
-    ``odd`` (in it), ``utf8`` (is the whole file?) and ``header``, the file's first line."""
+    ``odd`` (in it), ``utf8`` (is the whole file?), ``header`` (the file's first line) and
+    ``split``, a number of its own."""
     splits = _lines(spark, path).groupBy("path", "block").agg(
         F.sum("odd").alias("odd"),
         F.bool_and(F.is_valid_utf8("value")).alias("utf8"),
@@ -74,7 +72,8 @@ def split_states(spark: SparkSession, path: str | list[str], encoding: str | Non
         F.min_by("first", "block").over(file).alias("first"),
     )
     header = F.regexp_replace(decoded("first"), "^﻿|\r$", "")
-    return write_and_read(placed.withColumn("header", header).drop("first"), "splits")
+    numbered = placed.withColumn("header", header).withColumn("split", F.monotonically_increasing_id())
+    return write_and_read(numbered.drop("first"), "splits")
 
 
 def decoded(line: str) -> Column:
@@ -89,55 +88,54 @@ def header_names(header: str) -> list[str]:
 def _join_lines(batches: Iterator[pa.RecordBatch], torn: bool) -> Iterator[pa.RecordBatch]:
     """Lines of splits, in order, to records; ``torn``: only the lines, each on its own,
     of records that begin or end in another split."""
-    split, count, open_ = None, 0, []
+    split, count, held, header = None, 0, [], False  # held: lines of a record that is open yet
     for batch in batches:
-        keys, odd = (batch.column(name).to_numpy() for name in ("split", "odd"))
-        starts = np.flatnonzero(np.diff(keys, prepend=keys[:1] - 1) != 0)
-        before = np.cumsum(odd) - odd
-        first = np.zeros(len(keys), bool)
-        rows = batch.column("row").to_numpy()
-        torn_rows, made = [], []
-        for start, end in zip(starts.tolist(), [*starts[1:].tolist(), len(keys)]):
-            new = keys[start] != split
-            path, block, header, utf8 = (batch.column(n)[start].as_py() for n in ("path", "block", "header", "utf8"))
-            if new:
-                torn_rows += open_
-                split, count, open_ = keys[start], int(batch.column("before")[start].as_py()), []
-                first[start] = block == 0
-            before[start:end] += count - before[start]
-            count = int(before[end - 1] + odd[end - 1])
-            outside = (before[start:end] % 2 == 0) & (odd[start:end] == 0)
-            inside = start + np.flatnonzero(~outside)
-            lines = batch.column("line").take(pa.array(inside)).to_pylist()
-            # Lists, as numbers of NumPy are slow one by one.
-            each = (column[inside].tolist() for column in (before, odd, rows))
-            for earlier, ends, number, line in zip(*each, lines):
-                row = [path, block, number, header, utf8, earlier // 2, line]
-                if earlier % 2 == 0:  # a record begins
-                    open_ = [row]
-                elif not open_:
-                    torn_rows.append(row)
-                else:
-                    open_.append(row)
-                    if ends:
-                        if not first[start] or open_[0][2] != rows[start]:
-                            made.append([*open_[0][:6], b"\n".join([r[6] for r in open_])])
-                        open_ = []
-        if torn:
-            yield from _batch(torn_rows)
-        else:
-            keep = (before % 2 == 0) & (odd == 0) & ~first
-            record = pa.array(before // 2)
-            whole = [*(batch.column(name) for name in _OUT[:5]), record, batch.column("line")]
-            yield pa.RecordBatch.from_arrays(whole, schema=_ARROW).filter(pa.array(keep))
-            yield from _batch(made)
+        keys = batch.column("split").to_numpy()
+        starts = np.flatnonzero(np.diff(keys, prepend=keys[:1] - 1) != 0).tolist()
+        for start, end in zip(starts, [*starts[1:], len(keys)]):
+            if keys[start] != split:
+                if torn:
+                    yield from held
+                split, count, held = keys[start], int(batch.column("before")[start].as_py()), []
+                header = batch.column("block")[start].as_py() == 0
+            odd = batch.column("odd").to_numpy()[start:end].astype(np.int64)
+            after = count + np.cumsum(odd)
+            before = after - odd
+            count = int(after[-1])
+            rows, lines = (batch.column(name).slice(start, end - start) for name in ("row", "line"))
+            part = [batch.column("split").slice(start, end - start), rows, pa.array(before // 2), lines]
+            part = pa.RecordBatch.from_arrays(part, schema=_ARROW)
+            begins, ends = np.flatnonzero(before % 2 == 0), np.flatnonzero(after % 2 == 0)
+            if not held:
+                first = int(begins[0]) if len(begins) else len(odd)
+                if torn and first:
+                    yield part.slice(0, first)
+                begins, ends, part = begins - first, ends[ends >= first] - first, part.slice(first)
+            if not len(ends):
+                held += [part] if part.num_rows else []
+                continue
+            if held:
+                earlier = sum(h.num_rows for h in held)
+                begins, ends = np.append(0, begins + earlier), ends + earlier
+                part = pa.Table.from_batches([*held, part]).combine_chunks().to_batches()[0]
+            stop = int(ends[-1]) + 1
+            if not torn:
+                yield _joined(part.slice(0, stop), begins[begins < stop], header)
+                header = False
+            held = [part.slice(stop)] if stop < part.num_rows else []
     if torn:
-        yield from _batch(open_)
+        yield from held
 
 
-def _batch(rows: list[list]) -> Iterator[pa.RecordBatch]:
-    if rows:
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), _ARROW.types)], schema=_ARROW)
+def _joined(lines: pa.RecordBatch, begins: np.ndarray, header: bool) -> pa.RecordBatch:
+    """A row per record; ``header``: the first one is left out."""
+    records = lines
+    if len(begins) < lines.num_rows:
+        offsets = pa.array(np.append(begins, lines.num_rows), pa.int32())
+        texts = pc.binary_join(pa.ListArray.from_arrays(offsets, lines.column("line")), b"\n")
+        firsts = [lines.column(name).take(pa.array(begins)) for name in ("split", "row", "record")]
+        records = pa.RecordBatch.from_arrays([*firsts, texts], schema=_ARROW)
+    return records.slice(1) if header else records
 
 
 def few_splits(states: DataFrame) -> bool:
@@ -153,19 +151,23 @@ def records(spark: SparkSession, path: str | list[str], states: DataFrame) -> Da
     ship_code(spark)
     few = few_splits(states)
 
+    def small(table: DataFrame) -> DataFrame:
+        return F.broadcast(table) if few else table
+
     def joined(part: DataFrame, torn: bool) -> DataFrame:
         lines = _lines(spark, path).withColumn("line", F.col("value").cast("binary")).drop("value")
-        both = lines.join(F.broadcast(part) if few else part, ["path", "block"])
-        both = both.withColumn("split", F.xxhash64("path", "block"))
+        both = lines.join(small(part), ["path", "block"])
         if not few:
             both = both.repartition("split").sortWithinPartitions("path", "block", "row")
-        columns = ["split", "odd", "before", *_OUT[:5], "line"]
-        return both.select(columns).mapInArrow(lambda b: _join_lines(b, torn), _OUT_SCHEMA)
+        both = both.select("split", "odd", "before", "block", "row", "line")
+        # What a split's lines share does not go through Python with each line.
+        return both.mapInArrow(lambda b: _join_lines(b, torn), _SCHEMA).join(small(state), "split")
 
-    state = states.select("path", "block", "before", "utf8", "header")
-    whole = joined(state, torn=False)
+    state = states.select("split", "path", "block", "utf8", "header")
+    numbers = ["split", "path", "block", "before"]
+    whole = joined(states.select(numbers), torn=False)
     open_ends = states.where("before % 2 = 1 OR (before + odd) % 2 = 1")
-    parts = joined(open_ends.select(state.columns), torn=True)
+    parts = joined(open_ends.select(numbers), torn=True)
     in_order = F.array_sort(F.collect_list(F.struct("block", "row", "line")))
     whole_again = parts.groupBy("path", "record").agg(
         in_order.alias("lines"), F.first("header").alias("header"), F.first("utf8").alias("utf8")
@@ -173,8 +175,12 @@ def records(spark: SparkSession, path: str | list[str], states: DataFrame) -> Da
     strings = F.transform("lines", lambda x: x["line"].cast("string"))
     whole_again = whole_again.select(
         "path", F.col("lines")[0]["block"].alias("block"), F.col("lines")[0]["row"].alias("row"),
-        "header", "utf8", "record", F.array_join(strings, "\n").cast("binary").alias("line"),
+        "header", "utf8", F.array_join(strings, "\n").cast("binary").alias("line"),
     )
-    every = whole.unionByName(whole_again) if not open_ends.isEmpty() else whole
-    text = F.regexp_replace(decoded("line"), "\r$", "")
+    columns = ["path", "block", "row", "header", "utf8", "line"]
+    every = whole.select(columns)
+    every = every.unionByName(whole_again) if not open_ends.isEmpty() else every
+    line = decoded("line")
+    # Looked for first, as the pattern takes longer than all else here.
+    text = F.when(line.contains("\r"), F.regexp_replace(line, "\r$", "")).otherwise(line)
     return every.select("path", "block", "row", "header", text.alias("text")).where("text <> ''")

@@ -4,6 +4,7 @@ import csv
 import io
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from offerquarry.operators.headers import MissingField
@@ -111,3 +112,34 @@ def test_types(spark):
     assert [tuple(r) for r in cast.collect()][1] == (-7, None, None, False, "1", "NA", "True", 1000.0)
     empty = listing_files.inferred_types(table.limit(0)).collect()
     assert {r.type for r in empty} == {"void"}
+
+
+def test_lines_go_through_python_without_what_their_split_shares(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('a,b\n"x\ny",1\nz,2\n')
+    raw = listing_files.read_raw_csv(spark, str(tmp_path))
+    assert sorted(map(tuple, raw.collect())) == [("x\ny", "1"), ("z", "2")]
+    plan = raw._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    helper = next(line for line in plan if "MapInArrow" in line)
+    assert "split#" in helper and not any(f"{name}#" in helper for name in ("path", "header", "utf8"))
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 50])
+def test_records_do_not_depend_on_batches(size):
+    # Splits: a file's first, with a record that stays open; its second; and another file's.
+    first = ["h", "a", '"b', "", 'c"', '""', '"d', 'e""']
+    second = ["f", 'g"', "k", '"l', 'm"', "n"]
+    lines = [(1, 0, 0, x) for x in first] + [(2, 90, 3, x) for x in second] + [(3, 0, 0, "h"), (3, 0, 0, "z")]
+    rows = [
+        {"split": s, "block": b, "before": n, "odd": x.count('"') % 2, "row": i, "line": x.encode()}
+        for i, (s, b, n, x) in enumerate(lines)
+    ]
+
+    def made(torn):
+        batches = [pa.RecordBatch.from_pylist(rows[i : i + size]) for i in range(0, len(rows), size)]
+        found = [r for b in csv_records._join_lines(iter(batches), torn) for r in b.to_pylist()]
+        return [(r["split"], r["row"], r["record"], r["line"].decode()) for r in found]
+
+    whole = [(1, 1, 0, "a"), (1, 2, 0, '"b\n\nc"'), (1, 5, 1, '""')]
+    whole += [(2, 10, 2, "k"), (2, 11, 2, '"l\nm"'), (2, 13, 3, "n"), (3, 15, 0, "z")]
+    assert made(torn=False) == whole
+    assert made(torn=True) == [(1, 6, 1, '"d'), (1, 7, 1, 'e""'), (2, 8, 1, "f"), (2, 9, 1, 'g"')]
