@@ -137,6 +137,8 @@ def _placed(rows: DataFrame, columns: list[Column], names: list[str], states: Da
 WHOLE, DOUBLE, TEXT, BOOLEAN, EMPTY = "bigint", "double", "string", "boolean", "void"
 
 _WHOLE = r"^[+-]?[0-9]{1,18}$"
+#: Only texts that begin so are tried as numbers.
+_NUMBER_STARTS = list("0123456789+-.iI")
 _DOUBLE = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$|^[+-]?(?i:inf|infinity)$"
 
 
@@ -155,6 +157,7 @@ def inferred_types(raw: DataFrame) -> DataFrame:
         value = F.trim(missing_to_null(F.col(f"c{i}")))
         rank = (
             F.when(value.isin("True", "False", "TRUE", "FALSE", "true", "false"), 1)
+            .when(~F.left(value, F.lit(1)).isin(_NUMBER_STARTS), 8)
             .when(value.rlike(_WHOLE), 2)
             .when(value.rlike(_DOUBLE), 4)
             .when(value.isNotNull(), 8)

@@ -143,3 +143,21 @@ def test_records_do_not_depend_on_batches(size):
     whole += [(2, 10, 2, "k"), (2, 11, 2, '"l\nm"'), (2, 13, 3, "n"), (3, 15, 0, "z")]
     assert made(torn=False) == whole
     assert made(torn=True) == [(1, 6, 1, '"d'), (1, 7, 1, 'e""'), (2, 8, 1, "f"), (2, 9, 1, 'g"')]
+
+
+def test_only_texts_that_begin_like_numbers_are_tried_as_such(spark):
+    kinds = {
+        "whole": ["1", " -2", "+3"], "double": [".5", "1e3", "-Inf"], "infinity": ["infinity", "+iNf", "2."],
+        "text": [" ", "1", "2"], "word": ["in", "1", "2"], "flag": ["True", "false", "TRUE"], "void": [None, "NA", "n/a"],
+        "sign": ["+", "1", "-"], "gaps": ["1", None, "2"],
+    }
+    raw = spark.createDataFrame(list(zip(*kinds.values())), ", ".join(f"`{k}` string" for k in kinds))
+    types = listing_files.inferred_types(raw)
+    found = {r.column: r.type for r in types.collect()}
+    assert found == {
+        "whole": "bigint", "double": "double", "infinity": "double", "text": "string", "word": "string",
+        "flag": "boolean", "void": "void", "sign": "string", "gaps": "double",
+    }
+    plan = types._jdf.queryExecution().optimizedPlan().toString()
+    tested = plan[: plan.index("RLIKE")]
+    assert "left(" in tested or "substring(" in tested
