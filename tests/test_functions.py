@@ -339,3 +339,14 @@ def test_expressions_stay_out_of_python(spark):
         money.parse_number_eu(rows.t), urls.skw_product_name(rows.t), text.clean_title(rows.t)
     )._jdf.queryExecution().toString()
     assert "Python" not in plan and "PYTHON" not in plan
+
+
+def test_plain_origins_are_cut_without_the_pattern(spark, evaluate):
+    cases = {
+        "aus Wien": "Wien", "aus ": "", "aus": "aus", "aus  \u00a0Wien ": "Wien", "aus aus Wien": "aus Wien",
+        "AUS\tWien": "Wien", " aus Wien": "Wien", "ausWien": "ausWien", None: "", "aus Großbritannien": "Grossbritannien",
+    }
+    check(evaluate, text.clean_origin, cases)
+    texts = spark.range(1).select(F.col("id").cast("string").alias("t"))
+    plan = texts.select(text.clean_origin(F.col("t")))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("StartsWith(") < plan.index("regexp_replace(")
