@@ -2,9 +2,11 @@
 
 A text is cut into marked words: runs of the space mark with what follows.  No piece
 of the vocabulary reaches over such a cut, so words are encoded one by one, each
-distinct word of a slice once.  The words are sorted and walked as a trie, depth first:
-the forward states of all prefixes lie on a stack, and the next word starts from those
-of the prefix it shares with the word before.
+distinct word of a slice once.  The words are sorted and walked as a trie, so that the
+forward state of a prefix serves all words that begin with it: short words of BPE
+vocabularies by depth, all prefixes of one length at once (``Front``), others depth
+first (``Walk``), where the states of all prefixes lie on a stack, and the next word
+starts from those of the prefix it shares with the word before.
 
 * Unigram vocabularies: the state of a prefix is its best score, and the last piece.
 * BPE vocabularies: a prefix has one encoding, whatever follows.  A piece extends the
@@ -48,9 +50,13 @@ MARK = "▁"  # stands for a space
 _WORDS = re.compile(f"{MARK}*[^{MARK}\n]+|{MARK}+|\n")
 SLICE = 1 << 20  # characters whose words are encoded together
 MOST_KNOWN = 24 << 20  # bytes of words and their encodings that a task remembers
-MOST_PAIRS = 300_000  # pairs of pieces that it remembers
+MOST_PAIRS = 300_000  # pairs of pieces that it remembers for long words
+PAIR_BITS = 20  # places for the pairs of short words, as a power of two
+SHORT = 32  # characters up to which words are walked together
+TOGETHER = 1 << 14  # words that are walked together
 
 NO_PIECE = -1
+_LOST = -2  # merging reaches no piece here
 _NORMAL, _UNKNOWN, _BYTE = 0, 1, 2
 
 
@@ -107,6 +113,14 @@ class Vocabulary:
     def pairs(self) -> Pairs:
         return Pairs(self)
 
+    @cached_property
+    def neighbours(self) -> Neighbours:
+        return Neighbours(self)
+
+    @cached_property
+    def front(self) -> Front:
+        return Front(self)
+
     @cached_property
     def encoder(self) -> Encoder:
         """Lives as long as the vocabulary, so the tasks of a worker share it."""
@@ -136,15 +150,17 @@ class Vocabulary:
             return [self.bytes[b] for b in char.encode()]
         return [self.kinds.index(_UNKNOWN)]
 
-    def merged(self, text: str) -> list[str]:
+    def merged(self, text: str, history: list[tuple[float, str, str]] | None = None) -> list[str]:
         """BPE by its definition: the best pair first, the leftmost of equal ones.
 
         Possible merges wait in a heap, and parts are linked with their neighbours, so
-        time grows hardly more than the text.
+        time grows hardly more than the text.  ``history`` gets the score of each merge,
+        and the first and the last part after it.
         """
         parts: list[str | None] = list(text)
         before, after = list(range(-1, len(parts) - 1)), list(range(1, len(parts) + 1))
         waiting: list[tuple[float, int, int]] = []
+        end = len(parts) - 1
 
         def propose(left: int) -> None:
             right = after[left] if left >= 0 else len(parts)
@@ -166,6 +182,10 @@ class Vocabulary:
             after[left] = after[right]
             if after[left] < len(parts):
                 before[after[left]] = left
+            else:
+                end = left
+            if history is not None:
+                history.append((self.scores[piece], parts[0], parts[end]))
             propose(before[left])
             propose(left)
         return [part for part in parts if part is not None]
@@ -184,6 +204,61 @@ class Vocabulary:
         return result
 
 
+class Neighbours:
+    """Answers ``Vocabulary.follows`` for many pairs at once.
+
+    Two pieces side by side are merged each in the order in which it is merged alone, the
+    better merge of both first, unless the last part of the one and the first part of the
+    other are the best merge at some time.  So the merges of each piece alone are kept.
+    """
+
+    def __init__(self, vocabulary: Vocabulary):
+        size, wide = len(vocabulary.pieces), max(map(len, vocabulary.ids), default=1)
+        numbers: dict[str, int] = {}
+
+        def number(part: str) -> int:
+            return numbers.setdefault(part, len(numbers))
+
+        self.reached = np.zeros(size, bool)
+        self.scores = np.full((size, wide), -np.inf)
+        self.first, self.last = np.zeros((size, wide), np.int32), np.zeros((size, wide), np.int32)
+        for piece, i in vocabulary.ids.items():
+            history: list[tuple[float, str, str]] = []
+            self.reached[i] = vocabulary.merged(piece, history) == [piece]
+            self.scores[i, : len(history)] = [score for score, _, _ in history]
+            self.first[i, : len(history) + 1] = [number(piece[0]), *(number(part) for _, part, _ in history)]
+            self.last[i, : len(history) + 1] = [number(piece[-1]), *(number(part) for _, _, part in history)]
+        self.parts = len(numbers)
+        merges = {
+            numbers[piece[:cut]] * self.parts + numbers[piece[cut:]]: vocabulary.scores[i]
+            for piece, i in vocabulary.ids.items()
+            for cut in range(1, len(piece))
+            if piece[:cut] in numbers and piece[cut:] in numbers
+        }
+        keys = sorted(merges)
+        self.keys = np.array([*keys, np.iinfo(np.int64).max])
+        self.merges = np.array([*map(merges.__getitem__, keys), -np.inf])
+
+    def follow(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+        result = self.reached[first] & self.reached[second]
+        left = np.flatnonzero(result)
+        a, b = first[left], second[left]
+        i, j = np.zeros(len(left), np.int64), np.zeros(len(left), np.int64)
+        while len(left):
+            key = self.last[a, i].astype(np.int64) * self.parts + self.first[b, j]
+            at = np.searchsorted(self.keys, key)
+            across = np.where(self.keys[at] == key, self.merges[at], -np.inf)
+            one, other = self.scores[a, i], self.scores[b, j]
+            # Of equal merges the leftmost is first: of the first piece, across, of the second.
+            joined = (across > one) & (across >= other)
+            result[left[joined]] = False
+            mine = one >= other
+            i, j = i + mine, j + ~mine
+            go = np.flatnonzero(~joined & (np.maximum(one, other) > -np.inf))
+            left, a, b, i, j = left[go], a[go], b[go], i[go], j[go]
+        return result
+
+
 class Walk:
     """Forward states of all prefixes of a word; the next word starts from shared ones.
 
@@ -252,12 +327,167 @@ class Walk:
         return b"".join(reversed(found))
 
 
+class Front:
+    """Forward states of all prefixes of one length at once, for short BPE words.
+
+    The pieces lie as a trie in arrays.  A state is the last piece and the state where
+    that piece begins; an open path is a place in the pieces' trie with the state where
+    it began, and the paths of a state follow each other, the longest first.
+    """
+
+    def __init__(self, vocabulary: Vocabulary):
+        self.v = vocabulary
+        steps: dict[tuple[int, str], int] = {}
+        ends = {}
+        for piece, i in vocabulary.ids.items():
+            node = 0
+            for char in piece:
+                node = steps.setdefault((node, char), len(steps) + 1)
+            ends[node] = i
+        chars = sorted({char for _, char in steps})
+        # The number of a character; the last one stands for all that are in no piece.
+        self.number = np.full(0x110000, len(chars), np.int32)
+        self.number[[ord(char) for char in chars]] = np.arange(len(chars))
+        self.known = np.array([*(char in vocabulary.ids for char in chars), False])
+        self.width = len(chars) + 1
+        keys = np.array([node * self.width + self.number[ord(char)] for node, char in steps], np.int64)
+        order = np.argsort(keys)
+        self.keys = np.append(keys[order], np.iinfo(np.int64).max)
+        self.nodes = np.append(np.array([*steps.values()], np.int32)[order], np.int32(0))
+        self.piece = np.full(len(steps) + 1, NO_PIECE, np.int32)
+        self.piece[[*ends]] = [*ends.values()]
+        self.inner = np.zeros(len(steps) + 1, bool)
+        self.inner[[node for node, _ in steps]] = True
+        # Pairs asked for, each with its answer as lowest bit; a later one takes the place.
+        self.asked = np.full(1 << PAIR_BITS, -1, np.int64)
+
+    def follow(self, before: np.ndarray, pieces: np.ndarray) -> np.ndarray:
+        """May the pieces stand side by side?"""
+        pairs = before.astype(np.int64) * len(self.v.pieces) + pieces
+        places = (pairs.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - PAIR_BITS)
+        found = self.asked[places]
+        new = np.flatnonzero(found >> 1 != pairs)
+        if len(new):
+            asked, at, back = np.unique(pairs[new], return_index=True, return_inverse=True)
+            answers = self.v.neighbours.follow(*np.divmod(asked, len(self.v.pieces)))
+            self.asked[places[new[at]]] = asked * 2 + answers
+            found[new] = answers[back]
+        return (found & 1).astype(bool)
+
+    def choose(self, before: np.ndarray, owner: np.ndarray, pieces: np.ndarray, count: int) -> np.ndarray:
+        """For each of ``count`` owners, which of its candidates is the first that may follow.
+
+        Candidates are sorted by owner, the longest first.  -1 for owners without any.
+        """
+        chosen = np.full(count, -1)
+        left = np.arange(len(owner))
+        while len(left):
+            mine = owner[left]
+            first = np.append(True, mine[1:] != mine[:-1])
+            tried = left[first]
+            fits = before[tried] == NO_PIECE
+            asked = np.flatnonzero(~fits)
+            fits[asked] = self.follow(before[tried[asked]], pieces[tried[asked]])
+            chosen[owner[tried[fits]]] = tried[fits]
+            left = left[~first]
+            left = left[chosen[owner[left]] < 0]
+        return chosen
+
+    def encode(self, words: list[str]) -> list[bytes | None]:
+        """Ids of sorted, distinct words; None if merging reaches no piece at some place."""
+        sizes = np.array([len(word) for word in words])
+        longest = int(sizes.max())
+        chars = np.array(words, f"U{longest}").view(np.uint32).reshape(len(words), longest)
+        other = chars[1:] != chars[:-1]
+        shared = np.where(other.any(axis=1), other.argmax(axis=1), longest)
+        shared = np.append(0, np.minimum(shared, np.minimum(sizes[1:], sizes[:-1])))
+
+        total = 1 + int((sizes - shared).sum())
+        last, origin = np.full(total, NO_PIECE, np.int32), np.zeros(total, np.int32)
+        state = np.zeros(len(words), np.int32)  # of each word's prefix so far
+        live = np.arange(len(words))
+        # The open paths of the states from ``base`` on: place and beginning, by state.
+        base, node, begin = 0, np.zeros(1, np.int32), np.zeros(1, np.int32)
+        counts, starts = np.ones(1, np.int64), np.zeros(1, np.int64)
+        end = 1
+        for depth in range(1, longest + 1):
+            live = live[sizes[live] >= depth]
+            if not len(live):
+                break
+            new = shared[live] < depth
+            firsts = live[new]
+            parent = state[firsts] - base
+            char = self.number[chars[firsts, depth - 1]].astype(np.int64)
+            state[live] = end + np.cumsum(new) - 1
+
+            many = counts[parent]
+            owner = np.repeat(np.arange(len(firsts), dtype=np.int32), many)
+            source = np.arange(len(owner)) + np.repeat(starts[parent] - (np.cumsum(many) - many), many)
+            keys = node[source].astype(np.int64) * self.width + char[owner]
+            places = np.searchsorted(self.keys, keys)
+            found = np.flatnonzero(self.keys[places] == keys)
+            owner, begin, node = owner[found], begin[source[found]], self.nodes[places[found]]
+
+            ended = np.flatnonzero(self.piece[node] != NO_PIECE)
+            pieces = self.piece[node[ended]]
+            chosen = self.choose(last[begin[ended]], owner[ended], pieces, len(firsts))
+            here = np.arange(end, end + len(firsts), dtype=np.int32)
+            none = chosen < 0
+            last[here] = np.where(self.known[char], _LOST, NO_PIECE)
+            origin[here] = parent + base
+            last[here[~none]] = pieces[chosen[~none]]
+            origin[here[~none]] = begin[ended][chosen[~none]]
+
+            open_ = np.flatnonzero(self.inner[node])
+            owner = np.append(owner[open_], np.arange(len(firsts), dtype=np.int32))
+            order = np.argsort(owner, kind="stable")
+            begin = np.append(begin[open_], here)[order]
+            node = np.append(node[open_], np.zeros(len(firsts), np.int32))[order]
+            counts = np.bincount(owner, minlength=len(firsts))
+            starts = np.cumsum(counts) - counts
+            base, end = end, end + len(firsts)
+            live = live[last[state[live]] != _LOST]
+        return self.ids(words, state, last, origin)
+
+    def ids(self, words: list[str], state: np.ndarray, last: np.ndarray, origin: np.ndarray) -> list[bytes | None]:
+        """The encodings, read off backwards from the states of whole words."""
+        lost = last[state] == _LOST
+        at, columns = np.where(lost, 0, state), []
+        while at.any():
+            columns.append(np.where(at > 0, last[at], _LOST))
+            at = origin[at]
+        table = np.array(columns[::-1], "<i4").T.reshape(len(words), -1)
+        numbers = (table != _LOST).sum(axis=1)
+        odd = (table == NO_PIECE).any(axis=1)
+        packed, wide = table.tobytes(), 4 * table.shape[1]
+        found: list[bytes | None] = []
+        for i, (number, none) in enumerate(zip(numbers.tolist(), lost.tolist()), 1):
+            found.append(None if none else packed[i * wide - 4 * number : i * wide])
+        for i in np.flatnonzero(odd).tolist():
+            found[i] = self.with_fallback(words[i], table[i, -int(numbers[i]) :].tolist())
+        return found
+
+    def with_fallback(self, word: str, pieces: list[int]) -> bytes:
+        found, at = [], 0
+        for piece in pieces:
+            found += self.v.fallback(word[at]) if piece == NO_PIECE else [piece]
+            at += 1 if piece == NO_PIECE else len(self.v.pieces[piece])
+        return np.array(found, "<i4").tobytes()
+
+
 def encode_words(words: list[str], vocabulary: Vocabulary) -> Iterator[bytes]:
     """Encodings of sorted, distinct words, as 32-bit numbers."""
+    short = []
+    if vocabulary.bpe:
+        short = [word for word in words if len(word) <= SHORT and not word.startswith(MARK * 2)]
+    together: dict[str, bytes | None] = {}
+    for start in range(0, len(short), TOGETHER):
+        block = short[start : start + TOGETHER]
+        together.update(zip(block, vocabulary.front.encode(block)))
     walk, before = Walk(vocabulary), ""
     for word in words:
-        found = None
-        if not (vocabulary.bpe and word.startswith(MARK * 2)):
+        found = together.get(word)
+        if not (word in together or vocabulary.bpe and word.startswith(MARK * 2)):
             shared = 0
             for a, b in zip(word, before):
                 if a != b:

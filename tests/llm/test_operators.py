@@ -370,6 +370,59 @@ def test_long_words_take_memory_in_proportion():
         assert np.frombuffer(ids, "<i4").tolist() == library.encode(text)
 
 
+def made_vocabulary(rng):
+    """BPE pieces drawn at random: some are never reached by merging, some scores are equal."""
+    pieces = ["<unk>", *"▁abc"]
+    drawn = {"".join(rng.choice(list("abcd"), n)) for n in (2, 2, 2, 2, 3, 3, 3, 4, 5) for _ in range(6)}
+    pieces += sorted(drawn | {"▁" + piece for piece in list(drawn)[::3]} | {"▁a", "▁b"})
+    scores = [0.0, *(-rng.integers(1, 30, len(pieces) - 1)).astype(float).tolist()]
+    return sentence_pieces.Vocabulary(pieces, scores, [1] + [0] * (len(pieces) - 1), bpe=True)
+
+
+def test_short_words_are_walked_together(monkeypatch):
+    """Words of usual length take neither a walk nor a merge of their own."""
+    library = sentencepiece.SentencePieceProcessor(model_file=sentence_pieces.MODEL)
+    v = sentence_pieces.Vocabulary.load(sentence_pieces.MODEL)
+    rng = np.random.default_rng(11)
+    letters = list("abcdeiounrstABÈéß019.,'-日本\t𝒳")
+    words = ["".join(rng.choice(letters, rng.integers(1, 25))) for _ in range(3000)]
+    texts = [" ".join(words), "a\x00 a a\x00\x00", "x" * 31, "", "\n", "Größe, l'été 3.14 http://x.y/?z=1"]
+
+    def refuse(*_):
+        raise AssertionError("walked or merged by itself")
+
+    v.neighbours  # merges each piece once
+    monkeypatch.setattr(sentence_pieces.Walk, "encode", refuse)
+    monkeypatch.setattr(sentence_pieces.Vocabulary, "merged", refuse)
+    monkeypatch.setattr(sentence_pieces, "TOGETHER", 700)
+    for text, ids in zip(texts, sentence_pieces.Encoder(v).texts(texts)):
+        assert np.frombuffer(ids, "<i4").tolist() == library.encode(text)
+
+
+def test_words_walked_together_equal_single_walks():
+    rng = np.random.default_rng(13)
+    none = 0
+    for _ in range(30):
+        v = made_vocabulary(rng)
+        words = {rng.choice(["", "▁"]) + "".join(rng.choice(list("abcde"), rng.integers(1, 12))) for _ in range(200)}
+        words = sorted(words)
+        walk = sentence_pieces.Walk(v)
+        alone = [walk.encode(word, 0) for word in words]
+        assert v.front.encode(words) == alone == v.front.encode(words)
+        assert [found for word in words for found in v.front.encode([word])] == alone
+        none += alone.count(None)
+    assert none
+
+
+def test_pairs_asked_together_equal_merging():
+    rng = np.random.default_rng(14)
+    for v in [*(made_vocabulary(rng) for _ in range(20)), sentence_pieces.Vocabulary.load(sentence_pieces.MODEL)]:
+        first, second = rng.choice(sorted(v.ids.values()), (2, 3000))
+        alone = list(map(v.follows, first.tolist(), second.tolist()))
+        assert 0 < sum(alone) < 3000
+        assert v.neighbours.follow(first, second).tolist() == alone
+
+
 def test_unigram_texts_have_the_best_sum_of_scores(spark):
     """A model made here; every split of short words is tried."""
     rng = np.random.default_rng(10)
