@@ -49,7 +49,7 @@ MARK = "▁"  # stands for a space
 # The marks with what follows them; line ends, which no piece joins with letters, apart.
 _WORDS = re.compile(f"{MARK}*[^{MARK}\n]+|{MARK}+|\n")
 SLICE = 1 << 20  # characters whose words are encoded together
-MOST_KNOWN = 24 << 20  # bytes of words and their encodings that a task remembers
+MOST_KNOWN = 12 << 20  # bytes of words and their encodings that a task remembers
 MOST_PAIRS = 300_000  # pairs of pieces that it remembers for long words
 PAIR_BITS = 20  # places for the pairs of short words, as a power of two
 SHORT = 32  # characters up to which words are walked together
