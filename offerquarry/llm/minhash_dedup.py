@@ -153,11 +153,17 @@ def _classes(described: DataFrame) -> DataFrame:
     return classes.select(F.monotonically_increasing_id().alias("node"), "doc", "digest", "signature")
 
 
+def _not_sent(table: DataFrame) -> DataFrame:
+    """A table that joins shuffle: Spark takes an array for one item, and ``explode`` for no
+    growth, so it may send such a table to the driver and all tasks though it is large."""
+    return table.hint("merge")
+
+
 def _close(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """The pairs ``a, b`` whose signatures differ in at most ``MOST_ERRORS`` places."""
     for side in "ab":
         named = nodes.select(F.col("node").alias(side), F.col("signature").alias(f"signature_{side}"))
-        pairs = pairs.join(named, side)
+        pairs = pairs.join(_not_sent(named), side)
     ones, spare = int(_ONES.view(np.int64)), int(_SPARE.view(np.int64))
     differing = F.zip_with(
         "signature_a", "signature_b",
@@ -270,7 +276,7 @@ def _remaining(shared: DataFrame, labels: DataFrame, nodes: DataFrame, sets: Cal
     placed = with_position(near, [F.col("near"), F.col("node")])
     placed = placed.select("node", "component", F.expr(f"position div {BLOCK}").alias("block"))
     placed = write_and_read(placed, "placed")
-    described = placed.join(nodes.select("node", "signature"), "node")
+    described = placed.join(_not_sent(nodes.select("node", "signature")), "node")
     described = write_and_read(described, "described")
     content = F.struct("node", "component", "signature")
     blocks = write_and_read(described.groupBy("block").agg(F.collect_list(content).alias("members")), "blocks")
@@ -353,7 +359,7 @@ def _judged(docs: DataFrame, shingle: int) -> tuple[DataFrame, DataFrame]:
     hubs = rows.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("top"))
     hubs = write_and_read(hubs.where("hub <> top").select("key", "hub"), "hubs")
     free_shuffles(spark)
-    shared = write_and_read(rows.join(hubs, "key").select("key", "node", "hub"), "shared")
+    shared = write_and_read(_not_sent(rows).join(hubs, "key").select("key", "node", "hub"), "shared")
     drop_stored(spark, hubs)
 
     pairs = shared.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b"))

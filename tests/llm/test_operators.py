@@ -103,6 +103,22 @@ def test_near_duplicates_are_those_of_all_pairs(spark):
     assert [found[i] for i in range(len(texts))] == label
 
 
+def test_index_keys_and_signatures_are_not_broadcast(spark, monkeypatch):
+    plans, store = [], minhash_dedup.write_and_read
+
+    def stored(df, name):
+        plans.append((name, df._jdf.queryExecution().executedPlan().toString()))
+        return store(df, name)
+
+    monkeypatch.setattr(minhash_dedup, "write_and_read", stored)
+    table = spark.createDataFrame([(i, prose(60, i // 2)) for i in range(8)], "doc_id long, text string")
+    found = {r[0]: r[2] for r in rows(minhash_dedup.near_duplicates(table, 2))}
+    assert found == {i: i // 2 * 2 for i in range(8)}
+    of = {name: [plan for n, plan in plans if n == name] for name in ("shared", "pairs", "described")}
+    for plan in (*of["shared"], *of["pairs"], of["described"][-1]):
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
 def test_rows_that_share_an_id_are_judged_by_their_texts(spark):
     a, b = prose(200, 31), prose(200, 32)
 
