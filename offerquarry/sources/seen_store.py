@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from offerquarry.operators.dedupe import keep_first
-from offerquarry.sources.shared import write_and_read
+from offerquarry.sources.shared import no_rows, write_and_read
 
 BUCKETS = 64
 PROBES = 3
@@ -29,7 +29,7 @@ def read_seen(spark: SparkSession, folder: str, kinds: str) -> DataFrame:
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-    return spark.createDataFrame([], kinds)
+    return no_rows(spark, kinds)
 
 
 def _probes(keys: Sequence[str], bits: int) -> list[Column]:

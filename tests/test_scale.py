@@ -2,6 +2,7 @@
 
 from dataclasses import replace
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -13,7 +14,7 @@ from offerquarry.functions import money
 from offerquarry.operators import dedupe, walk, words
 from offerquarry.operators.cards import Selectors, extract_pages
 from offerquarry.operators.markup import TagList
-from offerquarry.sources import listing_files
+from offerquarry.sources import listing_files, pages
 
 # Order key and product name of line items that all have one part, supplier and nation each.
 NAMES = {8: "red widget", 2: "red gear", 3: "blue widget", 7: "red widget", 14: "red widget", 28: "green gear"}
@@ -154,3 +155,25 @@ def test_amounts_try_a_pattern_once(spark):
     texts = ["CHF 1234,50 bis CHF 1234,99", ",", "a,b", ".", "1.2.3,4", "x 1  ", "é1'2€ü3,4567", None]
     made = spark.createDataFrame([(t,) for t in texts], "x string").select(money.parse_number_eu(F.col("x")))
     assert [r[0] for r in made.collect()] == [1234501234.99, None, None, None, 123.4, 1.0, 1234567.0, None]
+
+
+def test_captured_files_are_written_by_tasks_and_read_many_to_a_task(spark, tmp_path, monkeypatch):
+    folder, seen = str(tmp_path / "captured"), []
+    table = [(1, "<p>a</p>"), (2, None), (3, "ä\n<b>"), (3, "ä\n<b>"), (None, "x")]
+    pages.write_pages(spark.createDataFrame(table, "capture long, html string"), folder)
+    texts = {p.parent.name: p.read_text() for p in (tmp_path / "captured").rglob("*") if p.is_file()}
+    assert texts == {"capture=1": "<p>a</p>\n", "capture=2": "\n", "capture=3": "ä\n<b>\nä\n<b>\n", "capture=__HIVE_DEFAULT_PARTITION__": "x\n"}
+    batch = pa.RecordBatch.from_arrays([pa.array([7]), pa.array([b"y"])], ["capture", "html"])
+    for _ in range(2):  # as of a task that is tried again
+        assert list(pages._write_files(iter([batch]), folder, "part-1.txt"))[0].to_pydict() == {"files": [1]}
+    assert [p.name for p in (tmp_path / "captured" / "capture=7").iterdir()] == ["part-1.txt"]
+
+    store = pages.write_and_read
+    monkeypatch.setattr(pages, "write_and_read", lambda *a: (seen.append(int(spark.conf.get(pages.OPEN_COST))), store(*a))[1])
+    before = spark.conf.get(pages.OPEN_COST)
+    files = pages.captured_files(spark, folder)
+    manifest = files.selectExpr("file", "'s' AS search_id", "file AS url")
+    done = str(tmp_path / "done")
+    assert pages.new_captures(spark, folder, manifest, done, files).count() == 5
+    assert seen == [pages.OPEN_BYTES] * 2 and spark.conf.get(pages.OPEN_COST) == before
+    assert pages.new_captures(spark, folder, manifest, done, files).count() == 0
