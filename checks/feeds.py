@@ -235,14 +235,14 @@ def _dealt(table: DataFrame) -> DataFrame:
 DEALT = ("lineitem", "orders")
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def _table(spark: SparkSession, sf_dir: str, name: str, deal: bool = True) -> DataFrame:
     table = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return _dealt(table) if name in DEALT else table
+    return _dealt(table) if deal and name in DEALT else table
 
 
-def run_in_spark(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
+def run_in_spark(spark: SparkSession, sf_dir: str, sql: str, deal: bool = True) -> DataFrame:
     tables = {
-        name: _table(spark, sf_dir, name)
+        name: _table(spark, sf_dir, name, deal)
         for name in ("lineitem", "part", "supplier", "nation", "orders")
         if "{" + name + "}" in sql
     }
@@ -259,5 +259,17 @@ def listings(spark: SparkSession, sf_dir: str, bad_rows: bool = False) -> DataFr
     return run_in_spark(spark, sf_dir, listings_sql(bad_rows))
 
 
+def ordered_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``listings`` sorted by ``LISTING_ORDER``.
+
+    The joined rows are sorted, and the texts made of them after that, so the one shuffle
+    holds no texts; it deals the rows to tasks, too.
+    """
+    inner = ") AS joined"
+    assert listings_sql(False).count(inner) == 1
+    sql = listings_sql(False).replace(inner, f"ORDER BY {', '.join(LISTING_ORDER)}{inner}")
+    return run_in_spark(spark, sf_dir, sql, deal=False)
+
+
 def result_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_in_spark(spark, sf_dir, result_pages_sql())

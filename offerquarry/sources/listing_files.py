@@ -200,15 +200,25 @@ def file_key(path: Column) -> Column:
     return F.regexp_replace(filled, "0*([0-9]{20,})", "$1")
 
 
-def write_raw_csv(listings: DataFrame, path: str, encoding: str = "UTF-8", one_file: bool = False) -> None:
+#: Rows of a packed file, which is read by one task as a whole.
+ROWS_A_FILE = 500_000
+
+
+def write_raw_csv(
+    listings: DataFrame, path: str, encoding: str = "UTF-8", one_file: bool = False, packed: bool = False
+) -> None:
     """Raw listings as CSV files with the seven fixed columns; overwrites.
 
+    ``packed`` compresses them with gzip, in files of ``ROWS_A_FILE`` rows at most.
+
     ``one_file`` writes a single file, in UTF-8.  Its one task gets the finished lines of
     the records, which all tasks make and store before; rows of several partitions get
     into it in any order.
     """
     raw = listings.select(*fixed.RAW_FIELDS)
     if one_file:
+        if packed:
+            raise ValueError("one file is not packed: its splits are read by many tasks")
         if encoding.upper() not in ("UTF-8", "UTF8"):
             raise ValueError(f"one file is written in UTF-8 only, not in {encoding}")
         lines = write_and_read(raw.select(F.to_csv(F.struct("*"), _cell_form()).alias("line")), "lines")
@@ -220,7 +230,10 @@ def write_raw_csv(listings: DataFrame, path: str, encoding: str = "UTF-8", one_f
             drop_stored(listings.sparkSession, lines)
             return
         raw = raw.limit(0).coalesce(1)
-    raw.write.mode("overwrite").options(**CSV_FORM, encoding=encoding).csv(path)
+    form = {**CSV_FORM, "encoding": encoding}
+    if packed:
+        form |= {"compression": "gzip", "maxRecordsPerFile": ROWS_A_FILE}
+    raw.write.mode("overwrite").options(**form).csv(path)
 
 
 def write_clean_csv(listings: DataFrame, path: str) -> None:

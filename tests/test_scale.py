@@ -1,5 +1,6 @@
 """Queries and steps that must do their whole job, on rows built here."""
 
+import pathlib
 from dataclasses import replace
 
 import pyarrow as pa
@@ -14,7 +15,7 @@ from offerquarry.functions import money
 from offerquarry.operators import dedupe, walk, words
 from offerquarry.operators.cards import Selectors, extract_pages
 from offerquarry.operators.markup import TagList
-from offerquarry.sources import listing_files, pages
+from offerquarry.sources import listing_files, pages, shared
 
 # Order key and product name of line items that all have one part, supplier and nation each.
 NAMES = {8: "red widget", 2: "red gear", 3: "blue widget", 7: "red widget", 14: "red widget", 28: "green gear"}
@@ -177,3 +178,27 @@ def test_captured_files_are_written_by_tasks_and_read_many_to_a_task(spark, tmp_
     assert pages.new_captures(spark, folder, manifest, done, files).count() == 5
     assert seen == [pages.OPEN_BYTES] * 2 and spark.conf.get(pages.OPEN_COST) == before
     assert pages.new_captures(spark, folder, manifest, done, files).count() == 0
+
+
+def test_roundtrip_sorts_before_texts_are_made_and_keeps_no_files(spark, tables):
+    plan = feeds.ordered_listings(spark, tables)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("rangepartitioning") == 1 and "RoundRobin" not in plan
+    assert plan.index("neuem Fenster") < plan.index("rangepartitioning")  # the upper step comes first
+    in_order = [r.asDict() for r in feeds.ordered_listings(spark, tables).collect()]
+    assert in_order == [r.asDict() for r in feeds.listings(spark, tables).orderBy(*feeds.LISTING_ORDER).collect()]
+    before = len(QUERIES["raw_roundtrip"](spark, tables).collect())
+    folder = pathlib.Path(shared._session_folder(spark).removeprefix("file://"))
+    assert before and not list(folder.glob("raw-roundtrip-*"))
+
+
+def test_packed_files_keep_rows_and_order(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(listing_files, "ROWS_A_FILE", 4)
+    rows = [(f' "{n}",\nä', *["x"] * 6) for n in range(50)]
+    table = spark.createDataFrame(rows, ", ".join(f"{f} string" for f in fixed.RAW_FIELDS)).coalesce(1)
+    path = tmp_path / "packed"
+    listing_files.write_raw_csv(table, str(path), packed=True)
+    assert len(list(path.glob("*.csv.gz"))) == 13 and not list(path.glob("*.csv"))
+    raw = listing_files.read_raw_csv(spark, str(path), keep_order=True).orderBy(*listing_files.FILE_ORDER)
+    assert [tuple(r)[:7] for r in raw.collect()] == rows
+    with pytest.raises(ValueError):
+        listing_files.write_raw_csv(table, str(path), one_file=True, packed=True)
