@@ -202,3 +202,20 @@ def test_packed_files_keep_rows_and_order(spark, tmp_path, monkeypatch):
     assert [tuple(r)[:7] for r in raw.collect()] == rows
     with pytest.raises(ValueError):
         listing_files.write_raw_csv(table, str(path), one_file=True, packed=True)
+
+
+def test_tags_that_differ_in_addresses_are_read_once(monkeypatch):
+    listed = TagList(["a.x", "a[href*='/itm/']", "a[href='/y']", "img"], ["src", "data-src"])
+    full, read = [], TagList._read
+    monkeypatch.setattr(TagList, "_read", lambda self, found: (full.append(found.group()), read(self, found))[1])
+    for i in range(50):
+        listed.add(f'<a class="x" href="/itm/{i}&amp;q">t</a><img data-src="{i}.png" src="">')
+    assert listed.href[::2] == [f"/itm/{i}&q" for i in range(50)] and listed.fits == [1 | 2, 8] * 50
+    assert listed.image[1::2] == [[("src", ""), ("data-src", f"{i}.png")] for i in range(50)]
+    assert len(full) == 3  # each of the tags once, the addresses blanked
+    # Quotes that stand elsewhere are read in full: here the address is part of a title.
+    listed.clear()
+    for value in ("/y", "/itm/"):
+        listed.add(f'<a title="x href=" {value}="z">t</a>')
+    listed.add("<a href='/y'>t</a><a href=\"/y\">t</a>")
+    assert listed.fits == [4, 4] and listed.href == ["/y", "/y"]
